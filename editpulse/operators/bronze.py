@@ -9,10 +9,13 @@ from editpulse.functions.clock import Instant, instant
 
 
 def land(topic_rows: DataFrame, now: Instant = None) -> DataFrame:
-    """Text key and value, provenance columns and the arrival stamp."""
+    """Text key and value, provenance columns and the arrival stamp.
+
+    A cast and not ``decode``, which stops the job at the first bad byte.
+    """
     return topic_rows.select(
-        F.decode("key", F.lit("UTF-8")).alias("event_key"),
-        F.decode("value", F.lit("UTF-8")).alias("raw_json"),
+        F.col("key").cast("string").alias("event_key"),
+        F.col("value").cast("string").alias("raw_json"),
         "topic",
         "partition",
         "offset",

@@ -17,7 +17,7 @@ def batch_watermarks(rows: DataFrame, batch: str, watermark: str) -> DataFrame:
     one day's batches or one row per day.
     """
     newest = rows.groupBy(batch).agg(F.max("event_time").alias("newest"))
-    newest = newest.withColumn("batch_day", F.to_date(batch))
+    newest = newest.withColumn("batch_day", F.to_date(batch)).filter("batch_day IS NOT NULL")
 
     earlier = (Window.unboundedPreceding, -1)
     in_day = Window.partitionBy("batch_day").orderBy(batch).rowsBetween(*earlier)
@@ -31,20 +31,33 @@ def batch_watermarks(rows: DataFrame, batch: str, watermark: str) -> DataFrame:
     )
 
 
-def late_rows(
+def mark_late(
     rows: DataFrame,
     batch: str,
     minutes: int = Settings.kpi_minutes,
     watermark: str = Settings.watermark,
 ) -> DataFrame:
-    """Rows whose window had closed before their batch arrived.
+    """``rows`` with their window's end, their batch's watermark and ``is_late``.
 
-    The test is on the end of the row's window, not on the row's own time.
+    A row is late when its window had closed before its batch arrived: the
+    test is on the end of the window, not on the row's own time. Rows without
+    a time have no window and are never late.
     """
     marks = batch_watermarks(rows, batch, watermark)
     window_end = F.window("event_time", f"{minutes} minutes").getField("end")
+    closed = F.col("window_end") <= F.col("watermark")
     return (
-        rows.join(marks, batch)
-        .withColumn("window_end", window_end)
-        .filter(F.col("window_end") <= F.col("watermark"))
+        rows.withColumn("window_end", window_end)
+        .join(marks, batch, "left")
+        .withColumn("is_late", F.coalesce(closed, F.lit(False)))
     )
+
+
+def late_rows(rows: DataFrame, batch: str, **limits) -> DataFrame:
+    return mark_late(rows, batch, **limits).filter("is_late").drop("is_late")
+
+
+def on_time_rows(rows: DataFrame, batch: str, **limits) -> DataFrame:
+    """What the live windows are computed from."""
+    kept = mark_late(rows, batch, **limits).filter(~F.col("is_late"))
+    return kept.select(*rows.columns)

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+from datetime import date
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from editpulse.sources.lake import drop_partition, read_table, table_exists, write_days
+from editpulse.sources.lake import drop_partition, path_exists, read_table, write_days
 
 
 def matched(source: DataFrame, target: DataFrame, key: str = "event_id") -> DataFrame:
@@ -42,10 +45,18 @@ def _days_of(df: DataFrame, date_col: str) -> list:
     return [row[0] for row in df.select(date_col).distinct().collect()]
 
 
+@dataclass(frozen=True)
+class UpsertReport:
+    """Days rewritten, and those among them that lost their last row."""
+
+    touched: tuple[date | None, ...]
+    emptied: tuple[date | None, ...] = ()
+
+
 def upsert_days(
     source: DataFrame, path: str, key: str = "event_id", date_col: str = "event_date"
-) -> list:
-    """Merge ``source`` into the table at ``path``; returns the days rewritten.
+) -> UpsertReport:
+    """Merge ``source`` into the table at ``path``.
 
     Only the days that hold source rows, or target rows the source replaces
     (an edit may move to another day), are read in full and rewritten. Pass a
@@ -54,11 +65,11 @@ def upsert_days(
     """
     spark = source.sparkSession
     source_days = _days_of(source, date_col)
-    if not table_exists(spark, path):
+    if not path_exists(spark, path):
         write_days(source, path, date_col)
-        return source_days
+        return UpsertReport(tuple(source_days))
 
-    target = read_table(spark, path)
+    target = read_table(spark, path, source.schema)
     replaced = target.join(source.select(key), key, "left_semi")
     touched = list({*source_days, *_days_of(replaced, date_col)})
     result = merge(target.filter(_in_days(date_col, touched)), source, key)
@@ -67,8 +78,8 @@ def upsert_days(
     # replaces days that get rows. Days with source rows cannot be empty.
     doubtful = [day for day in touched if day not in source_days]
     remaining = _days_of(result.filter(_in_days(date_col, doubtful)), date_col) if doubtful else []
+    emptied = tuple(day for day in doubtful if day not in remaining)
     write_days(result, path, date_col)
-    for day in doubtful:
-        if day not in remaining:
-            drop_partition(spark, path, date_col, day)
-    return touched
+    for day in emptied:
+        drop_partition(spark, path, date_col, day)
+    return UpsertReport(tuple(touched), emptied)

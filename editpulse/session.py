@@ -9,14 +9,19 @@ from pyspark.sql import SparkSession
 
 _ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
-DEFAULTS = {
+# What a stream's session needs; safe to set on a running session.
+STREAM_DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
-    "spark.sql.adaptive.enabled": "true",
-    "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.parquet.compression.codec": "zstd",
     # Dedup and window state outgrow the heap: keep it in RocksDB, ship deltas.
     "spark.sql.streaming.stateStore.providerClass": _ROCKSDB,
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
+
+DEFAULTS = {
+    **STREAM_DEFAULTS,
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.parquet.compression.codec": "zstd",
     "spark.ui.enabled": "false",
 }
 

@@ -11,7 +11,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DateType, StructField, StructType
 
 from editpulse import schemas
 
@@ -46,7 +46,7 @@ class Lake:
 def stored_schema(table: str) -> StructType:
     """Declared columns plus the day the table is partitioned by."""
     columns, _, date_col = LAYOUT[table]
-    return StructType(columns.fields).add(date_col, "date")
+    return StructType([*columns.fields, StructField(date_col, DateType())])
 
 
 def create_tables(spark: SparkSession, lake: Lake, database: str) -> None:
@@ -74,6 +74,11 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(hadoop_path)
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    hadoop_path, fs = _path(spark, path)
+    fs.mkdirs(hadoop_path)
+
+
 def delete_path(spark: SparkSession, path: str) -> None:
     hadoop_path, fs = _path(spark, path)
     fs.delete(hadoop_path, True)
@@ -83,11 +88,6 @@ def is_stream_log(spark: SparkSession, path: str) -> bool:
     return path_exists(spark, f"{path}/_spark_metadata")
 
 
-def table_exists(spark: SparkSession, path: str) -> bool:
-    """A finished write left its mark, or a stream keeps its log there."""
-    return path_exists(spark, f"{path}/_SUCCESS") or is_stream_log(spark, path)
-
-
 def read_table(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
     reader = spark.read if schema is None else spark.read.schema(schema)
     return reader.parquet(path)
