@@ -63,6 +63,18 @@ def create_tables(spark: SparkSession, lake: Lake, database: str) -> None:
         )
 
 
+def sync_partitions(spark: SparkSession, lake: Lake, database: str) -> None:
+    """Tell the catalog which days the batch-written tables hold now.
+
+    Log tables need none: readers follow the stream's own file log.
+    """
+    for table in LAYOUT:
+        path = lake.table(table)
+        if path_exists(spark, path) and not is_stream_log(spark, path):
+            spark.sql(f"MSCK REPAIR TABLE {database}.{table} SYNC PARTITIONS")
+            spark.catalog.refreshTable(f"{database}.{table}")
+
+
 def _path(spark: SparkSession, path: str):
     """Hadoop path and its file system, whatever the scheme."""
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)

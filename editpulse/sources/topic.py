@@ -7,6 +7,7 @@ same for both.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from editpulse.config import Settings
 from editpulse.schemas import TOPIC_ROW
@@ -35,6 +36,23 @@ def topic_stream(
     return reader.schema(TOPIC_ROW).load(path)
 
 
+def as_topic_rows(messages: DataFrame, topic: str) -> DataFrame:
+    """Keyed messages as rows of the file form of a topic.
+
+    A broker would number the messages. Here the place of a row in its task
+    does: unique within one write, repeated in the next, which only means that
+    copies from different writes may tie in arrival order.
+    """
+    return messages.select(
+        F.col("key").cast("binary").alias("key"),
+        F.col("value").cast("binary").alias("value"),
+        F.lit(topic).alias("topic"),
+        F.spark_partition_id().alias("partition"),
+        F.monotonically_increasing_id().alias("offset"),
+        F.current_timestamp().alias("timestamp"),
+    )
+
+
 def publish(messages: DataFrame, fmt: str = "parquet", path: str | None = None, **options: str):
     """Append keyed messages to a topic; delivery is at least once."""
     writer = messages.write.format(fmt).mode("append").options(**options)

@@ -14,7 +14,9 @@ from editpulse.config import Settings
 from editpulse.functions.clock import Instant
 from editpulse.operators import bronze, gold, silver
 from editpulse.operators.dedup import dedup_stream
+from editpulse.sources.feed import envelopes
 from editpulse.sources.lake import LAYOUT, Lake, stored_schema
+from editpulse.sources.topic import as_topic_rows
 
 ONCE = {"availableNow": True}
 
@@ -45,6 +47,30 @@ def append_to(df: DataFrame, lake: Lake, table: str, trigger: dict | None) -> St
     return writer.start(lake.table(table))
 
 
+def start_publish(
+    lines: DataFrame,
+    checkpoint: str,
+    fmt: str = "parquet",
+    path: str | None = None,
+    trigger: dict | None = None,
+    **options: str,
+) -> StreamingQuery:
+    """Feed lines to keyed messages on a topic, or into its file form."""
+    messages = envelopes(lines)
+    if fmt != "kafka":
+        messages = as_topic_rows(messages, options.pop("topic"))
+    writer = (
+        messages.writeStream.format(fmt)
+        .queryName("publish")
+        .outputMode("append")
+        .options(**options)
+        .option("checkpointLocation", checkpoint)
+    )
+    if trigger:
+        writer = writer.trigger(**trigger)
+    return writer.start(path)
+
+
 def start_bronze(
     topic: DataFrame, lake: Lake, trigger: dict | None = None, now: Instant = None
 ) -> StreamingQuery:
