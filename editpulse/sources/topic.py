@@ -39,16 +39,15 @@ def topic_stream(
 def as_topic_rows(messages: DataFrame, topic: str) -> DataFrame:
     """Keyed messages as rows of the file form of a topic.
 
-    A broker would number the messages. Here the place of a row in its task
-    does: unique within one write, repeated in the next, which only means that
-    copies from different writes may tie in arrival order.
+    A broker would number the messages. Here the moment of the write stands in
+    for the number: later writes rank higher, rows of one write rank equal.
     """
     return messages.select(
         F.col("key").cast("binary").alias("key"),
         F.col("value").cast("binary").alias("value"),
         F.lit(topic).alias("topic"),
         F.spark_partition_id().alias("partition"),
-        F.monotonically_increasing_id().alias("offset"),
+        F.unix_micros(F.current_timestamp()).alias("offset"),
         F.current_timestamp().alias("timestamp"),
     )
 
