@@ -10,6 +10,7 @@ from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, StructField, StructType
 
 from editpulse.sources.lake import delete_path, is_stream_log
 
@@ -173,11 +174,20 @@ def compact_days(
     return sorted(row.partition for row in plan)
 
 
+def _read_days(spark: SparkSession, path: str, date_col: str) -> DataFrame:
+    """The table with its day as a date, also when no day is known."""
+    found = spark.read.parquet(path).schema
+    day = StructField(date_col, DateType())
+    fields = [day if field.name == date_col else field for field in found.fields]
+    return spark.read.schema(StructType(fields)).parquet(path)
+
+
 def _rewrite(spark: SparkSession, path: str, date_col: str, job: list) -> None:
-    table = spark.read.parquet(path)
+    table = _read_days(spark, path, date_col)
     layout, first = [], 0
     for row in job:
-        day = None if row.partition == "__HIVE_DEFAULT_PARTITION__" else date.fromisoformat(row.partition)
+        known = row.partition != "__HIVE_DEFAULT_PARTITION__"
+        day = date.fromisoformat(row.partition) if known else None
         layout.append((day, first, row.output_files))
         first += row.output_files
     slots = spark.createDataFrame(layout, "day date, first_slot bigint, slots bigint")
