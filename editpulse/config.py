@@ -40,6 +40,7 @@ class Settings:
 
     # Rate limits of the streaming sources.
     max_offsets_per_trigger: int = 20_000_000
+    max_records_per_task: int = 500_000
     max_files_per_trigger: int = 1_000
 
 

@@ -12,6 +12,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, StructField, StructType
 
+from editpulse.config import TableRule
+from editpulse.functions.clock import Instant, hours, instant
 from editpulse.sources.lake import delete_path, is_stream_log
 
 # A file below this share of the target counts as small. With five or more
@@ -24,29 +26,39 @@ MAX_FILES_PER_JOB = 2_000
 
 def expired_versions(
     versions: DataFrame,
-    older_than: Column,
-    retain_last: int,
+    rules: dict[str, TableRule],
+    now: Instant = None,
     table: str = "table",
     version: str = "version",
     committed: str = "committed_at",
 ) -> DataFrame:
-    """Versions committed before the bound and not among a table's newest.
+    """Versions older than their table's age limit and not among its newest.
 
-    Both must hold. The newest few per table are found first: that ranking has
-    a limit Spark applies in every map task, so a table with most of the
-    versions is not sorted in one task.
+    Both must hold; tables without a rule keep everything. The newest few per
+    table are found first: that ranking has a limit Spark applies in every map
+    task, so a table with most of the versions is not sorted in one task.
     """
+    known = versions.filter(F.col(table).isin(list(rules)))
+    age_limit = _by_table(table, {name: hours(r.max_age_hours) for name, r in rules.items()})
+    keep = _by_table(table, {name: F.lit(r.keep_versions) for name, r in rules.items()})
+
     by_age = Window.partitionBy(table).orderBy(F.desc(committed), F.desc(version))
     kept = (
-        versions.select(table, version, committed)
+        known.select(table, version, committed)
         .withColumn("age_rank", F.row_number().over(by_age))
-        .filter(F.col("age_rank") <= retain_last)
+        .filter(F.col("age_rank") <= max(r.keep_versions for r in rules.values()))
+        .filter(F.col("age_rank") <= keep)
         .select(table, version)
     )
-    old = versions.filter(F.col(committed) < older_than)
+    old = known.filter(F.col(committed) < instant(now) - age_limit)
     return old.join(kept, [table, version], "left_anti")
 
 
+def _by_table(table: str, values: dict[str, Column]) -> Column:
+    """The value of the row's table."""
+    return F.coalesce(*[F.when(F.col(table) == name, value) for name, value in values.items()])
+
+
 def orphan_files(
     listing: DataFrame,
     referenced: DataFrame,

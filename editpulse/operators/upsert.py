@@ -34,6 +34,13 @@ def merge(target: DataFrame, source: DataFrame, key: str = "event_id") -> DataFr
     return kept.unionByName(keyless).unionByName(source.select(*target.columns))
 
 
+def merge_into(source: DataFrame, table: str, key: str = "event_id") -> None:
+    """The same upsert as one MERGE, for catalogs whose tables support it."""
+    same_key = F.expr(f"{table}.{key} = source.{key}")
+    source.alias("source").mergeInto(table, same_key).whenMatched().updateAll().whenNotMatched(
+    ).insertAll().merge()
+
+
 def _in_days(date_col: str, days: list) -> Column:
     known = [day for day in days if day is not None]
     match = F.col(date_col).isin(known)

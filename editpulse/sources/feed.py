@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from editpulse.config import UNKNOWN_KEY
 from editpulse.schemas import FEED_LINE
 
-# A document starts as an object with a quoted first name, or is empty.
-_OBJECT_START = r'^\s*\{\s*["}]'
-_OBJECT_END = r"\}\s*$"
+# Only the id is wanted; the extra column receives what is not one JSON object.
+_ID_ONLY = "meta struct<id: string>, unreadable string"
+_STRICT = {"columnNameOfCorruptRecord": "unreadable", "allowSingleQuotes": "false"}
+_WHITE = " \t\r\n"
 
 
 def read_feed(spark: SparkSession, path: str, stream: bool = False) -> DataFrame:
@@ -19,20 +20,22 @@ def read_feed(spark: SparkSession, path: str, stream: bool = False) -> DataFrame
     return reader.schema(FEED_LINE).json(path)
 
 
-def is_json_object(text: Column) -> Column:
-    """Whole text is one JSON object; scalars, arrays and cut texts are not."""
-    return (
-        text.rlike(_OBJECT_START)
-        & F.json_object_keys(text).isNotNull()
-        & text.rlike(_OBJECT_END)
-    )
-
-
 def envelopes(lines: DataFrame) -> DataFrame:
-    """Messages keyed by the edit id; the document itself is passed unchanged."""
-    document = F.col("data")
-    edit_id = F.get_json_object(document, "$.meta.id")
-    return lines.filter((F.col("event") == "message") & is_json_object(document)).select(
-        F.coalesce(edit_id, F.lit(UNKNOWN_KEY)).alias("key"),
-        document.alias("value"),
+    """Messages keyed by the edit id; the document itself is passed unchanged.
+
+    Texts that are not one whole JSON object are skipped. One parse both checks
+    the document and finds its id; as in Silver it sits in a generator, so that
+    the filter behind it does not repeat it. The parser stops at the closing
+    brace: that nothing follows it is checked on the text.
+    """
+    messages = lines.filter(F.col("event") == "message")
+    whole = messages.filter(F.rtrim("data", F.lit(_WHITE)).endswith("}"))
+    read = F.from_json("data", _ID_ONLY, _STRICT)
+    return (
+        whole.select("data", F.inline(F.array(read)))
+        .filter(F.col("unreadable").isNull())
+        .select(
+            F.coalesce(F.col("meta.id"), F.lit(UNKNOWN_KEY)).alias("key"),
+            F.col("data").alias("value"),
+        )
     )

@@ -63,6 +63,14 @@ def create_tables(spark: SparkSession, lake: Lake, database: str) -> None:
         )
 
 
+def register_views(spark: SparkSession, lake: Lake) -> list[str]:
+    """Temp views over the tables there are, for SQL without a catalog."""
+    found = [table for table in LAYOUT if path_exists(spark, lake.table(table))]
+    for table in found:
+        read_layer(spark, lake, table).createOrReplaceTempView(table)
+    return found
+
+
 def sync_partitions(spark: SparkSession, lake: Lake, database: str) -> None:
     """Tell the catalog which days the batch-written tables hold now.
 

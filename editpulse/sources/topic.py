@@ -14,13 +14,18 @@ from editpulse.schemas import TOPIC_ROW
 
 
 def kafka_options(servers: str, topic: str, settings: Settings = Settings()) -> dict[str, str]:
-    """History before the first start is skipped; lost offsets do not stop it."""
+    """History before the first start is skipped; lost offsets do not stop it.
+
+    Messages without an id share one key and so one topic partition: long
+    partitions are cut into offset ranges, each read by a task of its own.
+    """
     return {
         "kafka.bootstrap.servers": servers,
         "subscribe": topic,
         "startingOffsets": "latest",
         "failOnDataLoss": "false",
         "maxOffsetsPerTrigger": str(settings.max_offsets_per_trigger),
+        "maxRecordsPerPartition": str(settings.max_records_per_task),
     }
 
 

@@ -281,6 +281,18 @@ ORACLES: dict[str, str] = {
         from (select *, row_number() over (
                 partition by event_type order by ts desc, event_id desc) as age_rank from events)
         where age_rank > 5 and ts < {_NOW} - interval 2 hours""",
+    "retention_rules": f"""
+        select "table", version, committed_at
+        from (
+          select *, row_number() over (
+              partition by "table" order by committed_at desc, version desc) as age_rank
+          from (
+            select case event_type when 'view' then 'bronze' when 'click' then 'silver'
+                else 'gold' end as "table", event_id as version, ts as committed_at from events
+          )
+        ) join (values ('bronze', 3, 12), ('silver', 2, 8), ('gold', 2, 5))
+          as rules(name, max_hours, keep) on name = "table"
+        where age_rank > keep and committed_at < {_NOW} - to_hours(max_hours)""",
     "orphan_files": f"""
         select 'f_' || event_id as path, ts as modified_at from events
         where ts < {_NOW} - interval 72 hours and event_type = 'error'""",

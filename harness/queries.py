@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from editpulse import testbed
-from editpulse.config import Settings
+from editpulse.config import TABLE_RULES, Settings, TableRule
 from editpulse.functions.clock import hours, newest
 from editpulse.operators import bronze, gold, late, maintenance, silver, upsert
 from editpulse.operators.dedup import first_per_key
@@ -295,14 +295,31 @@ def day_partition_counts(spark, events):
     return read_table(spark, path).groupBy("event_date").agg(F.count("*").alias("edits"))
 
 
-@query
-def retention_expired(spark, events):
-    versions = events.select(
-        F.col("event_type").alias("table"),
+def _versions(events: DataFrame, table: Column) -> DataFrame:
+    return events.select(
+        table.alias("table"),
         F.col("event_id").alias("version"),
         F.col("ts").alias("committed_at"),
     )
-    return maintenance.expired_versions(versions, last_event(events) - hours(2), retain_last=5)
+
+
+@query
+def retention_expired(spark, events):
+    """Every kind of event a table of its own, all under one rule."""
+    rule = TableRule(max_age_hours=2, keep_versions=5, target_file_bytes=0)
+    kinds = ("click", "error", "purchase", "signup", "view")
+    versions = _versions(events, F.col("event_type"))
+    return maintenance.expired_versions(versions, dict.fromkeys(kinds, rule), last_event(events))
+
+
+@query
+def retention_rules(spark, events):
+    """The three layers, each under its own rule."""
+    kind = F.col("event_type")
+    layer = (
+        F.when(kind == "view", "bronze").when(kind == "click", "silver").otherwise("gold")
+    )
+    return maintenance.expired_versions(_versions(events, layer), TABLE_RULES, last_event(events))
 
 
 @query

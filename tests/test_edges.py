@@ -157,6 +157,8 @@ def test_envelopes(spark):
         ("message", '{"meta":{"id":"c"}'),
         ("message", '{"meta":{"id":"c"}} tail'),
         ("message", "{'meta':{'id':'c'}}"),
+        ("message", '{"x":[1,2}'),
+        ("message", '[{"meta":{"id":"c"}}]'),
     ]
     sent = envelopes(spark.createDataFrame(lines, "event string, data string"))
     assert rows_of(sent) == sorted(

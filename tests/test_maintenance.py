@@ -9,31 +9,40 @@ from pyspark.sql import functions as F
 
 from editpulse import testbed
 from editpulse.__main__ import main
+from editpulse.config import TableRule
 from editpulse.operators import maintenance as m
 from editpulse.plans.replay import with_day
 from editpulse.plans.upkeep import run_upkeep
-from editpulse.sources.lake import LAYOUT, create_tables, read_layer, read_table, sync_partitions
+from editpulse.sources.lake import (
+    LAYOUT,
+    create_tables,
+    read_layer,
+    read_table,
+    register_views,
+    sync_partitions,
+)
 from editpulse.sources.topic import publish, topic_stream
 from editpulse.streaming import service
 from helpers import at, rows_of
 
 
-def expired(spark, rows, keep):
+def expired(spark, rows, **keep):
     versions = spark.createDataFrame(rows, "table string, version bigint, committed_at timestamp")
-    found = m.expired_versions(versions, F.lit(at(100)).cast("timestamp"), keep)
+    rules = {t: TableRule(max_age_hours=2, keep_versions=n, target_file_bytes=0) for t, n in keep.items()}
+    found = m.expired_versions(versions, rules, at(220))
     return {(r.table, r.version) for r in found.collect()}
 
 
 def test_expiry_needs_age_and_rank(spark):
-    rows = [("t", i, at(i * 30)) for i in range(6)]  # 0 30 60 90 120 150
-    assert expired(spark, rows, 1) == {("t", i) for i in range(4)}
-    assert expired(spark, rows, 4) == {("t", 0), ("t", 1)}
-    assert expired(spark, rows, 9) == set()
+    rows = [("t", i, at(i * 30)) for i in range(6)]  # 0 30 60 90 120 150, limit 100
+    assert expired(spark, rows, t=1) == {("t", i) for i in range(4)}
+    assert expired(spark, rows, t=4) == {("t", 0), ("t", 1)}
+    assert expired(spark, rows, t=9) == set()
 
 
-def test_expiry_ties_go_by_version(spark):
-    rows = [("t", i, at(0)) for i in range(4)] + [("u", 9, at(0))]
-    assert expired(spark, rows, 2) == {("t", 0), ("t", 1)}
+def test_expiry_ties_go_by_version_and_tables_have_their_own_rules(spark):
+    rows = [(t, i, at(0)) for t in "tuv" for i in range(4)]
+    assert expired(spark, rows, t=2, u=3) == {("t", 0), ("t", 1), ("u", 0)}
 
 
 def test_plan_counts_small_files(spark):
@@ -134,6 +143,8 @@ def test_tables_answer_sql_and_can_be_streamed(spark, live):
         assert spark.table(f"edits_db.{table}").count() == by_path, table
     assert spark.table("edits_db.silver_serving").count() == 1000
     assert spark.readStream.table("edits_db.silver_log").isStreaming
+    assert "silver_log" in register_views(spark, live)
+    assert spark.sql("SELECT count(*) AS n FROM silver_log").first().n == 1000
 
 
 def test_command_line_jobs(spark, lake, tmp_path, small_sf, capsys):

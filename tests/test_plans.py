@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from editpulse import testbed
+from editpulse.config import TableRule
 from editpulse.functions.clock import hours, newest, since
 from editpulse.operators import gold, maintenance, silver, upsert
 from editpulse.operators.dedup import first_per_key
@@ -84,8 +85,8 @@ def test_retention_ranks_before_it_shuffles(events):
         F.col("event_type").alias("table"), F.col("event_id").alias("version"),
         F.col("ts").alias("committed_at"),
     )
-    bound = F.lit(datetime(2024, 1, 20)).cast("timestamp")
-    plan = plan_of(maintenance.expired_versions(versions, bound, 5))
+    rules = {"click": TableRule(max_age_hours=2, keep_versions=5, target_file_bytes=0)}
+    plan = plan_of(maintenance.expired_versions(versions, rules, datetime(2024, 1, 20)))
     ranked = plan[plan.index("WindowGroupLimit"):]
     assert re.search(r"WindowGroupLimit.*Partial", ranked)
 

@@ -85,6 +85,12 @@ def test_rows_without_a_key_match_nothing(spark):
     assert merged.filter("event_id IS NULL").count() == 2
 
 
+def test_merge_statement_is_for_tables_that_take_it(spark):
+    spark.sql("CREATE TABLE IF NOT EXISTS plain_table (event_id string) USING parquet")
+    with pytest.raises(Exception, match="MERGE"):
+        upsert.merge_into(spark.createDataFrame([("a",)], "event_id string"), "plain_table")
+
+
 def test_first_write_makes_the_table(spark, tmp_path):
     path = str(tmp_path / "new")
     report = upsert.upsert_days(dated(spark, [("a", at(0))]), path)
