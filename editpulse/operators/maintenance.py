@@ -14,6 +14,7 @@ from pyspark.sql.types import DateType, StructField, StructType
 
 from editpulse.config import TableRule
 from editpulse.functions.clock import Instant, hours, instant
+from editpulse.session import settings
 from editpulse.sources.lake import delete_path, is_stream_log
 
 # A file below this share of the target counts as small. With five or more
@@ -108,13 +109,8 @@ def list_files(spark: SparkSession, path: str, date_col: str | None = None) -> D
     File contents are not read. For a table written by a stream this lists
     also the files its log does not know, which is what orphans are.
     """
-    setting = "spark.sql.streaming.fileStreamSink.ignoreMetadata"
-    before = spark.conf.get(setting, "false")
-    spark.conf.set(setting, "true")
-    try:
+    with settings(spark, spark__sql__streaming__fileStreamSink__ignoreMetadata="true"):
         found = _listing(spark, path)
-    finally:
-        spark.conf.set(setting, before)
     return found if date_col is None else found.withColumn("partition", _day(date_col))
 
 

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -39,6 +41,23 @@ def build_session(app_name: str = "editpulse", **overrides: str) -> SparkSession
     return builder.getOrCreate()
 
 
+@contextmanager
+def settings(spark: SparkSession, **values: str) -> Iterator[None]:
+    """Session settings for one block; names with ``__`` for each dot."""
+    named = {name.replace("__", "."): value for name, value in values.items()}
+    before = {name: spark.conf.get(name, None) for name in named}
+    try:
+        for name, value in named.items():
+            spark.conf.set(name, value)
+        yield
+    finally:
+        for name, value in before.items():
+            if value is None:
+                spark.conf.unset(name)
+            else:
+                spark.conf.set(name, value)
+
+
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
     """A new folder for intermediate tables that every executor can reach.
 

@@ -14,6 +14,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import DateType, StructField, StructType
 
 from editpulse import schemas
+from editpulse.session import settings
+
+# Shuffled bytes per writing task.
+WRITE_TASK_BYTES = "512MB"
 
 # table -> (columns, time column behind the day partition, partition column)
 LAYOUT: dict[str, tuple[StructType, str, str]] = {
@@ -122,16 +126,20 @@ def write_days(df: DataFrame, path: str, date_col: str) -> None:
     """Replace the days present in ``df``, other days stay.
 
     The rebalance brings a day's rows together into well-sized files and lets
-    adaptive execution split a day that is too big for one task.
+    adaptive execution split a day that is too big for one task. Its tasks are
+    larger than those of other shuffles, so that compaction has nothing to do
+    after each replay.
     """
-    (
-        df.hint("rebalance", date_col)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .option("compression", "zstd")
-        .partitionBy(date_col)
-        .parquet(path)
-    )
+    size = {"spark__sql__adaptive__advisoryPartitionSizeInBytes": WRITE_TASK_BYTES}
+    with settings(df.sparkSession, **size):
+        (
+            df.hint("rebalance", date_col)
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .option("compression", "zstd")
+            .partitionBy(date_col)
+            .parquet(path)
+        )
 
 
 def drop_partition(spark: SparkSession, path: str, date_col: str, day) -> None:

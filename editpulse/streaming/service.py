@@ -25,14 +25,16 @@ def drain(
     now: Instant = None,
     shape: str = "struct",
 ) -> None:
-    """Take all available input through every layer, one after the other.
+    """Take all available input through every layer.
 
-    Picks up where the checkpoints stand, so it can be run by a scheduler.
+    Picks up where the checkpoints stand, so it can be run by a scheduler. The
+    two readers of Bronze run side by side.
     """
     _prepare(spark, lake)
     layers.start_bronze(topic, lake, layers.ONCE, now).awaitTermination()
+    aside = layers.start_quarantine(spark, lake, settings, layers.ONCE, shape)
     layers.start_silver(spark, lake, settings, layers.ONCE, now, shape).awaitTermination()
-    layers.start_quarantine(spark, lake, settings, layers.ONCE, shape).awaitTermination()
+    aside.awaitTermination()
     layers.start_gold(spark, lake, settings, layers.ONCE).awaitTermination()
 
 
