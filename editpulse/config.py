@@ -36,7 +36,7 @@ class Settings:
     # how many parts the copies of one id are split before they meet.
     # horizon None keeps every id for ever.
     dedup_horizon: str | None = "24 hours"
-    dedup_splits: int = 8
+    dedup_splits: int = 32
 
     # Rate limits of the streaming sources.
     max_offsets_per_trigger: int = 20_000_000

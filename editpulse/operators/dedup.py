@@ -46,7 +46,8 @@ def dedup_stream(
 
     ``splits`` above 1 first dedups every id in that many parts, so a hot id is
     shared by as many tasks; the parts then meet in a second pass that sees at
-    most ``splits`` rows per id. It costs a second state store.
+    most ``splits`` rows per id. It costs a second state store, whatever their
+    number.
     """
     if horizon is None:
         stream, drop = rows, DataFrame.dropDuplicates

@@ -37,8 +37,8 @@ def merge(target: DataFrame, source: DataFrame, key: str = "event_id") -> DataFr
 def merge_into(source: DataFrame, table: str, key: str = "event_id") -> None:
     """The same upsert as one MERGE, for catalogs whose tables support it."""
     same_key = F.expr(f"{table}.{key} = source.{key}")
-    source.alias("source").mergeInto(table, same_key).whenMatched().updateAll().whenNotMatched(
-    ).insertAll().merge()
+    merge_rows = source.alias("source").mergeInto(table, same_key)
+    merge_rows.whenMatched().updateAll().whenNotMatched().insertAll().merge()
 
 
 def _in_days(date_col: str, days: list) -> Column:

@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from editpulse import session
 from editpulse.config import Settings
 from editpulse.functions.clock import Instant, hours, instant, since
 from editpulse.operators import gold, silver
@@ -103,7 +104,9 @@ def run_replay(
     staged_rows, staged_mark = f"{staging}/rows", f"{staging}/mark"
     # Taken before the rows: what arrives in between is replayed next time.
     bronze.agg(F.max("ingestion_time").alias("replayed_to")).write.parquet(staged_mark)
-    with_day(latest_silver(bronze, shape), "event_time", "event_date").write.parquet(staged_rows)
+    with session.settings(spark, **session.shuffle_width(bronze)):
+        latest = with_day(latest_silver(bronze, shape), "event_time", "event_date")
+        latest.write.parquet(staged_rows)
 
     source = read_table(spark, staged_rows)
     upserted = upsert_days(source, lake.table("silver_serving"))

@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
+import math
 import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
+# Estimated bytes per shuffle task, and where more tasks stop paying.
+SHUFFLE_TASK_BYTES = 128 << 20
+MAX_SHUFFLE_TASKS = 100_000
+
 # What a stream's session needs; safe to set on a running session.
 STREAM_DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
@@ -58,6 +63,20 @@ def settings(spark: SparkSession, **values: str) -> Iterator[None]:
                 spark.conf.set(name, value)
 
 
+def shuffle_width(df: DataFrame, task_bytes: int = SHUFFLE_TASK_BYTES) -> dict[str, str]:
+    """Setting for enough shuffle tasks for the data behind ``df``.
+
+    A fixed number is too small for a big table and is the start of spilling.
+    The size is Spark's own estimate from the files the plan reads; where it
+    comes out too wide, adaptive execution merges the tasks again.
+    """
+    spark = df.sparkSession
+    estimate = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    usual = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    tasks = min(max(usual, math.ceil(estimate / task_bytes)), MAX_SHUFFLE_TASKS)
+    return {"spark__sql__adaptive__coalescePartitions__initialPartitionNum": str(tasks)}
+
+
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
     """A new folder for intermediate tables that every executor can reach.
 

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import DateType, StructField, StructType
 
 from editpulse import schemas
-from editpulse.session import settings
+from editpulse.session import settings, shuffle_width
 
 # Shuffled bytes per writing task.
 WRITE_TASK_BYTES = "512MB"
@@ -131,7 +131,7 @@ def write_days(df: DataFrame, path: str, date_col: str) -> None:
     after each replay.
     """
     size = {"spark__sql__adaptive__advisoryPartitionSizeInBytes": WRITE_TASK_BYTES}
-    with settings(df.sparkSession, **size):
+    with settings(df.sparkSession, **size, **shuffle_width(df)):
         (
             df.hint("rebalance", date_col)
             .write.mode("overwrite")

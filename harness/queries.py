@@ -20,7 +20,7 @@ from editpulse.operators.dedup import first_per_key
 from editpulse.plans import dashboards, replay
 from editpulse.plans.replay import latest_silver, recent_bronze, with_day
 from editpulse.schemas import SILVER
-from editpulse.session import STREAM_DEFAULTS, scratch_dir
+from editpulse.session import STREAM_DEFAULTS, scratch_dir, shuffle_width
 from editpulse.sources.feed import envelopes
 from editpulse.sources.lake import Lake, read_layer, read_table, write_days
 from editpulse.sources.topic import publish, topic_stream
@@ -36,7 +36,10 @@ def query(function: Callable[[SparkSession, DataFrame], DataFrame]) -> Callable:
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
-        return zoneless(function(spark, testbed.events(spark, sf_dir)))
+        events = testbed.events(spark, sf_dir)
+        for name, value in shuffle_width(events).items():
+            spark.conf.set(name.replace("__", "."), value)
+        return zoneless(function(spark, events))
 
     REGISTRY[function.__name__] = run
     return function

@@ -2,6 +2,7 @@
 
 import re
 from datetime import datetime
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
@@ -15,6 +16,7 @@ from editpulse.operators.dedup import first_per_key
 from editpulse.plans import dashboards
 from editpulse.plans.replay import with_day
 from editpulse.schemas import SILVER
+from editpulse.session import scratch_dir, settings, shuffle_width
 from helpers import plan_of
 
 # These write tables or run streams, so building them already runs jobs.
@@ -106,3 +108,28 @@ def test_no_query_crosses_or_leaves_the_jvm(spark, small_sf, name):
     plan = plan_of(entry.queries()[name](spark, small_sf))
     for operator in ("CartesianProduct", "BroadcastNestedLoopJoin", "PythonUDF", "MapInPandas"):
         assert operator not in plan
+
+
+def test_shuffles_widen_with_the_data(spark, lake_table):
+    name = "spark__sql__adaptive__coalescePartitions__initialPartitionNum"
+    usual = spark.conf.get("spark.sql.shuffle.partitions")
+    assert shuffle_width(lake_table)[name] == usual
+    assert int(shuffle_width(lake_table, task_bytes=1000)[name]) > int(usual)
+
+
+def test_scratch_tables_go_where_the_cluster_says(spark, tmp_path):
+    """The setting is fixed when a session starts, so a stand-in carries it."""
+    known = {"spark.checkpoint.dir": f"{tmp_path}/"}
+    cluster = SimpleNamespace(conf=known)
+    first, second = scratch_dir(cluster, "x"), scratch_dir(cluster, "x")
+    assert first.startswith(f"{tmp_path}/editpulse-x-") and first != second
+    assert not scratch_dir(spark, "x").startswith(str(tmp_path))
+
+
+def test_settings_are_put_back(spark):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    with pytest.raises(ValueError):
+        with settings(spark, spark__sql__shuffle__partitions="77"):
+            assert spark.conf.get("spark.sql.shuffle.partitions") == "77"
+            raise ValueError
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
