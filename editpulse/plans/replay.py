@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from editpulse import session
 from editpulse.config import Settings
-from editpulse.functions.clock import Instant, hours, instant, since
+from editpulse.functions.clock import Instant, hours, instant, newest, since
 from editpulse.operators import gold, silver
 from editpulse.operators.dedup import latest_per_key
 from editpulse.operators.upsert import upsert_days
@@ -69,16 +69,13 @@ class ReplayReport:
 def _bound(spark: SparkSession, lake: Lake, now: Column, lookback_hours: int) -> Column | None:
     """Where the replay starts: the lookback, or further back after a gap.
 
-    None means all of Bronze: without a serving table there is nothing to
-    correct, it has to be filled.
+    None means all of Bronze: before the first finished run there is nothing
+    to correct, the serving tables have to be filled.
     """
-    if not path_exists(spark, lake.table("silver_serving")):
+    if not path_exists(spark, lake.table("replay_log")):
         return None
-    bound = now - hours(lookback_hours)
-    if path_exists(spark, lake.table("replay_log")):
-        done = spark.read.parquet(lake.table("replay_log")).agg(F.max("replayed_to")).scalar()
-        bound = F.least(bound, done)
-    return bound
+    finished = spark.read.schema("replayed_to timestamp").parquet(lake.table("replay_log"))
+    return F.least(now - hours(lookback_hours), newest(finished, "replayed_to"))
 
 
 def run_replay(

@@ -51,6 +51,7 @@ def serve(
     Any failed query ends the service with its error, so none dies unseen.
     """
     trigger = {"processingTime": interval}
+    spark.streams.resetTerminated()  # queries of earlier runs do not count
     started: list[StreamingQuery] = []
     _prepare(spark, lake)
     try:

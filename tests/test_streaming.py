@@ -1,7 +1,10 @@
 """Live queries: watermark, lateness, dedup, restart, and agreement with batch."""
 
+import time
 from dataclasses import replace
 from datetime import timedelta
+from pathlib import Path
+from threading import Thread
 
 import pytest
 from pyspark.sql import functions as F
@@ -11,8 +14,8 @@ from editpulse.config import Settings
 from editpulse.operators import gold, silver
 from editpulse.plans.replay import with_day
 from editpulse.schemas import GOLD, SILVER
-from editpulse.sources.lake import read_layer
-from editpulse.sources.topic import publish, topic_stream
+from editpulse.sources.lake import path_exists, read_layer
+from editpulse.sources.topic import kafka_options, publish, topic_stream
 from editpulse.streaming import layers, service
 from helpers import at, rows_of, silver_df
 
@@ -196,3 +199,50 @@ def test_a_failing_layer_ends_the_service(spark, lake, tmp_path):
     with pytest.raises(Exception):
         service.serve(spark, lake, topic_stream(spark, path=topic), SMALL, interval="1 second")
     assert spark.streams.active == []
+
+
+def test_the_service_runs_until_a_query_is_stopped(spark, lake, small_sf):
+    topic, events = f"{lake.root}/topic", testbed.events(spark, small_sf)
+    publish(testbed.topic_rows(events), path=topic)
+    running = Thread(
+        target=service.serve,
+        args=(spark, lake, topic_stream(spark, path=topic), SMALL, "1 second"),
+    )
+    running.start()
+    deadline = time.monotonic() + 120
+    while time.monotonic() < deadline:
+        if path_exists(spark, f"{lake.table('gold_live')}/_spark_metadata/0"):
+            break
+        time.sleep(1)
+    assert {q.name for q in spark.streams.active} == {
+        "bronze_log", "silver_log", "quarantine", "gold_live"
+    }
+    next(q for q in spark.streams.active if q.name == "silver_log").stop()
+    running.join(120)
+    assert not running.is_alive()
+    assert spark.streams.active == []
+    assert read_layer(spark, lake, "silver_log").count() == events.count()
+
+
+@pytest.mark.parametrize("layer", ["bronze_log", "silver_log", "gold_live"])
+def test_a_batch_done_but_not_marked_is_not_written_twice(spark, lake, small_sf, layer):
+    """As after a driver loss between the write and the checkpoint's commit."""
+    topic = f"{lake.root}/topic"
+    publish(testbed.topic_rows(testbed.events(spark, small_sf)), path=topic)
+    service.drain(spark, lake, topic_stream(spark, path=topic), SMALL)
+    before = rows_of(read_layer(spark, lake, layer))
+    commits = Path(lake.checkpoint(layer)) / "commits"
+    last = max((f for f in commits.iterdir() if f.name.isdigit()), key=lambda f: int(f.name))
+    for left in (last, commits / f".{last.name}.crc"):
+        left.unlink(missing_ok=True)
+    service.drain(spark, lake, topic_stream(spark, path=topic), SMALL)
+    assert rows_of(read_layer(spark, lake, layer)) == before
+    assert last.exists()
+
+
+def test_kafka_source_settings():
+    options = kafka_options("host:9092", "edits")
+    assert options["subscribe"] == "edits"
+    assert options["startingOffsets"] == "latest"
+    assert options["failOnDataLoss"] == "false"
+    assert int(options["maxOffsetsPerTrigger"]) > int(options["maxRecordsPerPartition"]) > 0

@@ -158,6 +158,32 @@ def test_first_replay_fills_and_later_ones_catch_up_after_a_gap(spark, lake, sma
     assert not path_exists(spark, f"{lake.root}/_staging/x")
 
 
+def test_a_broken_off_first_replay_is_made_whole_by_the_next(spark, lake, small_sf, monkeypatch):
+    from editpulse.plans import replay as module
+
+    events = testbed.events(spark, small_sf)
+    start = datetime(2024, 2, 1)
+    land_bronze(lake, events, start)
+
+    def lost(*_):
+        raise RuntimeError("driver lost")
+
+    with monkeypatch.context() as broken:
+        broken.setattr(module.gold, "window_kpis", lost)
+        with pytest.raises(RuntimeError):
+            run_replay(spark, lake, start)
+    assert path_exists(spark, lake.table("silver_serving"))
+    # Two days later the first arrivals are older than the lookback.
+    run_replay(spark, lake, start + timedelta(days=2))
+    assert corrected(spark, lake) == expected_gold(events)
+
+
+def test_replay_of_an_empty_bronze(spark, lake, small_sf):
+    land_bronze(lake, testbed.events(spark, small_sf).filter("false"))
+    report = run_replay(spark, lake, datetime(2024, 2, 1))
+    assert (report.days, report.replayed_rows) == ((), 0)
+
+
 def test_replay_leaves_days_alone_that_nothing_arrived_for(spark, lake, small_sf):
     events = testbed.events(spark, small_sf)
     land_bronze(lake, events)
