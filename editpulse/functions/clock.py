@@ -27,12 +27,15 @@ def minutes(n: float) -> Column:
     return F.make_dt_interval(F.lit(0), F.lit(0), F.lit(n))
 
 
-def newest(df: DataFrame, time_col: str) -> Column:
-    """Latest moment in ``df`` as a scalar subquery, so nothing is collected.
+def newest(df: DataFrame, time_col: str, less: Column | None = None) -> Column:
+    """Latest moment in ``df``, less an interval, as a scalar subquery.
 
-    Spark runs it first and then pushes the value into the scan that uses it.
+    Nothing is collected: Spark runs the subquery first. Compared with a time
+    column as it is, its value reaches the scan and whole row groups are
+    skipped; so a bound should be subtracted in here and not outside.
     """
-    return df.agg(F.max(time_col)).scalar()
+    latest = F.max(time_col)
+    return df.agg(latest if less is None else latest - less).scalar()
 
 
 def since(df: DataFrame, time_col: str, bound: Column, date_col: str | None = None) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from editpulse.config import Settings
 from editpulse.functions import kpis
-from editpulse.functions.clock import Instant, hours, instant, since
+from editpulse.functions.clock import since
 from editpulse.schemas import GOLD, REPLAY_GOLD
 
 
@@ -37,14 +37,12 @@ def stream_kpis(silver: DataFrame, settings: Settings = Settings()) -> DataFrame
 
 def replay_kpis(
     silver: DataFrame,
-    now: Instant = None,
-    lookback_hours: int = Settings.lookback_hours,
+    since_time: Column,
     minutes: int = Settings.replay_minutes,
     date_col: str | None = None,
 ) -> DataFrame:
-    """Reduced KPIs over the edits of the last hours, from the raw bot flag."""
-    bound = instant(now) - hours(lookback_hours)
-    recent = since(silver, "event_time", bound, date_col)
+    """Reduced KPIs over the edits at or after a moment, from the raw bot flag."""
+    recent = since(silver, "event_time", since_time, date_col)
     return tumble(recent, minutes, kpis.replay_measures()).select(*REPLAY_GOLD.fieldNames())
 
 

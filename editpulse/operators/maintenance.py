@@ -209,13 +209,13 @@ def _rewrite(spark: SparkSession, path: str, date_col: str, job: list) -> None:
     rows = table.filter(chosen).withColumn("_place", place)
     rows = rows.join(F.broadcast(slots), F.col(date_col).eqNullSafe(F.col("day")))
     slot = (F.col("first_slot") + F.pmod("_place", "slots")).cast("int")
-    (
-        rows.withColumn("_slot", slot)
-        .repartitionById(first, "_slot")
-        .select(*table.columns)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .option("compression", "zstd")
-        .partitionBy(date_col)
-        .parquet(path)
-    )
+    placed = rows.withColumn("_slot", slot).repartitionById(first, "_slot")
+    with settings(spark, spark__sql__parquet__outputTimestampType="TIMESTAMP_MICROS"):
+        (
+            placed.select(*table.columns)
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .option("compression", "zstd")
+            .partitionBy(date_col)
+            .parquet(path)
+        )

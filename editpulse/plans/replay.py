@@ -119,9 +119,8 @@ def run_replay(
     )
     for day in upserted.emptied:
         drop_partition(spark, lake.table("gold_corrected"), "window_date", day)
-    reduced = gold.replay_kpis(
-        serving, clock, settings.lookback_hours, settings.replay_minutes, "event_date"
-    )
+    lookback = clock - hours(settings.lookback_hours)
+    reduced = gold.replay_kpis(serving, lookback, settings.replay_minutes, "event_date")
     write_days(
         with_day(reduced, "window_start", "window_date"), lake.table("gold_replay"), "window_date"
     )

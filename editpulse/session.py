@@ -19,6 +19,8 @@ MAX_SHUFFLE_TASKS = 100_000
 # What a stream's session needs; safe to set on a running session.
 STREAM_DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
+    # The usual form of times in parquet has no statistics: nothing is skipped.
+    "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
     # Dedup and window state outgrow the heap: keep it in RocksDB, ship deltas.
     "spark.sql.streaming.stateStore.providerClass": _ROCKSDB,
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",

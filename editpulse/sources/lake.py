@@ -130,8 +130,11 @@ def write_days(df: DataFrame, path: str, date_col: str) -> None:
     larger than those of other shuffles, so that compaction has nothing to do
     after each replay.
     """
-    size = {"spark__sql__adaptive__advisoryPartitionSizeInBytes": WRITE_TASK_BYTES}
-    with settings(df.sparkSession, **size, **shuffle_width(df)):
+    how = {
+        "spark__sql__adaptive__advisoryPartitionSizeInBytes": WRITE_TASK_BYTES,
+        "spark__sql__parquet__outputTimestampType": "TIMESTAMP_MICROS",
+    }
+    with settings(df.sparkSession, **how, **shuffle_width(df)):
         (
             df.hint("rebalance", date_col)
             .write.mode("overwrite")

@@ -55,8 +55,8 @@ def zoneless(df: DataFrame) -> DataFrame:
     )
 
 
-def last_event(events: DataFrame) -> Column:
-    return newest(events, "ts")
+def last_event(events: DataFrame, hours_before: int = 0) -> Column:
+    return newest(events, "ts", less=hours(hours_before))
 
 
 def arrival_hour(rows: DataFrame) -> DataFrame:
@@ -78,7 +78,7 @@ def bronze_project(spark, events):
 
 @query
 def bronze_replay_scan(spark, events):
-    bound = last_event(events) - hours(Settings.lookback_hours)
+    bound = last_event(events, Settings.lookback_hours)
     rows = recent_bronze(testbed.bronze_rows(events), bound, date_col=None)
     return rows.select("event_key", "offset", "raw_json", "ingestion_time")
 
@@ -158,7 +158,8 @@ def gold_approx_distinct(spark, events):
 
 @query
 def gold_replay_kpis(spark, events):
-    return gold.replay_kpis(testbed.silver_rows(events), last_event(events))
+    bound = last_event(events, Settings.lookback_hours)
+    return gold.replay_kpis(testbed.silver_rows(events), bound)
 
 
 # --- Late data and replay ---------------------------------------------------
@@ -174,7 +175,7 @@ def late_rows(spark, events):
 
 def _replayed(events: DataFrame) -> DataFrame:
     """Latest state of every edit that arrived in the last day."""
-    bound = last_event(events) - hours(Settings.lookback_hours)
+    bound = last_event(events, Settings.lookback_hours)
     arrived = recent_bronze(testbed.bronze_rows(events, revisions=True), bound, date_col=None)
     return latest_silver(arrived)
 
@@ -182,7 +183,7 @@ def _replayed(events: DataFrame) -> DataFrame:
 def _held_before(events: DataFrame) -> DataFrame:
     """Silver as the table stood twelve hours ago."""
     rows = testbed.silver_rows(events)
-    return rows.filter(F.col("ingestion_time") < last_event(events) - hours(12)).drop(
+    return rows.filter(F.col("ingestion_time") < last_event(events, 12)).drop(
         "ingestion_time"
     )
 
@@ -219,7 +220,7 @@ def silver_upsert_table(spark, events):
 
 
 def _corrected(events: DataFrame) -> DataFrame:
-    bound = last_event(events) - hours(Settings.lookback_hours)
+    bound = last_event(events, Settings.lookback_hours)
     return replay.corrected_windows(testbed.silver_rows(events), bound)
 
 
@@ -331,7 +332,7 @@ def orphan_files(spark, events):
     path = F.concat(F.lit("f_"), F.col("event_id").cast("string")).alias("path")
     listing = events.select(path, F.col("ts").alias("modified_at"))
     referenced = events.filter(F.col("event_type") != "error").select(path)
-    return maintenance.orphan_files(listing, referenced, last_event(events) - hours(72))
+    return maintenance.orphan_files(listing, referenced, last_event(events, 72))
 
 
 @query

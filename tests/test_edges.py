@@ -135,13 +135,13 @@ def test_rate_follows_the_window_width(spark):
 
 def test_replay_counts_an_unknown_flag_on_no_side(spark):
     rows = [("1", at(0), {"is_bot": None}), ("2", at(1), {"is_bot": True}), ("3", at(2))]
-    row = gold.replay_kpis(silver_df(spark, rows), at(10)).first()
+    row = gold.replay_kpis(silver_df(spark, rows), F.lit(at(0)).cast("timestamp")).first()
     assert (row.total_edits, row.bot_edits, row.human_edits) == (3, 1, 1)
 
 
 def test_replay_bound_is_inclusive(spark):
     rows = [("1", at(0)), ("2", at(-0.001)), ("3", None)]
-    kpis = gold.replay_kpis(silver_df(spark, rows), at(24 * 60))
+    kpis = gold.replay_kpis(silver_df(spark, rows), F.lit(at(0)).cast("timestamp"))
     assert [r.total_edits for r in kpis.collect()] == [1]
 
 
