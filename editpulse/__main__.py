@@ -6,6 +6,7 @@ import argparse
 
 from pyspark.sql import SparkSession
 
+from editpulse.config import Settings
 from editpulse.plans.replay import run_replay
 from editpulse.plans.upkeep import run_upkeep
 from editpulse.session import build_session
@@ -35,6 +36,7 @@ def _parser() -> argparse.ArgumentParser:
     publish.add_argument("--feed", required=True, help="folder of feed lines as JSON")
     stream = job("stream", "topic to Bronze, Silver and Gold", topic=True)
     stream.add_argument("--interval", default="10 seconds")
+    stream.add_argument("--silver-files", type=int, help="Silver files per batch and day")
     replay = job("replay", "correct late data of the last hours")
     upkeep = job("upkeep", "orphans and compaction")
     upkeep.add_argument("--delete-orphans", action="store_true")
@@ -64,6 +66,14 @@ def _publish(spark: SparkSession, lake: Lake, args: argparse.Namespace) -> None:
     layers.start_publish(lines, checkpoint, trigger=trigger, **target).awaitTermination()
 
 
+def _stream(spark: SparkSession, lake: Lake, args: argparse.Namespace) -> None:
+    topic, settings = _source(spark, args), Settings(silver_files=args.silver_files)
+    if args.once:
+        service.drain(spark, lake, topic, settings, shape=args.user_shape)
+    else:
+        service.serve(spark, lake, topic, settings, args.interval, args.user_shape)
+
+
 def main(argv: list[str] | None = None) -> None:
     args = _parser().parse_args(argv)
     spark, lake = build_session(f"editpulse-{args.job}"), Lake(args.root)
@@ -71,11 +81,8 @@ def main(argv: list[str] | None = None) -> None:
         create_tables(spark, lake, args.database)
     if args.job == "publish":
         _publish(spark, lake, args)
-    elif args.job == "stream" and args.once:
-        service.drain(spark, lake, _source(spark, args), shape=args.user_shape)
     elif args.job == "stream":
-        topic = _source(spark, args)
-        service.serve(spark, lake, topic, interval=args.interval, shape=args.user_shape)
+        _stream(spark, lake, args)
     elif args.job == "replay":
         print(run_replay(spark, lake, shape=args.user_shape))
     elif args.job == "upkeep":

@@ -38,6 +38,10 @@ class Settings:
     dedup_horizon: str | None = "24 hours"
     dedup_splits: int = 32
 
+    # Files per batch and day of the Silver log. Its state has as many parts as
+    # there are shuffle tasks; on a wide cluster that many files are too small.
+    silver_files: int | None = None
+
     # Rate limits of the streaming sources.
     max_offsets_per_trigger: int = 20_000_000
     max_records_per_task: int = 500_000

@@ -86,6 +86,8 @@ def silver_stream(
     unique = dedup_stream(
         flat, "event_id", "ingestion_time", settings.dedup_horizon, settings.dedup_splits
     )
+    if settings.silver_files is not None:
+        unique = unique.repartition(settings.silver_files, "event_id")
     return silver.finish(unique, now)
 
 

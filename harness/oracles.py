@@ -207,6 +207,11 @@ ORACLES: dict[str, str] = {
     "silver_dedup": f"with {_SILVER} select {_SILVER_COLUMNS} from silver",
     "gold_kpis_5m": f"with {_SILVER}, {_gold('gold', 'silver')} select * from gold",
     "bronze_to_gold": f"with {_SILVER}, {_gold('gold', 'silver')} select * from gold",
+    "gold_approx_error": f"""with {_SILVER}
+        select date_trunc('day', event_time)::TIMESTAMP as window_start,
+          count(distinct user_id) as unique_editors, count(distinct page_title) as active_pages,
+          true as unique_editors_near, true as active_pages_near
+        from silver group by 1""",
     "gold_replay_kpis": f"""with {_SILVER}
         select time_bucket(interval '10 minutes', event_time) as window_start,
           time_bucket(interval '10 minutes', event_time) + interval 10 minutes as window_end,

@@ -30,6 +30,9 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 REGISTRY: dict[str, Query] = {}
 
+# Live Gold counts these by sketch; they differ from exact counts by design.
+SKETCHED = ("unique_editors", "active_pages")
+
 
 def query(function: Callable[[SparkSession, DataFrame], DataFrame]) -> Callable:
     """Register ``function(spark, events)`` under its own name."""
@@ -156,6 +159,24 @@ def gold_approx_distinct(spark, events):
     return kpis.select("window_start", "window_end", "unique_editors", "active_pages")
 
 
+@query
+def gold_approx_error(spark, events):
+    """Sketched daily counts against exact ones: three standard errors at most."""
+    silver_rows, day = testbed.silver_rows(events), 24 * 60
+    exact = gold.window_kpis(silver_rows, day)
+    sketch = gold.window_kpis(silver_rows, day, distinct="approx").select(
+        "window_start", *[F.col(name).alias(f"{name}_sketch") for name in SKETCHED]
+    )
+
+    def near(name: str) -> Column:
+        error = F.abs(F.col(f"{name}_sketch") - F.col(name))
+        return (error <= F.col(name) * 0.15).alias(f"{name}_near")
+
+    return exact.join(sketch, "window_start").select(
+        "window_start", *SKETCHED, *[near(name) for name in SKETCHED]
+    )
+
+
 @query
 def gold_replay_kpis(spark, events):
     bound = last_event(events, Settings.lookback_hours)
@@ -362,10 +383,6 @@ def compaction_rowcheck(spark, events):
 # can restate needs all rows of a step in one batch.
 ONE_BATCH = replace(Settings(), max_files_per_trigger=1_000_000)
 
-# Sketched counts differ from exact ones by design.
-SKETCHED = ("unique_editors", "active_pages")
-
-
 def _stream_session(spark: SparkSession) -> SparkSession:
     """Own settings for the streams, the caller's session stays as it is.
 

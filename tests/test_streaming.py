@@ -240,6 +240,13 @@ def test_a_batch_done_but_not_marked_is_not_written_twice(spark, lake, small_sf,
     assert last.exists()
 
 
+def test_silver_files_per_batch_can_be_set(spark, lake):
+    settings = replace(Settings(), dedup_splits=2, silver_files=1)
+    put_bronze(spark, lake, [(str(i), "x") for i in range(50)], at(0))
+    assert len(run_silver(spark, lake, settings)) == 50
+    assert len(list(Path(lake.table("silver_log")).rglob("*.parquet"))) == 1
+
+
 def test_kafka_source_settings():
     options = kafka_options("host:9092", "edits")
     assert options["subscribe"] == "edits"
