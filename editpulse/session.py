@@ -24,6 +24,10 @@ STREAM_DEFAULTS = {
     # Dedup and window state outgrow the heap: keep it in RocksDB, ship deltas.
     "spark.sql.streaming.stateStore.providerClass": _ROCKSDB,
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    # One memory limit for all state parts of an executor, not one for each.
+    "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
+    # Counting rows would cost a read before every write.
+    "spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows": "false",
 }
 
 DEFAULTS = {
