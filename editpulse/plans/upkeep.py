@@ -5,7 +5,6 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import SparkSession
-from pyspark.sql import functions as F
 
 from editpulse.config import TABLE_RULES
 from editpulse.functions.clock import Instant, hours, instant
