@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from editpulse.llm.substrings import substring_dedup
+from editpulse.llm.suffixes import suffix_dedup
 
 ROOT = str(Path(__file__).resolve().parents[2])
 
@@ -45,3 +46,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def op10_substring_dedup(spark, sf_dir):
     kept = substring_dedup(table(spark, sf_dir, "documents"), digest=True)
     return kept.select("doc_id", "n_words", "n_removed", F.col("kept").alias("kept_sha256"), "level_words")
+
+
+@query
+def op1_suffix_dedup(spark, sf_dir):
+    kept = suffix_dedup(table(spark, sf_dir, "documents"), digest=True)
+    sha256 = F.lower(F.hex("kept")).alias("kept_sha256")
+    return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", sha256)
