@@ -9,6 +9,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from editpulse.llm.decontaminate import contamination
 from editpulse.llm.substrings import substring_dedup
 from editpulse.llm.suffixes import suffix_dedup
 
@@ -53,3 +54,16 @@ def op1_suffix_dedup(spark, sf_dir):
     kept = suffix_dedup(table(spark, sf_dir, "documents"), digest=True)
     sha256 = F.lower(F.hex("kept")).alias("kept_sha256")
     return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", sha256)
+
+
+@query
+def op4_decontamination(spark, sf_dir):
+    found = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
