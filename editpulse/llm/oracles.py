@@ -3,3 +3,42 @@
 from __future__ import annotations
 
 ORACLES: dict[str, str] = {}
+
+_MIX_WORDS = r"len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))"
+
+ORACLES["op9_source_mix"] = f"""
+WITH rows AS (
+  SELECT doc_id, source, {_MIX_WORDS}::BIGINT AS size, doc_id::VARCHAR AS id,
+         md5(concat_ws('|', 'mix', doc_id::VARCHAR, md5(text))) AS print
+  FROM documents
+), sizes AS (
+  SELECT source, sum(size)::BIGINT AS source_size FROM rows GROUP BY source
+), weighted AS (
+  SELECT *, [5.0, 2.0, 1.0][((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1)::INT]::DOUBLE AS weight,
+         source_size * 3.0::DOUBLE AS top
+  FROM sizes
+), shares AS (
+  SELECT *, ((SELECT sum(source_size) FROM sizes)::DOUBLE
+             - coalesce(sum(top) OVER (up ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0.0))
+            / sum(weight) OVER (up ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS share,
+         row_number() OVER up AS place
+  FROM weighted WINDOW up AS (ORDER BY top / weight, source NULLS LAST)
+), targets AS (
+  SELECT source, source_size, least(top, (SELECT arg_min(share, place) FROM shares WHERE share * weight <= top) * weight) AS target
+  FROM shares
+), ranked AS (
+  SELECT rows.*, source_size, target,
+         CASE WHEN source_size > 0 THEN target / source_size ELSE 0.0::DOUBLE END AS times,
+         (('0x' || substr(print, 1, 13))::BIGINT::DOUBLE + 0.5::DOUBLE) / 4503599627370496.0::DOUBLE AS u
+  FROM rows JOIN targets ON rows.source IS NOT DISTINCT FROM targets.source
+), odds AS (
+  SELECT *, floor(times) AS whole, times - floor(times) AS p FROM ranked
+), ordered AS (
+  SELECT *, CASE WHEN p > 0 THEN (u / (1 - u)) / (p / (1 - p)) END AS rank FROM odds
+), upto AS (
+  SELECT *, sum(size) OVER (PARTITION BY source ORDER BY rank NULLS LAST, id NULLS FIRST, size, print) AS words FROM ordered
+)
+SELECT doc_id, size, source_size, target,
+       (size * (whole::BIGINT + coalesce((words - size / 2.0::DOUBLE <= target - source_size * whole AND rank IS NOT NULL)::INT, 0)))::BIGINT AS taken
+FROM upto
+"""

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from editpulse.llm.decontaminate import contamination
+from editpulse.llm.mixing import mix
 from editpulse.llm.substrings import substring_dedup
 from editpulse.llm.suffixes import suffix_dedup
 
@@ -67,3 +68,10 @@ def op4_decontamination(spark, sf_dir):
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
         (F.col("n_hit") > 0).alias("contaminated"),
     )
+
+
+@query
+def op9_source_mix(spark, sf_dir):
+    mixed = mix(table(spark, sf_dir, "documents"))
+    taken = (F.col("size") * F.col("copies")).alias("taken")
+    return mixed.select("doc_id", "size", "source_size", "target", taken)
