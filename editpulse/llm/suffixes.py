@@ -22,9 +22,12 @@ from pyspark.sql import functions as F
 
 from editpulse.llm import exchange, text as tx
 from editpulse.llm.substrings import twice
-from editpulse.llm.text import FULL, PIECE_BYTES, U64
+from editpulse.llm.text import FULL, U64
 
 BATCHES = 8
+PIECE_BYTES = 1 << 16
+BLOCK_BYTES = 4 << 20
+SHARDS_PER_BLOCK = 2
 
 
 def suffix_dedup(
@@ -34,7 +37,7 @@ def suffix_dedup(
     min_bytes: int = 50,
     batches: int = BATCHES,
     digest: bool = False,
-    block_bytes: int = exchange.BLOCK_BYTES,
+    block_bytes: int = BLOCK_BYTES,
 ) -> DataFrame:
     """Remove every byte of a ``min_bytes`` string that a smaller id has too.
 
@@ -50,6 +53,7 @@ def suffix_dedup(
     n = exchange.parts(docs, text_col, block_bytes)
     cut = _Cut(min_bytes)
     rows = exchange.blocks(docs, id_col, text_col, n)
+    n *= SHARDS_PER_BLOCK
     pieces = rows.groupBy("block").applyInArrow(_send_pieces(cut, n), "shard int, block int, keys binary")
     repeated = exchange.repeated_keys(pieces).select("block", "shard", F.lit(0).alias("kind"), "keys")
     sent = rows.groupBy("block").cogroup(repeated.groupBy("block")).applyInArrow(
@@ -124,6 +128,7 @@ class _Block:
             low[before + step] = np.maximum(low[before + step], at[before] + 1)
             after = np.flatnonzero(near & (keys[step:] < keys[:-step]))
             high[after] = np.minimum(high[after], at[after + step] - self.cut.places)
+        keys = tx.mix(keys)  # least values lie close together, shards need even ones
         use = (low <= high) & (exchange.known(keys, answers, shards) | twice(keys))
         return _Strings(self, low[use], high[use], doc[use], keys[use], shards)
 
@@ -170,7 +175,7 @@ def _spread_out(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
 
 def _send_pieces(cut: _Cut, shards: int):
     def send(table: pa.Table) -> pa.Table:
-        return exchange.ship_keys(table["block"][0].as_py(), _Block(table, cut).marks()[1], shards)
+        return exchange.ship_keys(table["block"][0].as_py(), tx.mix(_Block(table, cut).marks()[1]), shards)
 
     return send
 

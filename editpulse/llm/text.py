@@ -15,7 +15,9 @@ import pyarrow as pa
 
 U64 = np.uint64
 FULL = U64(0xFFFFFFFFFFFFFFFF)
-PIECE_BYTES = 1 << 20
+# Arrays over a piece of text stay within a core's cache.
+PIECE_BYTES = 1 << 17
+RUN_BYTES = 1 << 20
 _ODD = 0x9E3779B97F4A7C15
 _STEP = 0xD1342543DE82EF95
 _MASK = (1 << 64) - 1
@@ -67,7 +69,7 @@ def texts(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return whole[starts[0] : starts[-1]], starts - starts[0]
 
 
-def runs_of(starts: np.ndarray, limit: int = PIECE_BYTES) -> Iterator[tuple[int, int]]:
+def runs_of(starts: np.ndarray, limit: int = RUN_BYTES) -> Iterator[tuple[int, int]]:
     """Runs of texts of about ``limit`` bytes together, never less than one text."""
     first, n = 0, len(starts) - 1
     while first < n:
@@ -189,5 +191,11 @@ def sha256(data) -> str:
 
 def cover(starts: np.ndarray, ends: np.ndarray, total: int) -> np.ndarray:
     """Which of ``total`` places lie in any of the spans from ``starts`` up to ``ends``."""
-    steps = np.bincount(starts, minlength=total + 1) - np.bincount(ends, minlength=total + 1)
-    return np.cumsum(steps[:total]) > 0
+    steps = np.zeros(total + 1, np.int8)
+    if len(starts):
+        order = np.argsort(starts)
+        starts, ends = starts[order], np.maximum.accumulate(ends[order])
+        apart = starts[1:] > ends[:-1]
+        steps[starts[np.concatenate([[True], apart])]] = 1
+        steps[ends[np.concatenate([apart, [True]])]] = -1
+    return np.cumsum(steps[:total], dtype=np.int8).view(bool)
