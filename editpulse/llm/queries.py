@@ -13,6 +13,7 @@ from editpulse.llm.decontaminate import contamination
 from editpulse.llm.mixing import mix
 from editpulse.llm.substrings import substring_dedup
 from editpulse.llm.suffixes import suffix_dedup
+from editpulse.llm.toxicity import toxicity
 
 ROOT = str(Path(__file__).resolve().parents[2])
 
@@ -75,3 +76,8 @@ def op9_source_mix(spark, sf_dir):
     mixed = mix(table(spark, sf_dir, "documents"))
     taken = (F.col("size") * F.col("copies")).alias("taken")
     return mixed.select("doc_id", "size", "source_size", "target", taken)
+
+
+@query
+def op6_toxicity(spark, sf_dir):
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
