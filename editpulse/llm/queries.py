@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from editpulse.llm.decontaminate import contamination
+from editpulse.llm.jaccard import jaccard_join
 from editpulse.llm.mixing import mix
 from editpulse.llm.substrings import substring_dedup
 from editpulse.llm.suffixes import suffix_dedup
@@ -81,3 +82,8 @@ def op9_source_mix(spark, sf_dir):
 @query
 def op6_toxicity(spark, sf_dir):
     return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op5_jaccard_join(spark, sf_dir):
+    return jaccard_join(table(spark, sf_dir, "documents"))
