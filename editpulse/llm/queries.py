@@ -15,6 +15,7 @@ from editpulse.llm.mixing import mix
 from editpulse.llm.substrings import substring_dedup
 from editpulse.llm.suffixes import suffix_dedup
 from editpulse.llm.toxicity import toxicity
+from editpulse.llm.urls import Rule, judge_urls
 
 ROOT = str(Path(__file__).resolve().parents[2])
 
@@ -87,3 +88,17 @@ def op6_toxicity(spark, sf_dir):
 @query
 def op5_jaccard_join(spark, sf_dir):
     return jaccard_join(table(spark, sf_dir, "documents"))
+
+
+URL_RULES = (
+    Rule("allow", "org", "/"),
+    Rule("block", "example.org", "/es/"),
+    Rule("block", "example.org", "/en/1"),
+    Rule("allow", "com", "/fr/"),
+    Rule("block", "com", "/de/"),
+)
+
+
+@query
+def op8_url_filters(spark, sf_dir):
+    return judge_urls(table(spark, sf_dir, "pages"), URL_RULES)
