@@ -2,7 +2,7 @@
 
 The trees look at the text of a URL alone: lengths, depth, shares of digits and
 capitals, entropy of its characters, parameters, and how often URLs of the same
-host suffix are blocked. They learn from the URLs that a rule decides. All of it
+host suffix, or of the same first part of the path, are blocked. They learn from the URLs that a rule decides. All of it
 is built-in expressions and the JVM's own tree learner, no Python on the workers.
 """
 
@@ -18,14 +18,14 @@ from pyspark.sql import functions as F
 from editpulse.llm import exchange
 
 TRAINING_URLS = 20_000
-SUFFIX_BUCKETS = 4096
+BUCKETS = 4096
 TREES, DEPTH, SEED = 10, 4, 7
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 FEATURES = (
     "length", "host_length", "path_length", "depth", "dots", "hyphens", "digits", "capitals", "entropy",
-    "parameters", "fragment", "secure", "suffix_blocked", "suffix_known",
+    "parameters", "fragment", "secure", "suffix_blocked", "suffix_known", "part_blocked", "part_known",
 )
 
 
@@ -100,7 +100,28 @@ def _with_features(rows: DataFrame) -> DataFrame:
         "secure": F.startswith(url, F.lit("https")).cast("int"),
     }
     rows = rows.withColumns({name: value.cast("double") for name, value in numbers.items()})
-    return rows.withColumn("bucket", F.pmod(F.xxhash64(suffix), F.lit(SUFFIX_BUCKETS)).cast("int"))
+    part = F.split_part(F.col("path"), F.lit("/"), F.lit(2))
+    bucket = lambda text: F.pmod(F.xxhash64(text), F.lit(BUCKETS)).cast("int")
+    return rows.withColumns({"suffix": bucket(suffix), "part": bucket(part) + BUCKETS})
+
+
+def _with_blocked(rows: DataFrame) -> DataFrame:
+    """How often a rule blocks URLs of the same suffix, and of the same first part of the path.
+
+    A URL's own label stays out of what it learns from.
+    """
+    known = rows.filter(F.col("label").isNotNull()).select("label", F.explode(F.array("suffix", "part")).alias("bucket"))
+    counts = known.groupBy("bucket").agg(F.sum("label").alias("blocked"), F.count("*").alias("seen"))
+    # Twice BUCKETS rows at most.
+    counts = exchange.stored(counts, "url-counts")
+    for name in ("suffix", "part"):
+        side = counts.select(F.col("bucket").alias(name), "blocked", "seen")
+        rows = rows.join(F.broadcast(side), name, "left")
+        blocked = F.coalesce("blocked", F.lit(0.0)) - F.coalesce("label", F.lit(0.0))
+        seen = F.coalesce("seen", F.lit(0)) - F.col("label").isNotNull().cast("int")
+        rows = rows.withColumns({f"{name}_blocked": (blocked + 1) / (seen + 2), f"{name}_known": F.log1p(seen)})
+        rows = rows.drop("blocked", "seen")
+    return rows
 
 
 def judge_urls(pages: DataFrame, rules: tuple[Rule, ...], id_col: str = "page_id", url_col: str = "url") -> DataFrame:
@@ -108,7 +129,7 @@ def judge_urls(pages: DataFrame, rules: tuple[Rule, ...], id_col: str = "page_id
 
     The longest rule that fits decides; ties go to the greater text. Other URLs
     go by trees that were trained on at most ``TRAINING_URLS`` of the URLs that a
-    rule decides, in order of a hash; the suffixes are counted over all of them.
+    rule decides, in order of a hash; suffixes and parts are counted over all of them.
     Where rules decide nothing, or all the same, there is nothing to learn and
     other URLs get that verdict, or "allow".
 
@@ -124,17 +145,7 @@ def judge_urls(pages: DataFrame, rules: tuple[Rule, ...], id_col: str = "page_id
     rows = rows.withColumn("label", F.when(F.col("decided") == "block", 1.0).when(F.col("decided") == "allow", 0.0))
     rows = rows.drop("tail")
 
-    known = rows.filter(F.col("label").isNotNull())
-    suffixes = known.groupBy("bucket").agg(F.sum("label").alias("blocked"), F.count("*").alias("seen"))
-    # A row for each of SUFFIX_BUCKETS at most.
-    suffixes = exchange.stored(suffixes, "url-suffixes")
-    rows = rows.join(F.broadcast(suffixes), "bucket", "left")
-    # A URL's own label stays out of what it learns from.
-    own = F.coalesce("label", F.lit(0.0)), F.col("label").isNotNull().cast("int")
-    blocked = F.coalesce("blocked", F.lit(0.0)) - own[0]
-    seen = F.coalesce("seen", F.lit(0)) - own[1]
-    rows = rows.withColumn("suffix_blocked", (blocked + 1) / (seen + 2)).withColumn("suffix_known", F.log1p(seen))
-
+    rows = _with_blocked(rows)
     sample = rows.filter(F.col("label").isNotNull()).select("label", *FEATURES, F.xxhash64("url").alias("draw"))
     sample = exchange.stored(sample.orderBy("draw", "label").limit(TRAINING_URLS), "url-sample")
     kinds = [row[0] for row in sample.groupBy("label").count().orderBy("label").select("label").collect()]
