@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from editpulse.llm.decontaminate import contamination
 from editpulse.llm.jaccard import jaccard_join
+from editpulse.llm.lines import line_dedup
 from editpulse.llm.mixing import mix
 from editpulse.llm.substrings import substring_dedup
 from editpulse.llm.suffixes import suffix_dedup
@@ -102,3 +103,8 @@ URL_RULES = (
 @query
 def op8_url_filters(spark, sf_dir):
     return judge_urls(table(spark, sf_dir, "pages"), URL_RULES)
+
+
+@query
+def op7_line_dedup(spark, sf_dir):
+    return line_dedup(table(spark, sf_dir, "documents"))
