@@ -121,7 +121,7 @@ class _Block:
         hashes, whole = self.windows(half)
         hashes = np.where(whole, np.minimum(tx.mix(hashes), FULL - U64(1)), FULL)
         at = tx.minima(hashes, min_words - half + 1)
-        return at, hashes[at]
+        return at, tx.mix(hashes[at])  # least values lie close together, shards need even ones
 
     def candidates(self, min_words: int, half: int, answers: pa.Table, shards: int):
         """Windows of the least length around a repeated seed: first word and hash."""
