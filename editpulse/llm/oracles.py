@@ -42,3 +42,22 @@ SELECT doc_id, size, source_size, target,
        (size * (whole::BIGINT + coalesce((words - size / 2.0::DOUBLE <= target - source_size * whole AND rank IS NOT NULL)::INT, 0)))::BIGINT AS taken
 FROM upto
 """
+
+ORACLES["op3_exact_top_k"] = """
+WITH rows AS (
+  SELECT vec_id, [floor(256 * x::DOUBLE)::BIGINT FOR x IN embedding] AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+), parts AS (
+  SELECT vec_id, unnest(generate_series(1, len(v))) AS i, unnest(v) AS x FROM rows
+), scores AS (
+  SELECT q.vec_id AS query_id, c.vec_id, sum(q.x * c.x)::BIGINT AS score
+  FROM parts q JOIN parts c USING (i)
+  WHERE q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id
+  GROUP BY ALL
+)
+SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank, vec_id, score
+FROM scores
+QUALIFY rank <= 5
+"""

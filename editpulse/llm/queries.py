@@ -13,8 +13,10 @@ from editpulse.llm.decontaminate import contamination
 from editpulse.llm.jaccard import jaccard_join
 from editpulse.llm.lines import line_dedup
 from editpulse.llm.mixing import mix
+from editpulse.llm.quality import quality
 from editpulse.llm.substrings import substring_dedup
 from editpulse.llm.suffixes import suffix_dedup
+from editpulse.llm.topk import exact_top_k
 from editpulse.llm.toxicity import toxicity
 from editpulse.llm.urls import Rule, judge_urls
 
@@ -108,3 +110,13 @@ def op8_url_filters(spark, sf_dir):
 @query
 def op7_line_dedup(spark, sf_dir):
     return line_dedup(table(spark, sf_dir, "documents"))
+
+
+@query
+def op3_exact_top_k(spark, sf_dir):
+    return exact_top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+@query
+def op2_quality(spark, sf_dir):
+    return quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
