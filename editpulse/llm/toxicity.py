@@ -177,7 +177,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     known = labels.select(F.col(id_col).cast("long").alias("id"), F.col(label_col).alias("toxic"))
     known = known.dropna().groupBy("id").agg((F.max("toxic") > 0).cast("int").alias("toxic"))
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    counted = texts.join(known.filter(fold(F.col("id")).isin(1, 2, 3)), "id")
+    # Merged at every size: labels grow with the texts, so they are never broadcast.
+    counted = texts.join(known.filter(fold(F.col("id")).isin(1, 2, 3)).hint("merge"), "id")
     grams = counted.select("text", "toxic").mapInArrow(_count, "gram long, toxic long, plain long")
     grams = exchange.stored(grams.groupBy("gram").agg(F.sum("toxic").alias("toxic"), F.sum("plain").alias("plain")), "grams")
     model = _model(grams)
