@@ -74,9 +74,8 @@ def _count(text: Column, character: str) -> Column:
     return F.length(text) - F.length(F.translate(text, character, ""))
 
 
-def _entropy(text: Column) -> Column:
-    """Bits per character, by how often each occurs."""
-    letters = F.filter(F.split(text, ""), lambda c: c != "")
+def _entropy(letters: str) -> Column:
+    """Bits per character, by how often each occurs, of a column of characters."""
     size = F.greatest(F.size(letters), F.lit(1))
     often = F.transform(F.array_distinct(letters), lambda c: F.size(F.filter(letters, lambda x: x == c)).cast("double"))
     return F.log2(size) - F.aggregate(often, F.lit(0.0), lambda sum_, n: sum_ + n * F.log2(n)) / size
@@ -85,6 +84,8 @@ def _entropy(text: Column) -> Column:
 def _with_features(rows: DataFrame) -> DataFrame:
     url = F.coalesce("url", F.lit(""))
     suffix = F.element_at(F.split("host", r"\."), -1)
+    # A column of its own: within the lambda it would be split anew for every character.
+    rows = rows.withColumn("letters", F.array_remove(F.split(url, ""), ""))
     numbers = {
         "length": F.length(url),
         "host_length": F.length("host"),
@@ -94,12 +95,12 @@ def _with_features(rows: DataFrame) -> DataFrame:
         "hyphens": _count(url, "-"),
         "digits": _share(url, "0123456789"),
         "capitals": _share(url, _UPPER),
-        "entropy": _entropy(url),
+        "entropy": _entropy("letters"),
         "parameters": _count(F.col("tail"), "=") + _count(F.col("tail"), "&"),
         "fragment": F.contains("tail", F.lit("#")).cast("int"),
         "secure": F.startswith(url, F.lit("https")).cast("int"),
     }
-    rows = rows.withColumns({name: value.cast("double") for name, value in numbers.items()})
+    rows = rows.withColumns({name: value.cast("double") for name, value in numbers.items()}).drop("letters")
     part = F.split_part(F.col("path"), F.lit("/"), F.lit(2))
     bucket = lambda text: F.pmod(F.xxhash64(text), F.lit(BUCKETS)).cast("int")
     return rows.withColumns({"suffix": bucket(suffix), "part": bucket(part) + BUCKETS})
