@@ -37,12 +37,12 @@ def stream_kpis(silver: DataFrame, settings: Settings = Settings()) -> DataFrame
 
 def replay_kpis(
     silver: DataFrame,
-    since_time: Column,
+    since_time: Column | None,
     minutes: int = Settings.replay_minutes,
     date_col: str | None = None,
 ) -> DataFrame:
-    """Reduced KPIs over the edits at or after a moment, from the raw bot flag."""
-    recent = since(silver, "event_time", since_time, date_col)
+    """Reduced KPIs over all edits, or those at or after a moment, from the raw bot flag."""
+    recent = silver if since_time is None else since(silver, "event_time", since_time, date_col)
     return tumble(recent, minutes, kpis.replay_measures()).select(*REPLAY_GOLD.fieldNames())
 
 

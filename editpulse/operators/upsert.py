@@ -60,32 +60,44 @@ class UpsertReport:
     emptied: tuple[date | None, ...] = ()
 
 
+def touched_days(
+    source: DataFrame, target: DataFrame | None, key: str = "event_id", date_col: str = "event_date"
+) -> list[date | None]:
+    """Days that hold source rows, or target rows that these replace."""
+    days = set(_days_of(source, date_col))
+    if target is not None:
+        days |= set(_days_of(target.join(source.select(key), key, "left_semi"), date_col))
+    return list(days)
+
+
 def upsert_days(
-    source: DataFrame, path: str, key: str = "event_id", date_col: str = "event_date"
+    source: DataFrame,
+    path: str,
+    key: str = "event_id",
+    date_col: str = "event_date",
+    touched: list[date | None] | None = None,
 ) -> UpsertReport:
     """Merge ``source`` into the table at ``path``.
 
     Only the days that hold source rows, or target rows the source replaces
-    (an edit may move to another day), are read in full and rewritten. Pass a
-    stored source: it is read more than once. Each day is replaced as a whole;
-    the days are not replaced together.
+    (an edit may move to another day), are read in full and rewritten; give
+    them as ``touched`` where they are known. Pass a stored source: it is read
+    more than once. Each day is replaced as a whole; the days are not replaced
+    together.
     """
     spark = source.sparkSession
-    source_days = _days_of(source, date_col)
-    if not path_exists(spark, path):
+    target = read_table(spark, path, source.schema) if path_exists(spark, path) else None
+    touched = touched_days(source, target, key, date_col) if touched is None else touched
+    if target is None:
         write_days(source, path, date_col)
-        return UpsertReport(tuple(source_days))
+        return UpsertReport(tuple(touched))
 
-    target = read_table(spark, path, source.schema)
-    replaced = target.join(source.select(key), key, "left_semi")
-    touched = list({*source_days, *_days_of(replaced, date_col)})
     result = merge(target.filter(_in_days(date_col, touched)), source, key)
 
     # A day that lost its last row would keep its files: overwriting only
-    # replaces days that get rows. Days with source rows cannot be empty.
-    doubtful = [day for day in touched if day not in source_days]
-    remaining = _days_of(result.filter(_in_days(date_col, doubtful)), date_col) if doubtful else []
-    emptied = tuple(day for day in doubtful if day not in remaining)
+    # replaces days that get rows.
+    remaining = _days_of(result, date_col)
+    emptied = tuple(day for day in touched if day not in remaining)
     write_days(result, path, date_col)
     for day in emptied:
         drop_partition(spark, path, date_col, day)

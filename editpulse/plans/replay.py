@@ -13,17 +13,21 @@ from editpulse.config import Settings
 from editpulse.functions.clock import Instant, hours, instant, newest, since
 from editpulse.operators import gold, silver
 from editpulse.operators.dedup import latest_per_key
-from editpulse.operators.upsert import upsert_days
+from editpulse.operators.upsert import merge_into, touched_days, upsert_days
 from editpulse.sources.lake import (
     Lake,
     delete_path,
-    drop_partition,
+    drop_day,
+    layer_exists,
+    list_paths,
     path_exists,
     read_layer,
     read_table,
-    write_days,
+    write_layer,
 )
 
+_DAYS = "day date"
+
 
 def recent_bronze(
     bronze: DataFrame, bound: Column, date_col: str | None = "ingestion_date"
@@ -78,6 +82,86 @@ def _bound(spark: SparkSession, lake: Lake, now: Column, lookback_hours: int) ->
     return F.least(now - hours(lookback_hours), newest(finished, "replayed_to"))
 
 
+@dataclass(frozen=True)
+class _Entry:
+    """What one run keeps in the lake until it has finished."""
+
+    path: str
+
+    @property
+    def mark(self) -> str:
+        return f"{self.path}/mark"
+
+    @property
+    def rows(self) -> str:
+        return f"{self.path}/rows"
+
+    @property
+    def days(self) -> str:
+        return f"{self.path}/days"
+
+
+def stage(
+    spark: SparkSession, lake: Lake, clock: Column, settings: Settings, shape: str = "struct"
+) -> _Entry:
+    """Store the rows to replay, so that all later steps see the same ones."""
+    bronze = read_layer(spark, lake, "bronze_log")
+    bound = _bound(spark, lake, clock, settings.lookback_hours)
+    if bound is not None:
+        bronze = recent_bronze(bronze, bound)
+    entry = _Entry(lake.staging(uuid.uuid4().hex))
+    # Taken before the rows: what arrives in between is replayed next time.
+    bronze.agg(F.max("ingestion_time").alias("replayed_to")).write.parquet(entry.mark)
+    with session.settings(spark, **session.shuffle_width(bronze)):
+        latest = with_day(latest_silver(bronze, shape), "event_time", "event_date")
+        latest.write.parquet(entry.rows)
+    return entry
+
+
+def upsert_staged(spark: SparkSession, lake: Lake, entry: _Entry) -> None:
+    """Bring the serving table up to date; the days it touches are stored first.
+
+    A run that breaks off after this leaves its days behind, and the next run
+    takes them over: by then the table no longer tells where an edit was before.
+    """
+    source, there = read_table(spark, entry.rows), layer_exists(spark, lake, "silver_serving")
+    touched = touched_days(source, read_layer(spark, lake, "silver_serving") if there else None)
+    spark.createDataFrame([(day,) for day in touched], _DAYS).write.parquet(entry.days)
+    if lake.by_name:
+        merge_into(source, lake.name("silver_serving"))
+    else:
+        upsert_days(source, lake.table("silver_serving"), touched=touched)
+
+
+def _open_days(spark, lake: Lake) -> tuple[list[str], set]:
+    """Entries of runs that did not finish, and the days that they had touched."""
+    entries = [_Entry(path) for path in list_paths(spark, lake.staging(""))]
+    days = [e.days for e in entries if path_exists(spark, f"{e.days}/_SUCCESS")]
+    # One row per day and run.
+    left = {row.day for path in days for row in spark.read.schema(_DAYS).parquet(path).collect()}
+    return [e.path for e in entries], left
+
+
+def _redo_gold(spark, lake: Lake, touched: set, settings: Settings) -> None:
+    """Both Gold tables of the touched days, each day whole.
+
+    Windows never cross a day, so whole days are whole windows. A day that has
+    no edit left loses its windows.
+    """
+    dated = [day for day in touched if day is not None]
+    redo = read_layer(spark, lake, "silver_serving").filter(F.col("event_date").isin(dated))
+    tables = {
+        "gold_corrected": gold.window_kpis(redo, settings.kpi_minutes),
+        "gold_replay": gold.replay_kpis(redo, None, settings.replay_minutes),
+    }
+    for table, windows in tables.items():
+        write_layer(with_day(windows, "window_start", "window_date"), lake, table)
+    there = {row[0] for row in redo.select("event_date").distinct().collect()}
+    for day in set(dated) - there:
+        for table in tables:
+            drop_day(spark, lake, table, day)
+
+
 def run_replay(
     spark: SparkSession,
     lake: Lake,
@@ -89,52 +173,28 @@ def run_replay(
 
     The replayed rows are stored first, so that all later steps see the same
     rows however far Bronze has grown, and a lost executor costs a re-read, not
-    a new parse. Repeating a run changes nothing.
+    a new parse. Repeating a run changes nothing. A run that broke off at any
+    step is made good by the next: its rows are still in reach of the lookback,
+    which goes back to the last finished run, and its days are stored.
     """
-    clock = instant(now)
-    bronze = read_layer(spark, lake, "bronze_log")
-    bound = _bound(spark, lake, clock, settings.lookback_hours)
-    if bound is not None:
-        bronze = recent_bronze(bronze, bound)
+    left, touched = _open_days(spark, lake)
+    entry = stage(spark, lake, instant(now), settings, shape)
+    upsert_staged(spark, lake, entry)
+    touched |= {row.day for row in spark.read.schema(_DAYS).parquet(entry.days).collect()}
+    _redo_gold(spark, lake, touched, settings)
 
-    staging = lake.staging(uuid.uuid4().hex)
-    staged_rows, staged_mark = f"{staging}/rows", f"{staging}/mark"
-    # Taken before the rows: what arrives in between is replayed next time.
-    bronze.agg(F.max("ingestion_time").alias("replayed_to")).write.parquet(staged_mark)
-    with session.settings(spark, **session.shuffle_width(bronze)):
-        latest = with_day(latest_silver(bronze, shape), "event_time", "event_date")
-        latest.write.parquet(staged_rows)
-
-    source = read_table(spark, staged_rows)
-    upserted = upsert_days(source, lake.table("silver_serving"))
-    serving = read_layer(spark, lake, "silver_serving")
-
-    # Windows never cross a day, so redoing whole days redoes whole windows.
-    dated = [day for day in upserted.touched if day is not None]
-    redo = serving.filter(F.col("event_date").isin(dated))
-    write_days(
-        with_day(gold.window_kpis(redo, settings.kpi_minutes), "window_start", "window_date"),
-        lake.table("gold_corrected"),
-        "window_date",
-    )
-    for day in upserted.emptied:
-        drop_partition(spark, lake.table("gold_corrected"), "window_date", day)
-    lookback = clock - hours(settings.lookback_hours)
-    reduced = gold.replay_kpis(serving, lookback, settings.replay_minutes, "event_date")
-    write_days(
-        with_day(reduced, "window_start", "window_date"), lake.table("gold_replay"), "window_date"
-    )
-
-    mark = spark.read.parquet(staged_mark).filter(F.col("replayed_to").isNotNull())
+    mark = spark.read.parquet(entry.mark).filter(F.col("replayed_to").isNotNull())
     mark.write.mode("append").parquet(lake.table("replay_log"))
-    report = ReplayReport(tuple(sorted(dated)), source.count())
-    delete_path(spark, staging)
+    days = tuple(sorted(day for day in touched if day is not None))
+    report = ReplayReport(days, read_table(spark, entry.rows).count())
+    for path in [entry.path, *left]:
+        delete_path(spark, path)
     return report
 
 
 def served_gold(spark: SparkSession, lake: Lake) -> DataFrame:
     """Corrected windows over live ones; only live before the first replay."""
     live = read_layer(spark, lake, "gold_live")
-    if not path_exists(spark, lake.table("gold_corrected")):
+    if not layer_exists(spark, lake, "gold_corrected"):
         return live
     return gold.serve(live, read_layer(spark, lake, "gold_corrected"))

@@ -33,9 +33,27 @@ LAYOUT: dict[str, tuple[StructType, str, str]] = {
 
 @dataclass(frozen=True)
 class Lake:
-    """A root folder every executor can reach."""
+    """A root folder every executor can reach, and the format of its tables.
+
+    Parquet tables are read and written by path. Tables of any other format are
+    those of ``database``, by name: their own format keeps their files, takes
+    ``MERGE`` and has its own upkeep.
+    """
 
     root: str
+    fmt: str = "parquet"
+    database: str | None = None
+
+    def __post_init__(self):
+        if self.by_name and not self.database:
+            raise ValueError(f"tables of format {self.fmt} need a database")
+
+    @property
+    def by_name(self) -> bool:
+        return self.fmt != "parquet"
+
+    def name(self, table: str) -> str:
+        return f"{self.database}.{table}"
 
     def table(self, name: str) -> str:
         return f"{self.root.rstrip('/')}/{name}"
@@ -60,10 +78,10 @@ def create_tables(spark: SparkSession, lake: Lake, database: str) -> None:
         columns = ", ".join(
             f"`{field.name}` {field.dataType.simpleString()}" for field in stored_schema(table)
         )
+        stored = "" if lake.by_name else f" LOCATION '{lake.table(table)}' OPTIONS (compression 'zstd')"
         spark.sql(
-            f"CREATE TABLE IF NOT EXISTS {database}.{table} ({columns}) USING parquet "
-            f"PARTITIONED BY ({date_col}) LOCATION '{lake.table(table)}' "
-            f"OPTIONS (compression 'zstd')"
+            f"CREATE TABLE IF NOT EXISTS {database}.{table} ({columns}) USING {lake.fmt} "
+            f"PARTITIONED BY ({date_col}){stored}"
         )
 
 
@@ -78,9 +96,10 @@ def register_views(spark: SparkSession, lake: Lake) -> list[str]:
 def sync_partitions(spark: SparkSession, lake: Lake, database: str) -> None:
     """Tell the catalog which days the batch-written tables hold now.
 
-    Log tables need none: readers follow the stream's own file log.
+    Log tables need none: readers follow the stream's own file log. Tables by
+    name need none either.
     """
-    for table in LAYOUT:
+    for table in () if lake.by_name else LAYOUT:
         path = lake.table(table)
         if path_exists(spark, path) and not is_stream_log(spark, path):
             spark.sql(f"MSCK REPAIR TABLE {database}.{table} SYNC PARTITIONS")
@@ -108,6 +127,21 @@ def delete_path(spark: SparkSession, path: str) -> None:
     fs.delete(hadoop_path, True)
 
 
+def list_paths(spark: SparkSession, path: str) -> list[str]:
+    """What a folder holds; nothing if it is not there."""
+    if not path_exists(spark, path):
+        return []
+    hadoop_path, fs = _path(spark, path)
+    return [status.getPath().toString() for status in fs.listStatus(hadoop_path)]
+
+
+def move_into(spark: SparkSession, path: str, folder: str) -> None:
+    """Move a file into a folder, which is made where it is missing."""
+    hadoop_path, fs = _path(spark, path)
+    make_folder(spark, folder)
+    fs.rename(hadoop_path, _path(spark, f"{folder}/{hadoop_path.getName()}")[0])
+
+
 def is_stream_log(spark: SparkSession, path: str) -> bool:
     return path_exists(spark, f"{path}/_spark_metadata")
 
@@ -119,9 +153,34 @@ def read_table(spark: SparkSession, path: str, schema: StructType | None = None)
 
 def read_layer(spark: SparkSession, lake: Lake, table: str) -> DataFrame:
     """A lake table in its declared schema, so an empty folder reads as empty."""
+    if lake.by_name:
+        return spark.table(lake.name(table))
     return read_table(spark, lake.table(table), stored_schema(table))
 
 
+def layer_exists(spark: SparkSession, lake: Lake, table: str) -> bool:
+    return spark.catalog.tableExists(lake.name(table)) if lake.by_name else path_exists(spark, lake.table(table))
+
+
+def write_layer(df: DataFrame, lake: Lake, table: str) -> None:
+    """Replace the days present in ``df`` of a lake table."""
+    date_col = LAYOUT[table][2]
+    if lake.by_name:
+        df.hint("rebalance", date_col).writeTo(lake.name(table)).overwritePartitions()
+    else:
+        write_days(df, lake.table(table), date_col)
+
+
+def drop_day(spark: SparkSession, lake: Lake, table: str, day) -> None:
+    """Take all rows of a day out of a lake table."""
+    date_col = LAYOUT[table][2]
+    if lake.by_name:
+        same = f"{date_col} IS NULL" if day is None else f"{date_col} = DATE '{day.isoformat()}'"
+        spark.sql(f"DELETE FROM {lake.name(table)} WHERE {same}")
+    else:
+        drop_partition(spark, lake.table(table), date_col, day)
+
+
 def write_days(df: DataFrame, path: str, date_col: str) -> None:
     """Replace the days present in ``df``, other days stay.
 

@@ -10,7 +10,7 @@ from editpulse.operators import gold, upsert
 from editpulse.operators.dedup import first_per_key, latest_per_key
 from editpulse.plans.replay import corrected_windows, run_replay, served_gold, with_day
 from editpulse.schemas import GOLD, SILVER
-from editpulse.sources.lake import path_exists, read_layer, read_table, write_days
+from editpulse.sources.lake import list_paths, path_exists, read_layer, read_table, write_days
 from helpers import at, rows_of, silver_df
 
 
@@ -178,6 +178,39 @@ def test_a_broken_off_first_replay_is_made_whole_by_the_next(spark, lake, small_
     assert corrected(spark, lake) == expected_gold(events)
 
 
+@pytest.mark.parametrize("step", ["upsert_days", "_redo_gold"])
+def test_a_moved_edit_is_made_good_after_a_break(spark, lake, small_sf, monkeypatch, step):
+    from editpulse.plans import replay as module
+
+    events = testbed.events(spark, small_sf)
+    land_bronze(lake, events)
+    run_replay(spark, lake, datetime(2024, 1, 31))
+    moved = events.filter("event_id % 10 = 0").withColumn("ts", F.col("ts") + F.expr("INTERVAL 3 DAYS"))
+    land_bronze(lake, moved, datetime(2024, 2, 5))
+
+    def lost(*_, **__):
+        raise RuntimeError("driver lost")
+
+    with monkeypatch.context() as broken:
+        broken.setattr(module, step, lost)
+        with pytest.raises(RuntimeError):
+            run_replay(spark, lake, datetime(2024, 2, 5, 1))
+    run_replay(spark, lake, datetime(2024, 2, 5, 2))
+    final = events.filter("event_id % 10 <> 0").unionByName(moved)
+    assert corrected(spark, lake) == expected_gold(final)
+    assert list_paths(spark, lake.staging("")) == []
+
+
+def test_stored_reduced_windows_stay_whole(spark, lake, small_sf):
+    events = testbed.events(spark, small_sf)
+    land_bronze(lake, events)
+    for hour in (6, 18):
+        run_replay(spark, lake, datetime(2024, 1, 20, hour))
+    expected = gold.replay_kpis(testbed.silver_rows(events), None)
+    stored = read_layer(spark, lake, "gold_replay").drop("window_date")
+    assert rows_of(stored) == rows_of(expected)
+
+
 def test_replay_of_an_empty_bronze(spark, lake, small_sf):
     land_bronze(lake, testbed.events(spark, small_sf).filter("false"))
     report = run_replay(spark, lake, datetime(2024, 2, 1))
