@@ -7,7 +7,7 @@ windows do not add up.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from editpulse import config as c
@@ -24,9 +24,9 @@ def live_edits(
     user_type: str | None = None,
     edit_size: str | None = None,
     change_type: str | None = None,
-    limit: int | None = 100,
+    limit: int | None = None,
 ) -> DataFrame:
-    """Newest edits first, with optional filters; a screen shows ``limit``."""
+    """Newest edits first, with optional filters; ``limit`` is for a screen that shows fewer."""
     wanted = {"user_type": user_type, "edit_size": edit_size, "change_type": change_type}
     for column, value in wanted.items():
         if value is not None:
@@ -47,26 +47,11 @@ def velocity(silver: DataFrame, minutes: int = 1) -> DataFrame:
 
 
 def user_distribution(silver: DataFrame) -> DataFrame:
-    """Edits by kind of user and their share of all edits.
-
-    The three kinds are known, so one global aggregate yields them all; no
-    second pass and no window is needed for the total.
-    """
-    kinds = (c.USER_BOT, c.USER_ANONYMOUS, c.USER_REGISTERED)
-    totals = silver.agg(
-        F.count("*").alias("total"),
-        *[F.count_if(F.col("user_type") == kind).alias(kind) for kind in kinds],
-    )
-    rows = F.array(
-        *[F.struct(F.lit(kind).alias("user_type"), F.col(kind).alias("edits")) for kind in kinds]
-    )
-    return (
-        totals.select("total", F.inline(rows))
-        .filter(F.col("edits") > 0)
-        .select(
-            "user_type", "edits", percentage(F.col("edits"), F.col("total")).alias("share_percentage")
-        )
-    )
+    """Edits by kind of user, whatever the kinds, and their share of all edits."""
+    per_kind = silver.groupBy("user_type").agg(F.count("*").alias("edits"))
+    # One row per kind of user.
+    total = F.sum("edits").over(Window.partitionBy())
+    return per_kind.withColumn("share_percentage", percentage(F.col("edits"), total))
 
 
 def top_pages(silver: DataFrame, k: int = 10) -> DataFrame:

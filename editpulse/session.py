@@ -12,9 +12,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 _ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
-# Estimated bytes per shuffle task, and where more tasks stop paying.
+# Estimated bytes per shuffle task.
 SHUFFLE_TASK_BYTES = 128 << 20
-MAX_SHUFFLE_TASKS = 100_000
+_MOST_TASKS = (1 << 31) - 1
 
 # What a stream's session needs; safe to set on a running session.
 STREAM_DEFAULTS = {
@@ -79,7 +79,9 @@ def shuffle_width(df: DataFrame, task_bytes: int = SHUFFLE_TASK_BYTES) -> dict[s
     spark = df.sparkSession
     estimate = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     usual = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    tasks = min(max(usual, math.ceil(estimate / task_bytes)), MAX_SHUFFLE_TASKS)
+    tasks = math.ceil(estimate / task_bytes)
+    # Spark's mark for an unknown size is one that no lake has.
+    tasks = usual if tasks > _MOST_TASKS else max(usual, tasks)
     return {"spark__sql__adaptive__coalescePartitions__initialPartitionNum": str(tasks)}
 
 
@@ -87,9 +89,11 @@ def scratch_dir(spark: SparkSession, purpose: str) -> str:
     """A new folder for intermediate tables that every executor can reach.
 
     Uses the folder the cluster names in ``spark.checkpoint.dir``. Only where
-    that is unset (tests, one machine) a local temporary folder is made.
+    that is unset on one machine (tests) a local temporary folder is made.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
+    if not shared and not spark.sparkContext.master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     if shared:
         return f"{shared.rstrip('/')}/editpulse-{purpose}-{uuid.uuid4().hex}"
     return tempfile.mkdtemp(prefix=f"editpulse-{purpose}-")
