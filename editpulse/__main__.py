@@ -24,6 +24,7 @@ def _parser() -> argparse.ArgumentParser:
         sub = jobs.add_parser(name, help=text)
         sub.add_argument("--root", required=True, help="folder of the lake")
         sub.add_argument("--database", help="catalog database over the lake")
+        sub.add_argument("--format", default="parquet", help="table format; others than parquet need a database")
         if topic:
             sub.add_argument("--servers", help="Kafka bootstrap servers")
             sub.add_argument("--topic", default="edits.raw")
@@ -37,9 +38,16 @@ def _parser() -> argparse.ArgumentParser:
     stream = job("stream", "topic to Bronze, Silver and Gold", topic=True)
     stream.add_argument("--interval", default="10 seconds")
     stream.add_argument("--silver-files", type=int, help="Silver files per batch and day")
+    stream.add_argument("--watermark", default=Settings.watermark, help="late tolerance of Gold")
+    stream.add_argument("--dedup-horizon", help="how long Silver remembers an id, e.g. '24 hours'; for ever without")
+    stream.add_argument("--dedup-splits", type=int, default=Settings.dedup_splits)
+    stream.add_argument("--starting-offsets", default=Settings.starting_offsets)
+    stream.add_argument("--fail-on-data-loss", action="store_true")
     replay = job("replay", "correct late data of the last hours")
+    replay.add_argument("--lookback-hours", type=int, default=Settings.lookback_hours)
     upkeep = job("upkeep", "orphans and compaction")
     upkeep.add_argument("--delete-orphans", action="store_true")
+    upkeep.add_argument("--orphan-hours", type=int, default=Settings.orphan_hours)
     for sub in (stream, replay):
         sub.add_argument("--user-shape", choices=("struct", "feed"), default="struct")
     return parser
@@ -48,7 +56,8 @@ def _parser() -> argparse.ArgumentParser:
 def _source(spark: SparkSession, args: argparse.Namespace):
     if args.topic_path:
         return topic_stream(spark, path=args.topic_path)
-    return topic_stream(spark, "kafka", options=kafka_options(args.servers, args.topic))
+    settings = Settings(starting_offsets=args.starting_offsets, fail_on_data_loss=args.fail_on_data_loss)
+    return topic_stream(spark, "kafka", options=kafka_options(args.servers, args.topic, settings))
 
 
 def _publish(spark: SparkSession, lake: Lake, args: argparse.Namespace) -> None:
@@ -67,7 +76,13 @@ def _publish(spark: SparkSession, lake: Lake, args: argparse.Namespace) -> None:
 
 
 def _stream(spark: SparkSession, lake: Lake, args: argparse.Namespace) -> None:
-    topic, settings = _source(spark, args), Settings(silver_files=args.silver_files)
+    topic = _source(spark, args)
+    settings = Settings(
+        silver_files=args.silver_files,
+        watermark=args.watermark,
+        dedup_horizon=args.dedup_horizon,
+        dedup_splits=args.dedup_splits,
+    )
     if args.once:
         service.drain(spark, lake, topic, settings, shape=args.user_shape)
     else:
@@ -76,7 +91,7 @@ def _stream(spark: SparkSession, lake: Lake, args: argparse.Namespace) -> None:
 
 def main(argv: list[str] | None = None) -> None:
     args = _parser().parse_args(argv)
-    spark, lake = build_session(f"editpulse-{args.job}"), Lake(args.root)
+    spark, lake = build_session(f"editpulse-{args.job}"), Lake(args.root, args.format, args.database)
     if args.database:
         create_tables(spark, lake, args.database)
     if args.job == "publish":
@@ -84,9 +99,10 @@ def main(argv: list[str] | None = None) -> None:
     elif args.job == "stream":
         _stream(spark, lake, args)
     elif args.job == "replay":
-        print(run_replay(spark, lake, shape=args.user_shape))
+        settings = Settings(lookback_hours=args.lookback_hours)
+        print(run_replay(spark, lake, settings=settings, shape=args.user_shape))
     elif args.job == "upkeep":
-        print(run_upkeep(spark, lake, delete=args.delete_orphans))
+        print(run_upkeep(spark, lake, delete=args.delete_orphans, orphan_hours=args.orphan_hours))
     if args.database:
         sync_partitions(spark, lake, args.database)
 

@@ -33,15 +33,25 @@ class Settings:
     lookback_hours: int = 24
 
     # Streaming dedup: how long an id is remembered (arrival time), and into
-    # how many parts the copies of one id are split before they meet.
-    # horizon None keeps every id for ever.
-    dedup_horizon: str | None = "24 hours"
+    # how many parts the copies of one id are split before they meet. None
+    # keeps every id for ever; a horizon bounds the state, lets copies that
+    # come later through, and needs a Bronze log in order of arrival.
+    dedup_horizon: str | None = None
     dedup_splits: int = 32
 
     # Files per batch and day of the Silver log. Its state has as many parts as
     # there are shuffle tasks; on a wide cluster that many files are too small.
     silver_files: int | None = None
 
+    # Age from which files that no log knows may be deleted; a running batch
+    # may have written files that are not committed yet.
+    orphan_hours: int = 24
+
+    # Where a first start of the Kafka source begins, and whether offsets that
+    # the broker no longer has end the query.
+    starting_offsets: str = "latest"
+    fail_on_data_loss: bool = False
+
     # Rate limits of the streaming sources.
     max_offsets_per_trigger: int = 20_000_000
     max_records_per_task: int = 500_000

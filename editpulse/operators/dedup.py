@@ -12,10 +12,11 @@ def _pick(df: DataFrame, keys: Sequence[str], order: Sequence[str], pick) -> Dat
     """The picked row as an aggregate, so copies collapse before the shuffle.
 
     Every map task sends at most one row per key. A key that holds a third of
-    the table therefore costs its reducer one row per map task.
+    the table therefore costs its reducer one row per map task. Rows equal in
+    ``order`` are ordered by a hash of the rest, so that the pick is no chance.
     """
     rest = [name for name in df.columns if name not in keys]
-    best = pick(F.struct(*rest), F.struct(*order)).alias("picked")
+    best = pick(F.struct(*rest), F.struct(*order, F.xxhash64(*rest))).alias("picked")
     return df.groupBy(*keys).agg(best).select(*keys, "picked.*").select(*df.columns)
 
 

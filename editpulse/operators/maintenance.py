@@ -6,7 +6,9 @@ separate calls.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from datetime import date
+from itertools import islice
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -24,6 +26,8 @@ SMALL_SHARE = 0.75
 # Output files per rewrite job; more than that goes into further jobs.
 MAX_FILES_PER_JOB = 2_000
 
+DELETES_AT_ONCE = 32
+
 
 def expired_versions(
     versions: DataFrame,
@@ -139,10 +143,13 @@ def delete_files(candidates: DataFrame, dry_run: bool = True) -> int:
     """Delete the files in column ``path``; returns how many there are."""
     if dry_run:
         return candidates.count()
-    spark, deleted = candidates.sparkSession, 0
-    for row in candidates.select("path").toLocalIterator():
-        delete_path(spark, row.path)
-        deleted += 1
+    spark, paths = candidates.sparkSession, candidates.select("path").toLocalIterator()
+    deleted = 0
+    with ThreadPoolExecutor(DELETES_AT_ONCE) as pool:
+        # Some at a time: the driver never holds the names of all of them.
+        while some := [row.path for row in islice(paths, 100 * DELETES_AT_ONCE)]:
+            list(pool.map(lambda path: delete_path(spark, path), some))
+            deleted += len(some)
     return deleted
 
 
@@ -165,12 +172,15 @@ def compact_days(
     target_bytes: int,
     min_input_files: int = 5,
     max_files_per_job: int = MAX_FILES_PER_JOB,
+    time_col: str | None = None,
 ) -> list[str]:
     """Rewrite the days that hold many small files; returns those days.
 
-    Rows go to numbered output slots by the file and position they come from:
-    an even spread, also over equal rows, that a retried task repeats exactly.
-    Each job replaces its days whole, so a stop in between loses nothing.
+    A file holds a stretch of its day by ``time_col``, in order, so that readers
+    still skip files and row groups by time. Rows of one time at a cut, or all of
+    them without a time, are spread by the file and position they come from,
+    which a retried task repeats exactly. Each job replaces its days whole, so a
+    stop in between loses nothing.
     """
     if is_stream_log(spark, path):
         raise ValueError(f"{path} is written by a stream; compact the serving table instead")
@@ -178,7 +188,7 @@ def compact_days(
     # One row per day partition at most.
     plan = compaction_plan(files, target_bytes, min_input_files).collect()
     for job in _jobs(plan, max_files_per_job):
-        _rewrite(spark, path, date_col, job)
+        _rewrite(spark, path, date_col, job, time_col)
     return sorted(row.partition for row in plan)
 
 
@@ -190,26 +200,51 @@ def _read_days(spark: SparkSession, path: str, date_col: str) -> DataFrame:
     return spark.read.schema(StructType(fields)).parquet(path)
 
 
-def _rewrite(spark: SparkSession, path: str, date_col: str, job: list) -> None:
+def _time_bounds(rows: DataFrame, date_col: str, layout: list) -> dict:
+    """Times that cut each day into its files, about equal in rows."""
+    most = max(slots for _, _, slots in layout)
+    if most == 1:
+        return {}
+    wanted = {day: slots for day, _, slots in layout}
+    found = {}
+    for slots in sorted(set(wanted.values()) - {1}):
+        days = [day for day, n in wanted.items() if n == slots and day is not None]
+        cut = F.percentile_approx("_clock", [i / slots for i in range(1, slots)]).alias("bounds")
+        of = rows.filter(F.col(date_col).isin(days)).groupBy(F.col(date_col).alias("day")).agg(cut)
+        found.update({row.day: list(row.bounds) for row in of.collect()})
+    return found
+
+
+def _rewrite(
+    spark: SparkSession, path: str, date_col: str, job: list, time_col: str | None
+) -> None:
     table = _read_days(spark, path, date_col)
     layout, first = [], 0
     for row in job:
         known = row.partition != "__HIVE_DEFAULT_PARTITION__"
-        day = date.fromisoformat(row.partition) if known else None
-        layout.append((day, first, row.output_files))
+        layout.append((date.fromisoformat(row.partition) if known else None, first, row.output_files))
         first += row.output_files
-    slots = spark.createDataFrame(layout, "day date, first_slot bigint, slots bigint")
-
     days = [day for day, _, _ in layout if day is not None]
     chosen = F.col(date_col).isin(days)
     if len(days) < len(layout):
         chosen = chosen | F.col(date_col).isNull()
 
     place = F.xxhash64("_metadata.file_path", "_metadata.row_index")
+    clock = F.unix_micros(time_col) if time_col else F.lit(None).cast("bigint")
     rows = table.filter(chosen).withColumn("_place", place)
+    rows = rows.withColumn("_clock", F.coalesce(clock, F.lit(0).cast("bigint")))
+    bounds = _time_bounds(rows, date_col, layout) if time_col else {}
+    slots = spark.createDataFrame(
+        [(*entry, bounds.get(entry[0], [0] * (entry[2] - 1))) for entry in layout],
+        "day date, first_slot bigint, slots bigint, bounds array<bigint>",
+    )
+    # One row per day of the job, with as many bounds as it has files.
     rows = rows.join(F.broadcast(slots), F.col(date_col).eqNullSafe(F.col("day")))
-    slot = (F.col("first_slot") + F.pmod("_place", "slots")).cast("int")
-    placed = rows.withColumn("_slot", slot).repartitionById(first, "_slot")
+    below = F.size(F.filter("bounds", lambda b: b < F.col("_clock")))
+    upto = F.size(F.filter("bounds", lambda b: b <= F.col("_clock")))
+    slot = F.col("first_slot") + below + F.pmod("_place", upto - below + 1)
+    placed = rows.withColumn("_slot", slot.cast("int")).repartitionById(first, "_slot")
+    placed = placed.sortWithinPartitions("_clock")
     with settings(spark, spark__sql__parquet__outputTimestampType="TIMESTAMP_MICROS"):
         (
             placed.select(*table.columns)

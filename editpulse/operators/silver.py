@@ -18,7 +18,7 @@ SHAPES = {"struct": EDIT_JSON, "feed": EDIT_JSON_FEED}
 _HAS_TEXT = r"[^ \t\r\n]"
 
 # Arrival order of the copies of one edit.
-ARRIVAL = ("ingestion_time", "offset")
+ARRIVAL = ("ingestion_time", "offset", "partition")
 
 
 def parse(bronze: DataFrame, shape: str = "struct", carry: Sequence[str] = ()) -> DataFrame:

@@ -14,7 +14,7 @@ from editpulse.schemas import TOPIC_ROW
 
 
 def kafka_options(servers: str, topic: str, settings: Settings = Settings()) -> dict[str, str]:
-    """History before the first start is skipped; lost offsets do not stop it.
+    """Options of the Kafka source; by default history before the first start is skipped.
 
     Messages without an id share one key and so one topic partition: long
     partitions are cut into offset ranges, each read by a task of its own.
@@ -22,8 +22,8 @@ def kafka_options(servers: str, topic: str, settings: Settings = Settings()) ->
     return {
         "kafka.bootstrap.servers": servers,
         "subscribe": topic,
-        "startingOffsets": "latest",
-        "failOnDataLoss": "false",
+        "startingOffsets": settings.starting_offsets,
+        "failOnDataLoss": str(settings.fail_on_data_loss).lower(),
         "maxOffsetsPerTrigger": str(settings.max_offsets_per_trigger),
         "maxRecordsPerPartition": str(settings.max_records_per_task),
     }
@@ -45,7 +45,8 @@ def as_topic_rows(messages: DataFrame, topic: str) -> DataFrame:
     """Keyed messages as rows of the file form of a topic.
 
     A broker would number the messages. Here the moment of the write stands in
-    for the number: later writes rank higher, rows of one write rank equal.
+    for the number: later writes rank higher, rows of one write and partition
+    rank equal, and their content decides (see ``dedup``).
     """
     return messages.select(
         F.col("key").cast("binary").alias("key"),

@@ -22,7 +22,15 @@ ONCE = {"availableNow": True}
 
 
 def read_log(spark: SparkSession, lake: Lake, table: str, settings: Settings) -> DataFrame:
-    """A log table as a stream of its appends, oldest files first."""
+    """A log table as a stream of its appends, oldest files first.
+
+    Files written together come in any order among themselves. A clock on such
+    a stream must not run ahead of them: a dedup horizon on the arrival time is
+    safe for a log that a stream appended in order of arrival, not for one that
+    was filled at once.
+    """
+    if lake.by_name:
+        return spark.readStream.table(lake.name(table))
     return (
         spark.readStream.schema(stored_schema(table))
         .option("maxFilesPerTrigger", settings.max_files_per_trigger)
@@ -35,16 +43,17 @@ def append_to(df: DataFrame, lake: Lake, table: str, trigger: dict | None) -> St
     _, time_col, date_col = LAYOUT[table]
     writer = (
         df.withColumn(date_col, F.to_date(time_col))
-        .writeStream.format("parquet")
+        .writeStream.format(lake.fmt)
         .queryName(table)
         .outputMode("append")
-        .option("compression", "zstd")
         .option("checkpointLocation", lake.checkpoint(table))
         .partitionBy(date_col)
     )
+    if not lake.by_name:
+        writer = writer.option("compression", "zstd")
     if trigger:
         writer = writer.trigger(**trigger)
-    return writer.start(lake.table(table))
+    return writer.toTable(lake.name(table)) if lake.by_name else writer.start(lake.table(table))
 
 
 def start_publish(

@@ -13,10 +13,21 @@ from editpulse.streaming import layers
 
 def _prepare(spark: SparkSession, lake: Lake) -> None:
     """Make the log folders: a stream may start before its input's first batch."""
-    for table in ("bronze_log", "silver_log"):
+    for table in () if lake.by_name else ("bronze_log", "silver_log"):
         make_folder(spark, lake.table(table))
 
 
+def require_none_dropped(query: StreamingQuery) -> None:
+    """Fail if a finished query's watermark rejected rows, for queries that must keep all."""
+    dropped = sum(
+        state.get("numRowsDroppedByWatermark", 0)
+        for progress in query.recentProgress
+        for state in progress["stateOperators"]
+    )
+    if dropped:
+        raise RuntimeError(f"{query.name}: {dropped} rows came behind the dedup horizon")
+
+
 def drain(
     spark: SparkSession,
     lake: Lake,
@@ -33,8 +44,10 @@ def drain(
     _prepare(spark, lake)
     layers.start_bronze(topic, lake, layers.ONCE, now).awaitTermination()
     aside = layers.start_quarantine(spark, lake, settings, layers.ONCE, shape)
-    layers.start_silver(spark, lake, settings, layers.ONCE, now, shape).awaitTermination()
+    live = layers.start_silver(spark, lake, settings, layers.ONCE, now, shape)
+    live.awaitTermination()
     aside.awaitTermination()
+    require_none_dropped(live)
     layers.start_gold(spark, lake, settings, layers.ONCE).awaitTermination()
 
 

@@ -102,7 +102,7 @@ def run_silver(spark, lake, settings):
 
 @pytest.mark.parametrize("splits", [1, 4])
 def test_dedup_remembers_ids_for_the_horizon(spark, lake, splits):
-    settings = replace(Settings(), dedup_splits=splits)
+    settings = replace(Settings(), dedup_horizon="24 hours", dedup_splits=splits)
     put_bronze(spark, lake, [("a", "1")] * 50 + [("b", "1")], at(0))
     assert run_silver(spark, lake, settings) == ["a", "b"]
     put_bronze(spark, lake, [("a", "2"), ("c", "1")], at(60 * 23))
