@@ -138,6 +138,36 @@ def bronze_rows(source: DataFrame, revisions: bool = False) -> DataFrame:
     )
 
 
+def feed_bronze(source: DataFrame) -> DataFrame:
+    """The deliveries with documents as the public feed shapes them."""
+    fields = edit_fields(source).withColumn("text", _feed_document())
+    return fields.select(
+        F.col("event_id").cast("string").alias("event_key"),
+        F.col("text").alias("raw_json"),
+        F.lit(TOPIC).alias("topic"),
+        (F.col("event_id") % 4).cast("int").alias("partition"),
+        F.col("event_id").alias("offset"),
+        F.col("ingestion_time").alias("kafka_timestamp"),
+        "ingestion_time",
+    )
+
+
+def _feed_document() -> Column:
+    """The user is a name, known users only, and the bot flag stands beside it."""
+    return F.to_json(
+        F.struct(
+            F.struct(F.col("event_id").cast("string").alias("id"), F.col("event_time").alias("dt")).alias("meta"),
+            F.col("page_title").alias("title"),
+            "namespace",
+            F.col("change_type").alias("type"),
+            F.concat(F.lit("User "), F.col("user_id")).alias("user"),
+            F.col("is_bot").alias("bot"),
+            F.struct(F.col("old_length").alias("old"), F.col("new_length").alias("new")).alias("length"),
+        ),
+        _JSON_TIME,
+    )
+
+
 def feed_lines(source: DataFrame) -> DataFrame:
     """A captured feed: messages, a few without ids or broken, and keep-alives."""
     text = F.col("text")

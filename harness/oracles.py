@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 # The clean edits of the ``events`` table, and its documents.
-_EDITS = """
+_EDIT_COLUMNS = """
 edits as (
   select event_id, ts as event_time,
     'Page_' || json_extract_string(props, '$.k') as page_title,
@@ -14,9 +14,16 @@ edits as (
     floor(value * 20)::INT as new_length,
     case when event_id % 10 = 3 then ts + interval 40 minutes
          else ts + interval 5 seconds end as ingestion_time
-  from events
+  from {source}
 )"""
 
+
+def _edits(source: str = "events") -> str:
+    return _EDIT_COLUMNS.replace("{source}", source)
+
+
+_EDITS = _edits()
+
 _DERIVED = """
     case when bytes_diff > 500 then 'LARGE' when bytes_diff < -500 then 'LARGE_REMOVAL'
          else 'SMALL' end as edit_size,
@@ -28,13 +35,15 @@ def _seconds_between(later: str, earlier: str) -> str:
     return f"(floor(epoch({later})) - floor(epoch({earlier})))::BIGINT"
 
 
-_SILVER = f"""{_EDITS},
+# ``silver`` and what the deliveries add, each without the edits it is made of.
+_SILVER_STEP = f"""
 silver as (
   select event_id::VARCHAR as event_id, event_time, page_title, namespace, change_type, user_id,
     is_bot, bytes_diff, {_seconds_between('ingestion_time', 'event_time')}
       as processing_delay_seconds, {_DERIVED}, ingestion_time
   from (select *, new_length - old_length as bytes_diff from edits)
 )"""
+_SILVER = f"{_EDITS},{_SILVER_STEP}"
 
 
 def _json(new_length: str) -> str:
@@ -48,7 +57,7 @@ def _json(new_length: str) -> str:
                       '"new":' || ({new_length})) || '}}}}'"""
 
 
-_RAW = f"""{_EDITS},
+_RAW_STEP = f"""
 deliveries as (
   select *, {_json('new_length')} as raw_json, event_id as "offset",
     ingestion_time as arrival, 0 as added, true as good from edits
@@ -59,8 +68,9 @@ deliveries as (
   select *, 'not json', event_id + 2000000000, ingestion_time, 0, false
   from edits where event_id % 50 = 7
 )"""
+_RAW = f"{_EDITS},{_RAW_STEP}"
 
-_REVISED = f"""{_RAW},
+_REVISED_STEP = f"""{_RAW_STEP},
 all_deliveries as (
   select * from deliveries
   union all
@@ -77,6 +87,7 @@ latest as (
     from all_deliveries where good
   ) where rn = 1
 )"""
+_REVISED = f"{_EDITS},{_REVISED_STEP}"
 
 _SILVER_COLUMNS = """event_id, event_time, page_title, namespace, change_type, user_id, is_bot,
   bytes_diff, processing_delay_seconds, edit_size, user_type"""
@@ -109,9 +120,10 @@ def _gold(name: str, source: str, where: str = "true") -> str:
 )"""
 
 
-_LATE = f"""{_SILVER},
+def _late(unit: str) -> str:
+    return f"""{_SILVER},
 arrived as (
-  select *, date_trunc('hour', ingestion_time)::TIMESTAMP as batch,
+  select *, date_trunc('{unit}', ingestion_time)::TIMESTAMP as batch,
     time_bucket(interval '5 minutes', event_time) + interval 5 minutes as window_end
   from silver
 ),
@@ -136,17 +148,33 @@ _HELD = f"""
 held as (select * from silver where ingestion_time < {_NOW} - interval 12 hours),
 replayed as (select * from latest where arrival >= {_NOW} - interval 24 hours)"""
 
-# Both recipes of Silver share the edits; name them once.
-_SILVER_AND_LATEST = _SILVER + _REVISED[len(_EDITS):]
+_SILVER_AND_LATEST = f"{_EDITS},{_SILVER_STEP},{_REVISED_STEP}"
 
 _UPSERT = f"""with {_SILVER_AND_LATEST}, {_HELD}
 select {_SILVER_COLUMNS} from replayed
 union all
 select {_SILVER_COLUMNS} from held where event_id not in (select event_id from replayed)"""
 
-_STREAMED_GOLD = f"with {_SILVER}, {_gold('gold', 'silver')} " + (
-    "select * exclude (unique_editors, active_pages) from gold"
-)
+# What live Gold makes of weekly arrivals: its sketched counts are near the exact ones.
+_LIVE = f"{_late('week')}, {_gold('live', 'marked', 'not is_late')}"
+_NEAR = "true as unique_editors_near, true as active_pages_near"
+_LIVE_COLUMNS = "* exclude (unique_editors, active_pages)"
+
+# The edits whose id is a multiple of 25 moved by three days.
+_MOVED = """moved as (
+  select * replace (case when event_id % 25 = 0 then ts + interval 3 days else ts end as ts)
+  from events
+)"""
+
+
+def _reduced(source: str, where: str = "true") -> str:
+    return f"""select time_bucket(interval '10 minutes', event_time) as window_start,
+          time_bucket(interval '10 minutes', event_time) + interval 10 minutes as window_end,
+          count(*) as total_edits, count(distinct user_id) as unique_editors,
+          count(*) filter (where is_bot) as bot_edits,
+          count(*) filter (where not is_bot) as human_edits,
+          sum(bytes_diff)::BIGINT as net_bytes_added
+        from {source} where {where} group by 1, 2"""
 
 
 def _per_period(unit: str, measures: str, source: str = "silver", keys: str = "") -> str:
@@ -212,15 +240,26 @@ ORACLES: dict[str, str] = {
           count(distinct user_id) as unique_editors, count(distinct page_title) as active_pages,
           true as unique_editors_near, true as active_pages_near
         from silver group by 1""",
-    "gold_replay_kpis": f"""with {_SILVER}
-        select time_bucket(interval '10 minutes', event_time) as window_start,
-          time_bucket(interval '10 minutes', event_time) + interval 10 minutes as window_end,
-          count(*) as total_edits, count(distinct user_id) as unique_editors,
-          count(*) filter (where is_bot) as bot_edits,
-          count(*) filter (where not is_bot) as human_edits,
-          sum(bytes_diff)::BIGINT as net_bytes_added
-        from silver where event_time >= {_NOW} - interval 24 hours group by 1, 2""",
-    "late_rows": f"""with {_LATE}
+    "gold_approx_distinct": f"""with {_SILVER}, {_gold('gold', 'silver')}
+        select window_start, window_end, unique_editors, active_pages, {_NEAR} from gold""",
+    "gold_replay_kpis": f"with {_SILVER} "
+    + _reduced("silver", f"event_time >= {_NOW} - interval 24 hours"),
+    "gold_replay_stored": f"with {_SILVER} " + _reduced("silver"),
+    "replay_after_break": f"with {_MOVED}, {_edits('moved')},{_SILVER_STEP}, "
+    f"{_gold('gold', 'silver')} select * from gold",
+    "silver_feed_shape": f"""with {_SILVER}
+        select event_id, event_time, page_title, user_id is not null as has_user, is_bot,
+          bytes_diff, edit_size, user_type from silver""",
+    "quarantine_stream": f"""with {_RAW}
+        select event_id::VARCHAR as event_key, raw_json, 'edits.raw' as topic,
+          (event_id % 4)::INT as partition, "offset", arrival as kafka_timestamp
+        from deliveries where not good""",
+    "ddl_tables": f"""with {_SILVER}, {_gold('gold', 'silver')}
+        select 'silver_serving' as table_name, event_time::DATE as day, count(*) as stored
+        from silver group by 2
+        union all
+        select 'gold_corrected', window_start::DATE, count(*) from gold group by 2""",
+    "late_rows": f"""with {_late('hour')}
         select event_id, event_time, ingestion_time, batch, window_end, watermark
         from marked where is_late""",
     "replay_dedup": f"with {_REVISED} select {_SILVER_COLUMNS} from latest",
@@ -233,16 +272,15 @@ ORACLES: dict[str, str] = {
     "silver_upsert": _UPSERT,
     "silver_upsert_table": _UPSERT,
     "gold_corrected": f"with {_SILVER}, {_CORRECTED} select * from corrected",
-    "gold_served": f"""with {_LATE}, {_CORRECTED}, {_gold('live', 'marked', 'not is_late')}
-        select * from corrected
+    "gold_served": f"""with {_LIVE}, {_CORRECTED}
+        select {_LIVE_COLUMNS} from corrected
         union all
-        select * from live where window_start not in (select window_start from corrected)""",
+        select {_LIVE_COLUMNS} from live where window_start not in (select window_start from corrected)""",
     "late_correction": f"""with {_REVISED}, {_gold('gold', 'latest')} select * from gold""",
     "dash_live_edits": f"""with {_SILVER}
         select event_time, event_id, page_title, change_type, user_id, user_type, edit_size,
           bytes_diff from silver
-        where user_type = 'REGISTERED' and edit_size = 'LARGE' and change_type = 'click'
-        order by event_time desc, event_id desc limit 100""",
+        where user_type = 'REGISTERED' and edit_size = 'LARGE' and change_type = 'click'""",
     "dash_velocity": f"""with {_SILVER}
         select time_bucket(interval '1 minute', event_time) as window_start, count(*) as edits
         from silver group by 1""",
@@ -298,26 +336,24 @@ ORACLES: dict[str, str] = {
         ) join (values ('bronze', 3, 12), ('silver', 2, 8), ('gold', 2, 5))
           as rules(name, max_hours, keep) on name = "table"
         where age_rank > keep and committed_at < {_NOW} - to_hours(max_hours)""",
-    "orphan_files": f"""
-        select 'f_' || event_id as path, ts as modified_at from events
-        where ts < {_NOW} - interval 72 hours and event_type = 'error'""",
+    "orphan_files": """
+        select ts::DATE::VARCHAR as day, count(distinct event_id % 3) as orphans
+        from events group by 1""",
     "compaction_plan": """
-        select * from (
-          select *, greatest(ceil(input_bytes / 134217728), 1)::BIGINT as output_files
-          from (
-            select ts::DATE::VARCHAR as partition, count(*) as input_files,
-              count(*) filter (where bytes < 134217728 * 0.75) as small_files,
-              sum(bytes)::BIGINT as input_bytes
-            from (select ts, floor(value * 1000000)::BIGINT as bytes from events) group by 1
-          )
-        ) where small_files >= 5 and output_files < input_files""",
+        select ts::DATE::VARCHAR as partition, count(distinct event_id % 8) as input_files,
+          count(distinct event_id % 8) as small_files, 1::BIGINT as output_files
+        from events group by 1 having count(distinct event_id % 8) >= 5""",
     "compaction_rowcheck": f"with {_SILVER} select {_SILVER_COLUMNS} from silver",
     "bronze_ingest": f"""with {_RAW}
         select event_id::VARCHAR as event_key, raw_json, 'edits.raw' as topic,
           (event_id % 4)::INT as partition, "offset", arrival as kafka_timestamp
         from deliveries""",
-    "silver_stream": f"""with {_SILVER}
-        select {_SILVER_COLUMNS.replace('processing_delay_seconds, ', '')} from silver""",
-    "gold_stream": _STREAMED_GOLD,
-    "chain_available_now": _STREAMED_GOLD,
+    **{
+        name: f"""with {_SILVER}
+        select {_SILVER_COLUMNS.replace('processing_delay_seconds, ', '')} from silver"""
+        for name in ("silver_stream", "silver_stream_horizon")
+    },
+    "gold_stream": f"with {_LIVE} select {_LIVE_COLUMNS}, {_NEAR} from live",
+    "chain_available_now": f"with {_SILVER}, {_gold('gold', 'silver')} "
+    f"select {_LIVE_COLUMNS} from gold",
 }

@@ -6,6 +6,7 @@ Times leave as zone-less timestamps, as SQL engines without zones have them.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from dataclasses import replace
 
@@ -22,7 +23,16 @@ from editpulse.plans.replay import latest_silver, recent_bronze, with_day
 from editpulse.schemas import SILVER
 from editpulse.session import STREAM_DEFAULTS, scratch_dir, shuffle_width
 from editpulse.sources.feed import envelopes
-from editpulse.sources.lake import Lake, read_layer, read_table, write_days
+from editpulse.sources.lake import (
+    Lake,
+    create_tables,
+    list_paths,
+    move_into,
+    read_layer,
+    read_table,
+    sync_partitions,
+    write_days,
+)
 from editpulse.sources.topic import publish, topic_stream
 from editpulse.streaming import layers, service
 
@@ -38,11 +48,14 @@ def query(function: Callable[[SparkSession, DataFrame], DataFrame]) -> Callable:
     """Register ``function(spark, events)`` under its own name."""
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        spark.conf.set("spark.sql.session.timeZone", "UTC")
-        events = testbed.events(spark, sf_dir)
+        # The caller's session stays as it is; the result belongs to this one.
+        own = spark.newSession()
+        own.conf.set("spark.sql.session.timeZone", "UTC")
+        own.conf.set("spark.sql.shuffle.partitions", spark.conf.get("spark.sql.shuffle.partitions"))
+        events = testbed.events(own, sf_dir)
         for name, value in shuffle_width(events).items():
-            spark.conf.set(name.replace("__", "."), value)
-        return zoneless(function(spark, events))
+            own.conf.set(name.replace("__", "."), value)
+        return zoneless(function(own, events))
 
     REGISTRY[function.__name__] = run
     return function
@@ -62,8 +75,23 @@ def last_event(events: DataFrame, hours_before: int = 0) -> Column:
     return newest(events, "ts", less=hours(hours_before))
 
 
-def arrival_hour(rows: DataFrame) -> DataFrame:
-    return rows.withColumn("batch", F.date_trunc("hour", "ingestion_time"))
+def arrival(rows: DataFrame, unit: str) -> DataFrame:
+    return rows.withColumn("batch", F.date_trunc(unit, "ingestion_time"))
+
+
+def near(exact: DataFrame, sketch: DataFrame) -> DataFrame:
+    """``exact`` with whether each sketched count is off by three standard errors at most.
+
+    A count of a few is off by one at most.
+    """
+    sketch = sketch.select("window_start", *[F.col(name).alias(f"{name}_sketch") for name in SKETCHED])
+
+    def flag(name: str) -> Column:
+        error = F.abs(F.col(f"{name}_sketch") - F.col(name))
+        return (error <= F.greatest(F.col(name) * 0.15, F.lit(1))).alias(f"{name}_near")
+
+    both = exact.join(sketch, "window_start")
+    return both.select(*exact.columns, *[flag(name) for name in SKETCHED])
 
 
 # --- Sources and Bronze -----------------------------------------------------
@@ -155,26 +183,18 @@ def bronze_to_gold(spark, events):
 
 @query
 def gold_approx_distinct(spark, events):
-    kpis = gold.window_kpis(testbed.silver_rows(events), distinct="approx")
-    return kpis.select("window_start", "window_end", "unique_editors", "active_pages")
+    """Sketched counts of Gold's own windows against exact ones."""
+    silver_rows, columns = testbed.silver_rows(events), ("window_start", "window_end", *SKETCHED)
+    exact = gold.window_kpis(silver_rows).select(*columns)
+    return near(exact, gold.window_kpis(silver_rows, distinct="approx"))
 
 
 @query
 def gold_approx_error(spark, events):
-    """Sketched daily counts against exact ones: three standard errors at most."""
+    """The same over days, where counts are large."""
     silver_rows, day = testbed.silver_rows(events), 24 * 60
-    exact = gold.window_kpis(silver_rows, day)
-    sketch = gold.window_kpis(silver_rows, day, distinct="approx").select(
-        "window_start", *[F.col(name).alias(f"{name}_sketch") for name in SKETCHED]
-    )
-
-    def near(name: str) -> Column:
-        error = F.abs(F.col(f"{name}_sketch") - F.col(name))
-        return (error <= F.col(name) * 0.15).alias(f"{name}_near")
-
-    return exact.join(sketch, "window_start").select(
-        "window_start", *SKETCHED, *[near(name) for name in SKETCHED]
-    )
+    exact = gold.window_kpis(silver_rows, day).select("window_start", *SKETCHED)
+    return near(exact, gold.window_kpis(silver_rows, day, distinct="approx"))
 
 
 @query
@@ -188,7 +208,7 @@ def gold_replay_kpis(spark, events):
 
 @query
 def late_rows(spark, events):
-    late_ones = late.late_rows(arrival_hour(testbed.silver_rows(events)), "batch")
+    late_ones = late.late_rows(arrival(testbed.silver_rows(events), "hour"), "batch")
     return late_ones.select(
         "event_id", "event_time", "ingestion_time", "batch", "window_end", "watermark"
     )
@@ -251,11 +271,41 @@ def gold_corrected(spark, events):
 
 
 @query
-def gold_served(spark, events):
-    """Corrected windows over live ones, which miss what came too late."""
-    arrived = arrival_hour(testbed.silver_rows(events))
-    live = gold.window_kpis(late.on_time_rows(arrived, "batch"))
-    return gold.serve(live, _corrected(events))
+def gold_replay_stored(spark, events):
+    """The reduced KPIs as stored, after two replays twelve hours apart."""
+    lake, rows = Lake(scratch_dir(spark, "replays")), testbed.bronze_rows(events)
+    half, end = last_event(events, 12), last_event(events, -1)
+    parts = (rows.filter(F.col("ingestion_time") < half), half), (rows.filter(F.col("ingestion_time") >= half), end)
+    for part, now in parts:
+        _append_bronze(part, lake)
+        replay.run_replay(spark, lake, _moment(now))
+    return read_layer(spark, lake, "gold_replay").drop("window_date")
+
+
+@query
+def replay_after_break(spark, events):
+    """Edits move to other days, the run breaks off after the upsert, and is run again."""
+    lake = Lake(scratch_dir(spark, "broken"))
+    _append_bronze(testbed.bronze_rows(events), lake)
+    replay.run_replay(spark, lake, _moment(last_event(events, -1)))
+    moved = events.filter("event_id % 25 = 0").withColumn("ts", F.col("ts") + hours(72))
+    delivered = testbed.bronze_rows(moved).withColumn("ingestion_time", F.col("ingestion_time") + hours(24 * 40))
+    _append_bronze(delivered, lake)
+    now = _moment(last_event(events, -24 * 45))
+    replay.upsert_staged(spark, lake, replay.stage(spark, lake, F.lit(now), Settings()))
+    replay.run_replay(spark, lake, now)
+    return read_layer(spark, lake, "gold_corrected").drop("window_date")
+
+
+def _append_bronze(rows: DataFrame, lake: Lake) -> None:
+    dated = with_day(rows, "ingestion_time", "ingestion_date")
+    dated.write.mode("append").partitionBy("ingestion_date").parquet(lake.table("bronze_log"))
+
+
+def _moment(now: Column):
+    """A time of the data as a plain value."""
+    session = SparkSession.active()
+    return session.range(1).select(now.alias("now")).first()["now"]
 
 
 # --- Dashboards -------------------------------------------------------------
@@ -349,20 +399,38 @@ def retention_rules(spark, events):
 
 @query
 def orphan_files(spark, events):
-    """Files of writes that ended in an error were never committed."""
-    path = F.concat(F.lit("f_"), F.col("event_id").cast("string")).alias("path")
-    listing = events.select(path, F.col("ts").alias("modified_at"))
-    referenced = events.filter(F.col("event_type") != "error").select(path)
-    return maintenance.orphan_files(listing, referenced, last_event(events, 72))
+    """Files in a stream's folder that its log does not know, by day."""
+    lake, session = Lake(scratch_dir(spark, "orphans")), _stream_session(spark)
+    publish(testbed.topic_rows(events), path=f"{lake.root}/topic")
+    layers.start_bronze(topic_stream(session, path=f"{lake.root}/topic"), lake, layers.ONCE).awaitTermination()
+    layers.start_silver(session, lake, trigger=layers.ONCE).awaitTermination()
+    # What a write leaves that ends before its commit.
+    path = lake.table("silver_log")
+    _slotted(testbed.silver_rows(events).drop("ingestion_time"), 3).parquet(f"{lake.root}/lost")
+    for day in list_paths(spark, f"{lake.root}/lost"):
+        if "event_date=" in day:
+            for file in list_paths(spark, day):
+                move_into(spark, file, f"{path}/{day.rsplit('/', 1)[1]}")
+    listing = maintenance.list_files(spark, path, "event_date")
+    found = maintenance.orphan_files(listing, maintenance.committed_files(spark, path), F.current_timestamp() + hours(1))
+    return found.groupBy(F.col("partition").alias("day")).agg(F.count("*").alias("orphans"))
+
+
+def _slotted(rows: DataFrame, slots: int):
+    """Writer of one file per day and slot of the edit's id."""
+    slot = F.pmod(F.col("event_id").cast("bigint"), F.lit(slots)).cast("int")
+    dated = with_day(rows, "event_time", "event_date").withColumn("_slot", slot)
+    return dated.repartitionById(slots, "_slot").drop("_slot").write.partitionBy("event_date")
 
 
 @query
 def compaction_plan(spark, events):
-    files = events.select(
-        F.to_date("ts").cast("string").alias("partition"),
-        F.floor(F.col("value") * 1000000).alias("bytes"),
-    )
-    return maintenance.compaction_plan(files, target_bytes=134217728, min_input_files=5)
+    """Days of a stored table that hold many small files."""
+    path = f"{scratch_dir(spark, 'plan')}/silver"
+    _slotted(testbed.silver_rows(events).drop("ingestion_time"), 8).parquet(path)
+    files = maintenance.list_files(spark, path, "event_date")
+    plan = maintenance.compaction_plan(files, target_bytes=134217728, min_input_files=5)
+    return plan.select("partition", "input_files", "small_files", "output_files")
 
 
 @query
@@ -372,17 +440,13 @@ def compaction_rowcheck(spark, events):
     rows = with_day(testbed.silver_rows(events).drop("ingestion_time"), "event_time", "event_date")
     scattered = rows.repartition(spark.sparkContext.defaultParallelism, "event_id")
     scattered.write.partitionBy("event_date").parquet(path)
-    maintenance.compact_days(spark, path, "event_date", target_bytes=134217728)
+    maintenance.compact_days(spark, path, "event_date", target_bytes=134217728, time_col="event_time")
     return read_table(spark, path).select(*SILVER.fieldNames())
 
 
 # --- Streams, run over what is there and read back --------------------------
 
 
-# What a watermark drops depends on the order of arrival, so a result that SQL
-# can restate needs all rows of a step in one batch.
-ONE_BATCH = replace(Settings(), max_files_per_trigger=1_000_000)
-
 def _stream_session(spark: SparkSession) -> SparkSession:
     """Own settings for the streams, the caller's session stays as it is.
 
@@ -405,26 +469,75 @@ def bronze_ingest(spark, events):
     return read_layer(spark, lake, "bronze_log").drop("ingestion_time", "ingestion_date")
 
 
+def _live_silver(spark, events, settings: Settings) -> DataFrame:
+    """Silver of a log that Bronze appended in several runs, a few files at a time."""
+    lake, session = Lake(scratch_dir(spark, "silver")), _stream_session(spark)
+    topic, rows = f"{lake.root}/topic", testbed.topic_rows(events)
+    for part in range(4):
+        in_part = F.pmod(F.xxhash64("offset"), F.lit(4)) == part
+        publish(rows.filter(in_part).repartition(8), path=topic)
+        layers.start_bronze(topic_stream(session, path=topic), lake, layers.ONCE).awaitTermination()
+    query = layers.start_silver(session, lake, settings, layers.ONCE)
+    query.awaitTermination()
+    service.require_none_dropped(query)
+    return read_layer(spark, lake, "silver_log").drop("processing_delay_seconds", "event_date")
+
+
 @query
 def silver_stream(spark, events):
-    lake = Lake(scratch_dir(spark, "silver"))
-    stored = with_day(testbed.bronze_rows(events), "ingestion_time", "ingestion_date")
-    stored.write.partitionBy("ingestion_date").parquet(lake.table("bronze_log"))
+    return _live_silver(spark, events, replace(Settings(), max_files_per_trigger=5))
+
+
+@query
+def silver_stream_horizon(spark, events):
+    """The same with ids remembered for a day of arrivals."""
+    few = replace(Settings(), max_files_per_trigger=5, dedup_horizon="24 hours")
+    return _live_silver(spark, events, few)
+
+
+@query
+def quarantine_stream(spark, events):
+    lake, session = Lake(scratch_dir(spark, "quarantine")), _stream_session(spark)
+    topic = f"{lake.root}/topic"
+    publish(testbed.topic_rows(events), path=topic)
+    layers.start_bronze(topic_stream(session, path=topic), lake, layers.ONCE).awaitTermination()
+    layers.start_quarantine(session, lake, trigger=layers.ONCE).awaitTermination()
+    return read_layer(spark, lake, "quarantine").drop("ingestion_time", "ingestion_date")
+
+
+def _live_gold(spark, events, lake: Lake) -> DataFrame:
+    """Live Gold of a Silver log that grows by a week of arrivals at a time.
+
+    Every week is taken by a run of its own, as a scheduler would. A later edit
+    then closes the last windows.
+    """
     session = _stream_session(spark)
-    layers.start_silver(session, lake, trigger=layers.ONCE).awaitTermination()
-    return read_layer(spark, lake, "silver_log").drop("processing_delay_seconds", "event_date")
+    rows = arrival(testbed.silver_rows(events), "week")
+    # One row per week.
+    weeks = sorted(row.batch for row in rows.select("batch").distinct().collect())
+    steps = [rows.filter(F.col("batch") == F.lit(week)) for week in weeks]
+    for step in [*steps, arrival(testbed.silver_rows(testbed.closing_event(events)), "week")]:
+        stored = with_day(step.drop("ingestion_time", "batch"), "event_time", "event_date")
+        stored.coalesce(1).write.mode("append").partitionBy("event_date").parquet(lake.table("silver_log"))
+        layers.start_gold(session, lake, trigger=layers.ONCE).awaitTermination()
+    return read_layer(spark, lake, "gold_live").drop("window_date")
 
 
 @query
 def gold_stream(spark, events):
-    """Live KPIs of a Silver log; a later edit then closes the last windows."""
-    lake, session = Lake(scratch_dir(spark, "gold")), _stream_session(spark)
-    for step in (events, testbed.closing_event(events)):
-        rows = testbed.silver_rows(step).drop("ingestion_time")
-        stored = with_day(rows, "event_time", "event_date")
-        stored.write.mode("append").partitionBy("event_date").parquet(lake.table("silver_log"))
-        layers.start_gold(session, lake, ONE_BATCH, layers.ONCE).awaitTermination()
-    return read_layer(spark, lake, "gold_live").drop(*SKETCHED, "window_date")
+    """Live windows: what comes after its window closed is not in them."""
+    live = _live_gold(spark, events, Lake(scratch_dir(spark, "gold")))
+    on_time = gold.window_kpis(late.on_time_rows(arrival(testbed.silver_rows(events), "week"), "batch"))
+    exact = on_time.select("window_start", *SKETCHED)
+    flags = near(exact, live).drop(*SKETCHED)
+    return live.drop(*SKETCHED).join(flags, "window_start")
+
+
+@query
+def gold_served(spark, events):
+    """Corrected windows over live ones, which miss what came too late."""
+    live = _live_gold(spark, events, Lake(scratch_dir(spark, "served")))
+    return gold.serve(live, _corrected(events)).drop(*SKETCHED)
 
 
 @query
@@ -434,10 +547,39 @@ def chain_available_now(spark, events):
     topic = f"{lake.root}/topic"
     for step in (events, testbed.closing_event(events)):
         publish(testbed.topic_rows(step), path=topic)
-        service.drain(session, lake, topic_stream(session, path=topic), ONE_BATCH)
+        service.drain(session, lake, topic_stream(session, path=topic))
     return read_layer(spark, lake, "gold_live").drop(*SKETCHED, "window_date")
 
 
+@query
+def silver_feed_shape(spark, events):
+    """Documents as the public feed has them: the user a name, the bot flag beside it."""
+    rows = silver.clean(testbed.feed_bronze(events), now=F.col("ingestion_time"), shape="feed")
+    return rows.select(
+        "event_id", "event_time", "page_title", F.col("user_id").isNotNull().alias("has_user"),
+        "is_bot", "bytes_diff", "edit_size", "user_type",
+    )
+
+
+@query
+def ddl_tables(spark, events):
+    """Tables made by DDL, filled by path, told to the catalog, counted by name."""
+    lake, database = Lake(scratch_dir(spark, "ddl")), f"ddl_{uuid.uuid4().hex}"
+    create_tables(spark, lake, database)
+    rows = with_day(testbed.silver_rows(events).drop("ingestion_time"), "event_time", "event_date")
+    write_days(rows, lake.table("silver_serving"), "event_date")
+    windows = with_day(gold.window_kpis(rows), "window_start", "window_date")
+    write_days(windows, lake.table("gold_corrected"), "window_date")
+    sync_partitions(spark, lake, database)
+    counts = [
+        spark.table(f"{database}.{name}")
+        .groupBy(F.lit(name).alias("table_name"), F.col(day).alias("day"))
+        .agg(F.count("*").alias("stored"))
+        for name, day in (("silver_serving", "event_date"), ("gold_corrected", "window_date"))
+    ]
+    return counts[0].unionByName(counts[1])
+
+
 @query
 def late_correction(spark, events):
     """Live layers, then two replays: the first fills, the second adds revisions."""

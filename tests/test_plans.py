@@ -23,6 +23,8 @@ from helpers import plan_of
 EAGER = {
     "silver_upsert_table", "day_partition_counts", "compaction_rowcheck", "bronze_ingest",
     "silver_stream", "gold_stream", "chain_available_now", "late_correction",
+    "silver_stream_horizon", "gold_served", "gold_replay_stored", "replay_after_break",
+    "quarantine_stream", "ddl_tables", "orphan_files", "compaction_plan",
 }
 
 
