@@ -1,10 +1,10 @@
 """Line dedup by an exact set-similarity join, in DataFrame operations only.
 
 A line is the set of its runs of ``WORDS`` words. All lines of the same set are
-one class. Tokens of a set are ordered by rarity: what is counted are not tokens
-but ``BUCKETS`` buckets of them, over all lines, so that the counts have a fixed
-size and reach every task with the plan; tokens of frequent passages stand out
-from their bucket's share, and any fixed order gives the same result. Two sets
+one class. Tokens of a set are ordered by rarity: what is counted are ``BUCKETS``
+buckets of them, over all lines, so that the counts have a fixed size and reach
+every task with the plan; tokens of frequent passages stand out from their
+bucket's share, and any fixed order gives the same result. Two sets
 that reach the threshold share a token among the first of both, within bounds
 on their sizes and on the token's places; such classes are joined by token, and
 the pairs that are left are verified on whole sets. A class that is linked with
@@ -13,6 +13,7 @@ one of an earlier line goes, and all of a class goes but its first line.
 
 from __future__ import annotations
 
+import json
 import math
 
 from pyspark.sql import Column, DataFrame
@@ -23,85 +24,115 @@ from editpulse.llm import exchange
 WORDS = 5
 PERCENT = 80
 BUCKETS = 1 << 16
+SENT_IDS = 500_000
 STEPS = 8  # of rarity for each doubling of a count
 
 
 def lines_of(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(id, line, text) of every line; lines are numbered from 0, none in a null text."""
-    return docs.select(F.col(id_col).cast("long").alias("id"), F.posexplode(F.split(text_col, "\n")).alias("line", "text"))
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.posexplode_outer(F.split(text_col, "\n")).alias("line", "text"))
+    return rows.filter(F.col("text").isNotNull())
 
 
-def _tokens(text: Column) -> Column:
-    """Distinct hashes of the runs of ``WORDS`` words between blanks; empty for less."""
-    words = F.array_remove(F.split(text, " "), "")
-    last = F.size(words) - WORDS + 1
-    runs = F.transform(F.sequence(F.lit(1), last), lambda i: F.xxhash64(F.slice(words, i, WORDS)))
-    return F.when(last >= 1, F.array_distinct(runs)).otherwise(F.array().cast("array<bigint>"))
+def _enough() -> Column:
+    """Whether a line has ``WORDS`` words, without cutting it up."""
+    return F.col("text").rlike(rf"^ *(?:[^ ]+ +){{{WORDS - 1}}}[^ ]")
 
 
-def _bucket(token: Column) -> Column:
-    return F.shiftrightunsigned(token, 64 - int(math.log2(BUCKETS)))
+def _bucket(word: Column) -> Column:
+    return F.shiftrightunsigned(word, 64 - int(math.log2(BUCKETS))).cast("int")
 
 
-def _rarity(lines: DataFrame) -> bytes:
-    """A byte for each bucket that grows with its count; ``BUCKETS`` rows come to the driver."""
-    token = lines.select(F.explode(_tokens(F.col("text"))).alias("token"))
-    ranks = bytearray(BUCKETS)
-    for row in token.groupBy(_bucket(F.col("token")).alias("bucket")).count().toLocalIterator():
-        ranks[row["bucket"]] = min(255, int(STEPS * math.log2(row["count"])))
-    return bytes(ranks)
+def _with_hashes(lines: DataFrame) -> DataFrame:
+    """``lines`` with ``hashes`` of the distinct runs of ``WORDS`` words, and no shorter lines.
+
+    No condition stands on the words or the hashes: it would be pushed down
+    together with all that makes them, and that would be done twice.
+    """
+    words = F.transform(F.array_remove(F.split("text", " "), ""), lambda word: F.xxhash64(word))
+    rows = lines.filter(_enough()).withColumn("words", words).drop("text")
+    size = F.size("words")
+    runs = F.arrays_zip(*[F.slice("words", F.lit(i + 1), size).alias(f"w{i}") for i in range(WORDS)])
+    rows = rows.withColumn("runs", F.slice(runs, F.lit(1), size - WORDS + 1)).drop("words")
+    return rows.withColumn("hashes", F.array_distinct(F.transform("runs", lambda run: F.xxhash64(run)))).drop("runs")
+
+
+def _rarity(lines: DataFrame) -> list[int]:
+    """A number below 128 for each bucket that grows with its count; ``BUCKETS`` rows come to the driver.
+
+    Counts are taken relative to the least, so that the numbers tell as much
+    apart in a large table as in a small one.
+    """
+    token = _with_hashes(lines).select(F.explode_outer("hashes").alias("token"))
+    counts = token.groupBy(_bucket(F.col("token"))).count().collect()
+    least = min((count for _, count in counts), default=1)
+    ranks = [0] * BUCKETS
+    for bucket, count in counts:
+        ranks[bucket] = min(127, int(STEPS * math.log2(count / least)))
+    return ranks
+
+
+def _with_tokens(lines: DataFrame, ranks: list[int]) -> DataFrame:
+    """``lines`` with ``tokens``: a hash's rank in the first byte, so that they sort by rarity as numbers."""
+    table = F.from_json(F.lit(json.dumps(ranks)), "array<int>")  # a constant
+    rank = lambda token: F.shiftleft(F.get(table, _bucket(token)).cast("long"), 56)
+    tokens = F.transform("hashes", lambda t: rank(t).bitwiseOR(F.shiftrightunsigned(t, 8)))
+    return _with_hashes(lines).withColumn("tokens", tokens).drop("hashes")
 
 
 def _least_overlap(size: Column, percent: int) -> Column:
     return F.ceil(size * percent / 100)
 
 
-def _classes(lines: DataFrame, ranks: bytes, percent: int) -> DataFrame:
+def _classes(lines: DataFrame, ranks: list[int], percent: int) -> DataFrame:
     """Every line that has tokens, with its set's two hashes, size and first tokens."""
-    rows = lines.select("id", "line", _tokens(F.col("text")).alias("tokens")).filter(F.size("tokens") > 0)
-    rank = lambda token: F.substring(F.lit(ranks), _bucket(token).cast("int") + 1, F.lit(1))
-    ordered = F.array_sort(F.transform("tokens", lambda t: F.struct(rank(t).alias("rank"), t.alias("token"))))
-    rows = rows.select("id", "line", F.size("tokens").alias("size"), ordered.alias("ordered"))
-    sorted_ = F.transform("ordered", lambda t: t["token"])
+    rows = _with_tokens(lines, ranks).withColumn("tokens", F.sort_array("tokens")).withColumn("size", F.size("tokens"))
     prefix = (F.col("size") - _least_overlap(F.col("size"), percent) + 1).cast("int")
-    rows = rows.select("id", "line", "size", sorted_.alias("tokens"), prefix.alias("prefix"))
     return rows.select(
         "id", "line", "size",
         F.xxhash64("tokens").alias("set"),
         F.hash("tokens").alias("check"),
-        F.slice("tokens", F.lit(1), F.col("prefix")).alias("first_tokens"),
+        F.slice("tokens", F.lit(1), prefix).alias("first_tokens"),
     )
 
 
 def _candidates(classes: DataFrame, percent: int) -> DataFrame:
-    """Pairs of classes, the earlier first, that token, sizes and places allow."""
-    posted = classes.select("set", "id", "line", "size", F.posexplode("first_tokens").alias("place", "token"))
+    """Pairs of sets that token, sizes and places allow."""
+    place = F.posexplode("first_tokens").alias("place", "token")
+    posted = classes.select("set", "size", place)
+    # Size and place in one number: these rows are most of what is shuffled.
+    posted = posted.select("token", "set", (F.col("size").cast("long") * (1 << 31) + F.col("place")).alias("at"))
     left, right = (posted.select(*[F.col(c).alias(f"{side}_{c}") for c in posted.columns]) for side in "ab")
-    size_a, size_b = F.col("a_size"), F.col("b_size")
+    size_a, size_b = (F.shiftright(f"{side}_at", 31) for side in "ab")
+    place_a, place_b = (F.col(f"{side}_at").bitwiseAND((1 << 31) - 1) for side in "ab")
     # At the first token that both have, this is the most that can be shared.
-    most = 1 + F.least(size_a - F.col("a_place"), size_b - F.col("b_place")) - 1
+    most = F.least(size_a - place_a, size_b - place_b)
     fits = (
         (F.col("a_token") == F.col("b_token"))
         & (F.col("a_set") < F.col("b_set"))
         & (F.least(size_a, size_b) * 100 >= F.greatest(size_a, size_b) * percent)
         & (most * (100 + percent) >= (size_a + size_b) * percent)
     )
-    names = [f"{side}_{c}" for side in "ab" for c in ("id", "line", "set", "size")]
-    return left.join(right, fits).select(*names).distinct()
+    return left.join(right, fits).select("a_set", "b_set").distinct()
 
 
-def _verified(lines: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
-    """The pairs whose whole sets reach the threshold."""
+def _verified(lines: DataFrame, classes: DataFrame, pairs: DataFrame, ranks: list[int], percent: int) -> DataFrame:
+    """The pairs whose whole sets reach the threshold, with the first line of each."""
+    where = classes.select("set", "id", "line")
+    for side in "ab":
+        pairs = pairs.join(where.select(*[F.col(c).alias(f"{side}_{c}") for c in where.columns]), f"{side}_set")
+    pairs = exchange.stored(pairs, "line-pairs")
     ends = pairs.select(F.col("a_id").alias("id"), F.col("a_line").alias("line"))
     ends = ends.union(pairs.select("b_id", "b_line")).distinct()
-    sets = lines.join(ends, [lines["id"].eqNullSafe(ends["id"]), lines["line"] == ends["line"]], "left_semi")
-    sets = exchange.stored(sets.dropDuplicates(["id", "line"]).select("id", "line", _tokens(F.col("text")).alias("tokens")), "line-sets")
+    # Ids up to this number are sent to the texts; more of them meet in a shuffle.
+    ids = exchange.stored(ends.select("id").distinct(), "line-documents")
+    ids = F.broadcast(ids) if ids.count() <= SENT_IDS else ids
+    sets = lines.join(ids, "id", "left_semi").join(ends, ["id", "line"], "left_semi").dropDuplicates(["id", "line"])
+    sets = exchange.stored(_with_tokens(sets, ranks), "line-sets")
     for side in "ab":
-        own = sets.select(*[F.col(c).alias(f"{side}{side}_{c}") for c in sets.columns])
-        same = pairs[f"{side}_id"].eqNullSafe(own[f"{side}{side}_id"]) & (pairs[f"{side}_line"] == own[f"{side}{side}_line"])
-        pairs = pairs.join(own, same)
-    shared = F.size(F.array_intersect("aa_tokens", "bb_tokens"))
-    union = F.size("aa_tokens") + F.size("bb_tokens") - shared
+        pairs = pairs.join(sets.select(*[F.col(c).alias(f"{side}_{c}") for c in sets.columns]), [f"{side}_id", f"{side}_line"])
+    shared = F.size(F.array_intersect("a_tokens", "b_tokens"))
+    union = F.size("a_tokens") + F.size("b_tokens") - shared
     return pairs.filter(shared * 100 >= union * percent)
 
 
@@ -116,12 +147,12 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """
     lines = lines_of(docs, id_col, text_col)
     lines = lines.withColumn("id", F.coalesce("id", F.lit(exchange.LAST_ID)))
-    rows = exchange.stored(_classes(lines, _rarity(lines), percent), "lines")
+    ranks = _rarity(lines)
+    rows = exchange.stored(_classes(lines, ranks, percent), "lines")
     first = F.min(F.struct("id", "line")).alias("first")
     classes = rows.groupBy("set", "check").agg(first, F.first("size").alias("size"), F.first("first_tokens").alias("first_tokens"))
     classes = exchange.stored(classes.select("set", "check", "first.id", "first.line", "size", "first_tokens"), "line-classes")
-    pairs = exchange.stored(_candidates(classes, percent), "line-pairs")
-    linked = _verified(lines, pairs, percent)
+    linked = _verified(lines, classes, _candidates(classes, percent), ranks, percent)
     ahead = F.struct("a_id", "a_line") < F.struct("b_id", "b_line")
     behind = F.struct("a_id", "a_line") > F.struct("b_id", "b_line")
     gone = linked.select(F.when(ahead, F.col("b_set")).when(behind, F.col("a_set")).alias("set")).dropna().distinct()
@@ -154,13 +185,19 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def drop_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
-    """``docs`` with the texts' repeated lines taken out, all rows and columns kept."""
+    """``docs`` with the texts' repeated lines taken out, all columns kept.
+
+    A row goes where that leaves no line of ``WORDS`` words, though it had some.
+    """
     gone = _by_document(repeated_lines(docs, id_col, text_col, percent))
     key = F.coalesce(docs[id_col].cast("long"), F.lit(exchange.LAST_ID))
     rows = docs.join(gone, key == gone["_id"], "left")
     # Numbered from 0: a line stays if its number is not among the removed.
     kept = F.filter(F.split(text_col, "\n"), lambda _, i: ~F.array_contains("removed", i))
-    text = F.when(F.col("removed").isNull(), F.col(text_col)).otherwise(F.array_join(kept, "\n"))
+    rows = rows.withColumn("_kept", F.when(F.col("removed").isNotNull(), kept))
+    full = F.exists("_kept", lambda line: F.size(F.array_remove(F.split(line, " "), "")) >= WORDS)
+    text = F.when(F.col("removed").isNull(), F.col(text_col)).otherwise(F.array_join("_kept", "\n"))
+    rows = rows.filter(F.col("removed").isNull() | full)
     return rows.select(*[(text if name == text_col else docs[name]).alias(name) for name in docs.columns])
 
 
