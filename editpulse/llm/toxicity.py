@@ -3,18 +3,22 @@
 One pair runs over the bytes of each word, so that endings and new words made of
 known parts count; the other takes words whole. At the highest order each class
 has its own discounted counts. What the discount leaves goes to counts that both
-classes share: continuation counts of bytes, and all counts of a word. What is
-rare in both classes gets no estimate of its own, both fall back to the same
-shared counts there, and it says little for either.
+classes share: continuation counts of bytes, and all counts of a word. What
+was never counted falls back to the bytes before it, or says nothing.
 
 A word's evidence is log p(toxic) - log p(ordinary), over its bytes and as a
 whole. A text's evidence is the sum over its words, by their number and by its
 root; a logistic curve over these, fitted on labelled rows kept out of the
 counts, makes it a score.
 
-Counts cover every labelled row and are summed by Spark. What is sent to the
-tasks holds n-grams that make up ``least_share`` of a class or more, so 2 /
-``least_share`` of them at most, whatever the corpus.
+Evidence is weighed by how sure it is: by the likelihood ratio of both counts
+against equal shares, over itself plus ``DOUBT``. Few counts weigh little and
+none are left out.
+
+Counts cover every labelled row, are summed by Spark and all stay, however rare.
+Evidence is worked out for the distinct words of the texts, joined to the counts
+by the bytes before each n-gram's last; a block of texts sends each shard its
+distinct words and gets back theirs. No table of words or n-grams is broadcast.
 """
 
 from __future__ import annotations
@@ -30,42 +34,23 @@ from editpulse.llm import exchange, text as tx
 from editpulse.llm.text import U64
 
 ORDER = 7
-LEAST_SHARE = 1e-5
-LEAST_COUNT = 3
 DISCOUNT = 0.75
+DOUBT = 10.0
+VALUES = ("bytes", "words")
 CALIBRATION_ROWS = 20_000
 RIDGE = 1e-3
+UNIT = float(1 << 32)  # evidence is summed in whole parts of it, the same in any order
 _WORD = U64(1 << 63)  # marks the number of a whole word, which is its hash
 _BEFORE, _AFTER = 1, 2  # stand for the edges of a word
 
 
 @dataclass
 class Model:
-    """Evidence of words, of n-grams and, for all others, of their contexts; and the curve."""
-
-    words: np.ndarray
-    word_evidence: np.ndarray
+    """``VALUES`` of each word, its evidence over its bytes and as a whole; and the curve."""
 
-    grams: np.ndarray
-    gram_evidence: np.ndarray
-    contexts: np.ndarray
-    context_evidence: np.ndarray
+    values: DataFrame
     curve: tuple[float, ...] = (0.0, 0.0, 0.5, 0.0, 0.5)
 
-    def by_bytes(self, grams: np.ndarray, word: np.ndarray, words: int) -> np.ndarray:
-        value, known = _found(self.grams, self.gram_evidence, grams)
-        rest = np.flatnonzero(~known)
-        value[rest] = _found(self.contexts, self.context_evidence, grams[rest] >> U64(8))[0]
-        return np.bincount(word, weights=value, minlength=words)
-
-
-def _found(keys: np.ndarray, values: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    if not len(keys):
-        return np.zeros(len(wanted)), np.zeros(len(wanted), bool)
-    place = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
-    known = keys[place] == wanted
-    return np.where(known, values[place], 0.0), known
-
 
 def _distinct_words(data: np.ndarray, starts: np.ndarray):
     """Words of the texts, the distinct ones by their first place, and which each is."""
@@ -129,37 +114,99 @@ def _summed(grams: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return keys, np.stack([np.bincount(which, weights=c, minlength=len(keys)).astype(np.int64) for c in counts])
 
 
-def _evidence(handle):
-    """Evidence of every text on both scales, and its number of words, beside its row."""
+def _vocabulary(batches):
+    """Words of the texts in small letters, once for each run of texts."""
+    for batch in batches:
+        data, starts = tx.texts(batch.column("text"))
+        for a, b in tx.runs_of(starts):
+            part = data[starts[a] : starts[b]]
+            found, first, _ = _distinct_words(part, starts[a : b + 1] - starts[a])
+            lowered = tx.LOWER[part].tobytes()
+            kinds = [lowered[x:y] for x, y in zip(found.start[first].tolist(), found.end[first].tolist())]
+            yield pa.RecordBatch.from_arrays([pa.array(kinds, pa.binary())], ["word"])
+
+
+def _contexts_of(batches):
+    """Hash of each word beside the last byte and the bytes before it of its n-grams."""
+    for batch in batches:
+        data, starts = tx.texts(batch.column("word"))
+        for a, b in tx.runs_of(starts, 1 << 17):
+            part, edges = data[starts[a] : starts[b]], starts[a : b + 1] - starts[a]
+            hashes = tx.words(part, edges, tx.ALNUM, tx.LOWER_VALUES).hash
+            grams, word = _grams(part, edges[:-1], edges[1:])
+            columns = (hashes[word], grams >> U64(8), grams & U64(0xFF))
+            yield pa.RecordBatch.from_arrays([pa.array(x.astype(np.int64)) for x in columns], ["word", "context", "byte"])
+
+
+def _all_words(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Bytes and edges of a block's texts, and its distinct words' hashes in order."""
+    data, starts = tx.texts(table["text"])
+    held = [
+        np.unique(tx.words(data[starts[a] : starts[b]], starts[a : b + 1] - starts[a], tx.ALNUM, tx.LOWER_VALUES).hash)
+        for a, b in tx.runs_of(starts)
+    ]
+    return data, starts, np.unique(np.concatenate(held)) if held else np.zeros(0, U64)
+
+
+def _send_words(shards: int):
+    def send(table: pa.Table) -> pa.Table:
+        _, _, keys = _all_words(table)
+        edges = exchange.shard_edges(keys, shards)
+        used = np.flatnonzero(np.diff(edges))
+        return pa.table(
+            {
+                "shard": pa.array(used.astype(np.int32)),
+                "block": pa.array([table["block"][0].as_py()] * len(used), pa.int32()),
+                "keys": pa.array([keys[edges[s] : edges[s + 1]].tobytes() for s in used], pa.binary()),
+            }
+        )
+
+    return send
+
+
+def _answer(sent: pa.Table, values: pa.Table) -> pa.Table:
+    """All ``VALUES`` of the words of each row of ``sent``, in their order."""
+    word = values["word"].to_numpy().view(np.uint64)
+    order = np.argsort(word)
+    all_ = np.stack([values[name].to_numpy()[order] for name in VALUES])
+    wanted = [np.frombuffer(x, np.uint64) for x in sent["keys"].to_pylist()]
+    found = [all_[:, np.searchsorted(word[order], keys)].tobytes() for keys in wanted]
+    return pa.table(
+        {"block": sent["block"].cast(pa.int32()), "shard": sent["shard"].cast(pa.int32()), "found": pa.array(found, pa.binary())}
+    )
+
 
-    def score(batches):
-        model = handle.value
-        for batch in batches:
-            data, starts = tx.texts(batch.column("text"))
-            for a, b in tx.runs_of(starts):
-                part = data[starts[a] : starts[b]]
-                found, first, which = _distinct_words(part, starts[a : b + 1] - starts[a])
-                grams, word = _grams(part, found.start[first], found.end[first])
-                bytes_ = model.by_bytes(grams, word, len(first))[which]
-                whole = _found(model.words, model.word_evidence, found.hash[first] | _WORD)[0][which]
-                sums = [np.bincount(found.doc, weights=x, minlength=b - a) for x in (bytes_, whole)]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column("carry").slice(a, b - a),
-                        *[pa.array(x, pa.float64()) for x in sums],
-                        pa.array(found.counts(b - a), pa.int64()),
-                    ],
-                    ["carry", "bytes", "words", "n_words"],
-                )
-
-    return score
+def _evidence(table: pa.Table, answers: pa.Table) -> pa.Table:
+    """Sums of all ``VALUES`` over every text, and its number of words, beside its row."""
+    data, starts, keys = _all_words(table)
+    packed = answers.sort_by("shard")["found"].to_pylist()  # shards are ranges of the hashes
+    none = np.zeros((len(VALUES), 0))
+    by_word = np.concatenate([none, *[np.frombuffer(x, np.float64).reshape(len(VALUES), -1) for x in packed]], axis=1)
+    sums, counts = [], []
+    for a, b in tx.runs_of(starts):
+        found = tx.words(data[starts[a] : starts[b]], starts[a : b + 1] - starts[a], tx.ALNUM, tx.LOWER_VALUES)
+        values = by_word[:, np.searchsorted(keys, found.hash)]
+        sums.append(np.stack([np.bincount(found.doc, weights=x, minlength=b - a) for x in values]))
+        counts.append(found.counts(b - a))
+    sums = dict(zip(VALUES, map(pa.array, np.concatenate([none, *sums], axis=1))))
+    n_words = pa.array(np.concatenate([np.zeros(0, np.int64), *counts]))
+    return pa.table({"carry": table["carry"], "text": table["text"], **sums, "n_words": n_words})
 
 
 def with_evidence(docs: DataFrame, carry: list[Column], text_col: str, model: Model) -> DataFrame:
+    """``carry``, ``text``, evidence and number of words of every row; ``model`` covers all words."""
+    n = exchange.parts(docs, text_col)
     rows = docs.select(F.struct(*carry).alias("carry"), F.col(text_col).alias("text"))
+    # Rows spread by all they hold: no id, nor a text under several ids, is one block.
+    rows = rows.withColumn("block", F.pmod(F.xxhash64("carry", "text"), F.lit(n)).cast("int"))
+    sent = rows.groupBy("block").applyInArrow(_send_words(n), "shard int, block int, keys binary")
+    shard = F.shiftright(F.shiftrightunsigned("word", 32) * n, 32).cast("int").alias("shard")
+    values = model.values.select(shard, "word", *VALUES)
+    answers = sent.groupBy("shard").cogroup(values.groupBy("shard")).applyInArrow(_answer, "block int, shard int, found binary")
     kind = rows.schema["carry"].dataType.simpleString()
-    handle = docs.sparkSession.sparkContext.broadcast(model)
-    return rows.mapInArrow(_evidence(handle), f"carry {kind}, bytes double, words double, n_words long")
+    return rows.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
+        _evidence, f"carry {kind}, text string, {', '.join(f'{name} double' for name in VALUES)}, n_words long"
+    )
 
 
 def fold(id_col: Column) -> Column:
@@ -181,64 +228,94 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     counted = texts.join(known.filter(fold(F.col("id")).isin(1, 2, 3)).hint("merge"), "id")
     grams = counted.select("text", "toxic").mapInArrow(_count, "gram long, toxic long, plain long")
     grams = exchange.stored(grams.groupBy("gram").agg(F.sum("toxic").alias("toxic"), F.sum("plain").alias("plain")), "grams")
-    model = _model(grams)
+    model = Model(_values(texts, grams))
 
     held = known.filter(fold(F.col("id")) == 4).orderBy(F.xxhash64("id"), "id").limit(CALIBRATION_ROWS)
     # At most CALIBRATION_ROWS ids and labels: the texts stay where they are.
     sample = texts.join(F.broadcast(held), "id").dropDuplicates(["id"])
-    rows = with_evidence(sample, [F.col("toxic")], "text", model).select("carry.toxic", "bytes", "words", "n_words").collect()
+    rows = with_evidence(sample, [F.col("toxic")], "text", model).select("carry.toxic", *VALUES, "n_words").collect()
     if rows:
         model.curve = _curve(*(np.array(x, float) for x in zip(*rows)))
     return model
 
 
-def _model(grams: DataFrame) -> Model:
-    grams = grams.withColumn("whole", F.col("gram") < 0)
-    totals = {row.whole: row for row in grams.groupBy("whole").agg(F.sum("toxic").alias("toxic"), F.sum("plain").alias("plain")).collect()}
-    kinds = ("toxic", "plain")
-    size = {(whole, kind): (getattr(totals[whole], kind) if whole in totals else 0) for whole in (True, False) for kind in kinds}
-    enough = {key: max(LEAST_COUNT, LEAST_SHARE * n) for key, n in size.items()}
-    kept = lambda whole: (F.col("toxic") >= enough[whole, "toxic"]) | (F.col("plain") >= enough[whole, "plain"])
-    grams = grams.withColumn("kept", F.when(F.col("whole"), kept(True)).otherwise(kept(False)))
-    spent = [
-        F.sum(F.when(F.col("kept"), F.greatest(F.col(kind) - DISCOUNT, F.lit(0.0))).otherwise(0.0)).alias(f"spent_{kind}")
-        for kind in kinds
-    ]
-    # Contexts are bytes before the last, or all words together.
-    context = F.when(F.col("whole"), F.lit(-1)).otherwise(F.shiftrightunsigned("gram", 8))
-    grams = grams.withColumn("context", context)
-    contexts = grams.groupBy("context").agg(*[F.sum(kind).alias(f"all_{kind}") for kind in kinds], *spent)
-    table = grams.filter("kept and not whole").join(contexts, "context").toPandas()
-    words = grams.filter("kept and whole").toPandas()
-    spent_by_words = contexts.filter("context = -1").first()
+def _values(texts: DataFrame, grams: DataFrame) -> DataFrame:
+    """Evidence of every distinct word of ``texts``, over its bytes and as a whole."""
+    vocabulary = texts.select("text").mapInArrow(_vocabulary, "word binary").distinct()
+    wanted = vocabulary.mapInArrow(_contexts_of, "word long, context long, byte long")
+    by_bytes = wanted.join(_contexts(grams.filter("gram >= 0")), "context", "left")
+    place = F.array_position("after", F.col("byte")).cast("int") - 1
+    value = F.coalesce(F.get("evidence", place), F.col("rest"), F.lit(0.0))
+    by_bytes = by_bytes.groupBy("word").agg((F.sum(F.round(value * UNIT).cast("long")) / UNIT).alias("bytes"))
+    # A word's number among the counts has the first bit set.
+    values = by_bytes.withColumn("gram", F.col("word").bitwiseOR(F.lit(-(1 << 63))))
+    values = values.join(_whole(grams.filter("gram < 0")), "gram", "left").fillna(0.0)
+    return exchange.stored(values.select("word", *VALUES), "word-evidence")
+
+
+def _contexts(grams: DataFrame) -> DataFrame:
+    """Of all bytes before a last one: evidence of each last one seen there, and of any other."""
     # Continuation counts of the last two bytes: 65,536 rows at most.
     pair = F.col("gram").bitwiseAND(0xFFFF).alias("pair")
-    pairs = grams.filter("not whole").groupBy(pair).agg(F.count("*").alias("kinds")).toPandas()
-
-    value = table.gram.to_numpy(np.int64).view(np.uint64)
-    lower = _shared(pairs)[(value & U64(0xFFFF)).astype(np.int64)]
-    all_ = {kind: table[f"all_{kind}"].to_numpy(float) for kind in kinds}
-    rest = {kind: _rest(all_[kind], table[f"spent_{kind}"].to_numpy(float)) for kind in kinds}
-    evidence = _log_ratio(*[_smoothed(table[kind].to_numpy(float), all_[kind], rest[kind], lower) for kind in kinds])
-    order = np.argsort(value)
-    context, first = np.unique(table.context.to_numpy(np.int64).view(np.uint64), return_index=True)
-
-    key = words.gram.to_numpy(np.int64).view(np.uint64)
-    of = {kind: np.full(len(words), float(size[True, kind])) for kind in kinds}
-    counts = {kind: words[kind].to_numpy(float) for kind in kinds}
-    both = (counts["toxic"] + counts["plain"]) / np.maximum(of["toxic"] + of["plain"], 1)
-    whole = _log_ratio(
-        *[
-            _smoothed(counts[k], of[k], _rest(of[k], np.full(len(words), spent_by_words[f"spent_{k}"] if spent_by_words else 0.0)), both)
-            for k in kinds
-        ]
-    )
-    by_key = np.argsort(key)
-    return Model(key[by_key], whole[by_key], value[order], evidence[order], context, _log_ratio(rest["toxic"], rest["plain"])[first])
+    shared = _shared(grams.groupBy(pair).agg(F.count("*").alias("kinds")).toPandas())
+
+    total = [x or 0 for x in grams.agg(F.sum("toxic"), F.sum("plain")).first()]
+
+    def evidence(batches):
+        for batch in batches:
+            context = batch.column("context").to_numpy()
+            seen = batch.column("seen")
+            byte, *counts = (x.to_numpy() for x in seen.flatten().flatten())
+            sizes = np.diff(seen.offsets.to_numpy())
+            of = np.repeat(np.arange(len(context)), sizes)
+            sums = lambda x: np.bincount(of, weights=x, minlength=len(context))
+            all_ = [sums(x) for x in counts]
+            lower = shared[(context[of] & 0xFF) << 8 | byte]
+            rest = [_rest(n, sums(np.maximum(x - DISCOUNT, 0))) for n, x in zip(all_, counts)]
+            value = _log_ratio(*[_smoothed(x, n[of], r[of], lower) for x, n, r in zip(counts, all_, rest)])
+            value *= _sureness(*counts, *total)
+            edges = pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32))
+            lists = [pa.ListArray.from_arrays(edges, pa.array(x)) for x in (byte, value)]
+            other = pa.array(_log_ratio(*rest) * _sureness(*all_, *total))
+            yield pa.RecordBatch.from_arrays([batch.column("context"), *lists, other], ["context", "after", "evidence", "rest"])
+
+    byte = F.col("gram").bitwiseAND(0xFF).alias("byte")
+    context = F.shiftrightunsigned("gram", 8).alias("context")
+    seen = grams.groupBy(context).agg(F.collect_list(F.struct(byte, "toxic", "plain")).alias("seen"))  # 256 at most
+    return seen.mapInArrow(evidence, "context long, after array<long>, evidence array<double>, rest double")
+
+
+def _whole(grams: DataFrame) -> DataFrame:
+    """``gram`` and evidence of every counted word."""
+    kinds = ("toxic", "plain")
+    left = lambda kind: F.greatest(F.col(kind) - DISCOUNT, F.lit(0.0))
+    all_ = grams.agg(*[F.sum(kind) for kind in kinds], *[F.sum(left(kind)) for kind in kinds]).first()
+    total, spent = ({kind: float(x or 0) for kind, x in zip(kinds, part)} for part in (all_[:2], all_[2:]))
+
+    def weigh(batches):
+        for batch in batches:
+            counts = {kind: batch.column(kind).to_numpy().astype(float) for kind in kinds}
+            n = {kind: np.full(batch.num_rows, total[kind]) for kind in kinds}
+            both = sum(counts.values()) / max(sum(total.values()), 1)
+            value = _log_ratio(*[_smoothed(counts[k], n[k], _rest(n[k], np.full(len(both), spent[k])), both) for k in kinds])
+            value *= _sureness(*counts.values(), *total.values())
+            yield pa.RecordBatch.from_arrays([batch.column("gram"), pa.array(value)], ["gram", "words"])
+
+    return grams.mapInArrow(weigh, "gram long, words double")
+
+
+def _sureness(toxic: np.ndarray, plain: np.ndarray, all_toxic: float, all_plain: float) -> np.ndarray:
+    """From 0 to 1 as the counts tell of other shares than those of all counts."""
+    both, part = toxic + plain, all_toxic / max(all_toxic + all_plain, 1)
+    told = np.zeros(len(both))
+    for counts, share in ((toxic, part), (plain, 1 - part)):
+        told += 2 * counts * np.log(np.maximum(counts, 1e-12) / np.maximum(both * share, 1e-12))
+    told = np.maximum(told, 0)
+    return told / (told + DOUBT)
 
 
 def _rest(all_: np.ndarray, spent: np.ndarray) -> np.ndarray:
-    """Share of a context that its kept counts leave to the shared ones."""
+    """Share of a context that its counts leave to the shared ones."""
     return np.where(all_ > 0, 1 - spent / np.maximum(all_, 1), 1.0)
 
 
@@ -264,10 +341,11 @@ def _shared(pairs) -> np.ndarray:
     return (np.maximum(kinds - DISCOUNT, 0) / total + left * single).ravel()
 
 
-def _curve(toxic: np.ndarray, by_bytes: np.ndarray, by_words: np.ndarray, n_words: np.ndarray) -> tuple[float, ...]:
-    """Logistic regression on both norms of both scales, by Newton steps with a small ridge."""
+def _curve(toxic: np.ndarray, *values: np.ndarray) -> tuple[float, ...]:
+    """Logistic regression on both norms of all ``VALUES``, by Newton steps with a small ridge."""
+    *values, n_words = values
     n = np.maximum(n_words, 1)
-    x = np.stack([np.ones(len(toxic)), by_bytes / n, by_bytes / np.sqrt(n), by_words / n, by_words / np.sqrt(n)], axis=1)
+    x = np.stack([np.ones(len(toxic)), *[value / norm for value in values for norm in (n, np.sqrt(n))]], axis=1)
     w = np.zeros(x.shape[1])
     for _ in range(30):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
@@ -280,10 +358,11 @@ def _curve(toxic: np.ndarray, by_bytes: np.ndarray, by_words: np.ndarray, n_word
 def score(model: Model) -> Column:
     """Score between 0 and 1 from the evidence and the number of words."""
     n = F.greatest(F.col("n_words"), F.lit(1))
-    base, bytes_mean, bytes_root, words_mean, words_root = (F.lit(x) for x in model.curve)
-    by_bytes = F.col("bytes") * (bytes_mean / n + bytes_root / F.sqrt(n))
-    by_words = F.col("words") * (words_mean / n + words_root / F.sqrt(n))
-    return 1 / (1 + F.exp(-(base + by_bytes + by_words)))
+    base, *weights = model.curve
+    total = F.lit(base)
+    for name, mean, root in zip(VALUES, weights[::2], weights[1::2]):
+        total = total + F.col(name) * (mean / n + root / F.sqrt(n))
+    return 1 / (1 + F.exp(-total))
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> DataFrame:
@@ -304,6 +383,9 @@ def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
 def drop_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that score below 0.5, with all their columns."""
     model = fit(docs, labels, id_col, text_col)
-    carry = [F.col(f"`{name}`").alias(f"c{i}") for i, name in enumerate(docs.columns)]
-    rows = with_evidence(docs, carry, text_col, model).filter(score(model) < 0.5)
-    return rows.select(*[F.col(f"carry.c{i}").alias(name) for i, name in enumerate(docs.columns)])
+    # Beside the text, or a constant: a struct has one column at least.
+    carry = [F.col(f"`{name}`").alias(f"c{i}") for i, name in enumerate(docs.columns) if name != text_col]
+    rows = with_evidence(docs, carry or [F.lit(0)], text_col, model).filter(score(model) < 0.5)
+    return rows.select(
+        *[F.col("text" if name == text_col else f"carry.c{i}").alias(name) for i, name in enumerate(docs.columns)]
+    )
