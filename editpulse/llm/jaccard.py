@@ -94,16 +94,23 @@ def drop_near_copies(
 ) -> DataFrame:
     """``docs`` without those that have a smaller id in their component.
 
-    Rows of one id count as one document, of which one row stays. Rows without
-    words or without id all stay.
+    Rows of one id and text count as one document, of which one row stays; those
+    of one id with other texts are documents after all others. Rows without words
+    or without id all stay.
     """
-    found = jaccard_join(docs, id_col, text_col, words, percent)
-    gone = found.filter("n_shingles > 0").groupBy(id_col).agg(F.min("component_id").alias("component"))
-    keep = gone.filter(F.col(id_col) == F.col("component")).select(F.col(id_col).alias("_keep"))
-    told = gone.select(F.col(id_col).alias("_told"))
-    bare = docs.join(told, F.col(id_col) == F.col("_told"), "left_anti")
-    whole = docs.join(keep, F.col(id_col) == F.col("_keep"), "left_semi").dropDuplicates([id_col])
-    return whole.unionByName(bare)
+    id_, row = F.col(id_col).cast("long"), F.xxhash64(text_col)
+    several = docs.filter(id_.isNotNull()).groupBy(id_.alias("_id")).agg(F.min(row).alias("_row"), F.max(row).alias("_other"))
+    several = exchange.stored(several.filter("_row <> _other").select("_id", "_row"), "jaccard-several")
+    # The first text of an id keeps it; others get a number from 1 << 62 on.
+    number = F.shiftrightunsigned(F.xxhash64(id_, text_col), 2).bitwiseOR(F.lit(1 << 62))
+    keyed = docs.join(several, id_ == F.col("_id"), "left")
+    keyed = keyed.withColumn("_key", F.when(row != F.col("_row"), number).otherwise(id_)).select(*docs.columns, "_key")
+    found = jaccard_join(keyed, "_key", text_col, words, percent)
+    gone = found.filter("n_shingles > 0").groupBy("_key").agg(F.min("component_id").alias("component"))
+    keep = gone.filter("_key = component").select("_key")
+    bare = keyed.join(gone.select("_key"), "_key", "left_anti")
+    whole = keyed.join(keep, "_key", "left_semi").dropDuplicates(["_key"])
+    return whole.unionByName(bare).select(*docs.columns)
 
 
 class _Sets:

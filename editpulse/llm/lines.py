@@ -1,8 +1,7 @@
 """Line dedup by an exact set-similarity join, in DataFrame operations only.
 
-A line is the set of its runs of ``WORDS`` words. All lines of the same set are
-one class. Tokens of a set are ordered by rarity: what is counted are ``BUCKETS``
-buckets of them, over all lines, so that the counts have a fixed size and reach
+A line is the set of its runs of ``WORDS`` words, All lines of the same set are one class. Tokens of a set are
+ordered by rarity: what is counted are ``BUCKETS`` buckets of them, over all lines, so that the counts have a fixed size and reach
 every task with the plan; tokens of frequent passages stand out from their
 bucket's share, and any fixed order gives the same result. Two sets
 that reach the threshold share a token among the first of both, within bounds
@@ -26,17 +25,35 @@ PERCENT = 80
 BUCKETS = 1 << 16
 SENT_IDS = 500_000
 STEPS = 8  # of rarity for each doubling of a count
+PLACE = ["id", "row", "line"]  # in order of what is earlier
+SPACE, OTHER = r"[\x20\x09-\x0d]", r"[^\x20\x09-\x0d]"
+
+
+def _id(id_col: str) -> Column:
+    return F.coalesce(F.col(id_col).cast("long"), F.lit(exchange.LAST_ID))
+
+
+def _row(text_col: str) -> Column:
+    """What tells rows of one id apart; equal rows are one."""
+    return F.xxhash64(text_col)
 
 
 def lines_of(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(id, line, text) of every line; lines are numbered from 0, none in a null text."""
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.posexplode_outer(F.split(text_col, "\n")).alias("line", "text"))
+    """(id, row, line, text) of every line; lines are numbered from 0, none in a null text."""
+    line = F.posexplode_outer(F.split(text_col, "\n")).alias("line", "text")
+    rows = docs.select(_id(id_col).alias("id"), _row(text_col).alias("row"), line)
     return rows.filter(F.col("text").isNotNull())
 
 
 def _enough() -> Column:
     """Whether a line has ``WORDS`` words, without cutting it up."""
-    return F.col("text").rlike(rf"^ *(?:[^ ]+ +){{{WORDS - 1}}}[^ ]")
+    return F.col("text").rlike(rf"^{SPACE}*(?:{OTHER}+{SPACE}+){{{WORDS - 1}}}{OTHER}")
+
+
+def _words() -> Column:
+    # Cut at one character: a pattern would be compiled anew for every line.
+    blank = F.regexp_replace("text", r"[\x09-\x0d]", " ")
+    return F.transform(F.array_remove(F.split(blank, " "), ""), lambda word: F.xxhash64(word))
 
 
 def _bucket(word: Column) -> Column:
@@ -49,8 +66,7 @@ def _with_hashes(lines: DataFrame) -> DataFrame:
     No condition stands on the words or the hashes: it would be pushed down
     together with all that makes them, and that would be done twice.
     """
-    words = F.transform(F.array_remove(F.split("text", " "), ""), lambda word: F.xxhash64(word))
-    rows = lines.filter(_enough()).withColumn("words", words).drop("text")
+    rows = lines.filter(_enough()).withColumn("words", _words()).drop("text")
     size = F.size("words")
     runs = F.arrays_zip(*[F.slice("words", F.lit(i + 1), size).alias(f"w{i}") for i in range(WORDS)])
     rows = rows.withColumn("runs", F.slice(runs, F.lit(1), size - WORDS + 1)).drop("words")
@@ -85,11 +101,11 @@ def _least_overlap(size: Column, percent: int) -> Column:
 
 
 def _classes(lines: DataFrame, ranks: list[int], percent: int) -> DataFrame:
-    """Every line that has tokens, with its set's two hashes, size and first tokens."""
+    """Every line of ``WORDS`` words, with its set's two hashes, size and first tokens."""
     rows = _with_tokens(lines, ranks).withColumn("tokens", F.sort_array("tokens")).withColumn("size", F.size("tokens"))
     prefix = (F.col("size") - _least_overlap(F.col("size"), percent) + 1).cast("int")
     return rows.select(
-        "id", "line", "size",
+        "id", "row", "line", "size",
         F.xxhash64("tokens").alias("set"),
         F.hash("tokens").alias("check"),
         F.slice("tokens", F.lit(1), prefix).alias("first_tokens"),
@@ -118,70 +134,68 @@ def _candidates(classes: DataFrame, percent: int) -> DataFrame:
 
 def _verified(lines: DataFrame, classes: DataFrame, pairs: DataFrame, ranks: list[int], percent: int) -> DataFrame:
     """The pairs whose whole sets reach the threshold, with the first line of each."""
-    where = classes.select("set", "id", "line")
+    where = classes.select("set", *PLACE)
     for side in "ab":
         pairs = pairs.join(where.select(*[F.col(c).alias(f"{side}_{c}") for c in where.columns]), f"{side}_set")
     pairs = exchange.stored(pairs, "line-pairs")
-    ends = pairs.select(F.col("a_id").alias("id"), F.col("a_line").alias("line"))
-    ends = ends.union(pairs.select("b_id", "b_line")).distinct()
-    # Ids up to this number are sent to the texts; more of them meet in a shuffle.
-    ids = exchange.stored(ends.select("id").distinct(), "line-documents")
-    ids = F.broadcast(ids) if ids.count() <= SENT_IDS else ids
-    sets = lines.join(ids, "id", "left_semi").join(ends, ["id", "line"], "left_semi").dropDuplicates(["id", "line"])
+    ends = pairs.select(*[F.col(f"a_{c}").alias(c) for c in PLACE])
+    ends = ends.union(pairs.select(*[f"b_{c}" for c in PLACE])).distinct()
+    # Rows up to this number are sent to the texts; more of them meet in a shuffle.
+    rows = exchange.stored(ends.select("id", "row").distinct(), "line-documents")
+    rows = F.broadcast(rows) if rows.count() <= SENT_IDS else rows
+    sets = lines.join(rows, ["id", "row"], "left_semi").join(ends, PLACE, "left_semi").dropDuplicates(PLACE)
     sets = exchange.stored(_with_tokens(sets, ranks), "line-sets")
     for side in "ab":
-        pairs = pairs.join(sets.select(*[F.col(c).alias(f"{side}_{c}") for c in sets.columns]), [f"{side}_id", f"{side}_line"])
+        named = sets.select(*[F.col(c).alias(f"{side}_{c}") for c in sets.columns])
+        pairs = pairs.join(named, [f"{side}_{c}" for c in PLACE])
     shared = F.size(F.array_intersect("a_tokens", "b_tokens"))
     union = F.size("a_tokens") + F.size("b_tokens") - shared
     return pairs.filter(shared * 100 >= union * percent)
 
 
-def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
-    """(id, line) of every line that an earlier one matches.
+def repeated_lines(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT
+) -> DataFrame:
+    """(id, row, line) of every line that an earlier one matches.
 
-    Words stand between blanks. A line of fewer than ``WORDS`` words matches
-    nothing. Two lines match if the Jaccard of their sets is ``percent`` or more.
-    Earlier is a smaller document id, null last, then a smaller line number;
-    matches are judged on the input, removed lines count too. Lines at the same
-    place of repeated rows are never earlier than each other.
+    Words stand between blanks and the control characters 9 to 13. Two lines
+    match if the Jaccard of their sets is ``percent`` or more; one of fewer than
+    ``WORDS`` words matches nothing. Earlier is a smaller document id, null
+    last, then a smaller ``row`` (a hash of the text, that tells rows of one id
+    apart), then a smaller line number; matches are judged on the input, removed
+    lines count too. Rows of one id and text are one.
     """
     lines = lines_of(docs, id_col, text_col)
-    lines = lines.withColumn("id", F.coalesce("id", F.lit(exchange.LAST_ID)))
     ranks = _rarity(lines)
     rows = exchange.stored(_classes(lines, ranks, percent), "lines")
-    first = F.min(F.struct("id", "line")).alias("first")
+    first = F.min(F.struct(*PLACE)).alias("first")
     classes = rows.groupBy("set", "check").agg(first, F.first("size").alias("size"), F.first("first_tokens").alias("first_tokens"))
-    classes = exchange.stored(classes.select("set", "check", "first.id", "first.line", "size", "first_tokens"), "line-classes")
+    classes = exchange.stored(classes.select("set", "check", "first.*", "size", "first_tokens"), "line-classes")
     linked = _verified(lines, classes, _candidates(classes, percent), ranks, percent)
-    ahead = F.struct("a_id", "a_line") < F.struct("b_id", "b_line")
-    behind = F.struct("a_id", "a_line") > F.struct("b_id", "b_line")
-    gone = linked.select(F.when(ahead, F.col("b_set")).when(behind, F.col("a_set")).alias("set")).dropna().distinct()
+    a, b = (F.struct(*[f"{side}_{c}" for c in PLACE]) for side in "ab")
+    gone = linked.select(F.when(a < b, F.col("b_set")).when(a > b, F.col("a_set")).alias("set")).dropna().distinct()
     gone = gone.withColumn("gone", F.lit(True))
-    state = classes.select("set", "check", F.col("id").alias("first_id"), F.col("line").alias("first_line")).join(gone, "set", "left")
-    later = F.struct("id", "line") > F.struct("first_id", "first_line")
-    found = rows.select("id", "line", "set", "check").join(state, ["set", "check"])
-    return found.filter(F.col("gone").isNotNull() | later).select("id", "line").distinct()
+    state = classes.select("set", "check", F.struct(*PLACE).alias("first")).join(gone, "set", "left")
+    later = F.struct(*PLACE) > F.col("first")
+    found = rows.select(*PLACE, "set", "check").join(state, ["set", "check"])
+    return found.filter(F.col("gone").isNotNull() | later).select(*PLACE).distinct()
 
 
-def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
+def line_dedup(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT
+) -> DataFrame:
     """``id_col``, ``n_lines``, ``n_removed`` and ``removed`` (line numbers) of every row.
 
-    See ``repeated_lines`` for what goes. A null text has no lines, an empty one
-    has one. A null id counts as the largest. Rows of one id are each shown what
-    goes from any of them. Other columns are ignored, an empty table gives an
-    empty one.
+    See ``repeated_lines`` for what goes. A null text has no lines, an empty one has one. A null
+    id counts as the largest. Rows of one id are told apart by their texts.
+    Other columns are ignored, an empty table gives an empty one.
     """
     gone = _by_document(repeated_lines(docs, id_col, text_col, percent))
-    rows = docs.select(
-        F.col(id_col).alias("id"), F.coalesce(F.size(F.split(text_col, "\n")), F.lit(0)).alias("n_lines")
-    )
-    rows = rows.withColumn("n_lines", F.greatest("n_lines", F.lit(0)))
-    key = F.coalesce(rows["id"].cast("long"), F.lit(exchange.LAST_ID))
-    rows = rows.join(gone, key == gone["_id"], "left")
-    removed = F.filter(F.coalesce("removed", F.array().cast("array<int>")), lambda i: i < F.col("n_lines"))
-    return rows.withColumn("removed", removed).select(
-        F.col("id").alias(id_col), F.col("n_lines").cast("long"), F.size("removed").cast("long").alias("n_removed"), "removed"
-    )
+    n_lines = F.greatest(F.coalesce(F.size(F.split(text_col, "\n")), F.lit(0)), F.lit(0)).cast("long")
+    rows = docs.select(F.col(id_col).alias("id"), n_lines.alias("n_lines"), _id(id_col).alias("_id"), _row(text_col).alias("_row"))
+    rows = rows.join(gone, ["_id", "_row"], "left")
+    rows = rows.withColumn("removed", F.coalesce("removed", F.array().cast("array<int>")))
+    return rows.select(F.col("id").alias(id_col), "n_lines", F.size("removed").cast("long").alias("n_removed"), "removed")
 
 
 def drop_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
@@ -190,8 +204,7 @@ def drop_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     A row goes where that leaves no line of ``WORDS`` words, though it had some.
     """
     gone = _by_document(repeated_lines(docs, id_col, text_col, percent))
-    key = F.coalesce(docs[id_col].cast("long"), F.lit(exchange.LAST_ID))
-    rows = docs.join(gone, key == gone["_id"], "left")
+    rows = docs.join(gone, (_id(id_col) == gone["_id"]) & (_row(text_col) == gone["_row"]), "left")
     # Numbered from 0: a line stays if its number is not among the removed.
     kept = F.filter(F.split(text_col, "\n"), lambda _, i: ~F.array_contains("removed", i))
     rows = rows.withColumn("_kept", F.when(F.col("removed").isNotNull(), kept))
@@ -202,4 +215,5 @@ def drop_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
 
 def _by_document(gone: DataFrame) -> DataFrame:
-    return gone.groupBy(F.col("id").alias("_id")).agg(F.array_sort(F.collect_list("line")).alias("removed"))
+    lines = F.array_sort(F.collect_list("line")).alias("removed")
+    return gone.groupBy(F.col("id").alias("_id"), F.col("row").alias("_row")).agg(lines)

@@ -5,6 +5,8 @@ import zlib
 from pyspark.sql import functions as F
 
 from editpulse.llm import toxicity as tox
+from editpulse.llm.jaccard import drop_near_copies
+from editpulse.llm.lines import drop_repeated_lines
 
 
 def test_a_word_of_few_toxic_texts_has_evidence(spark):
@@ -16,3 +18,21 @@ def test_a_word_of_few_toxic_texts_has_evidence(spark):
     found = tox.with_evidence(docs, [F.col("doc_id").alias("id")], "text", tox.fit(docs, labels))
     words = {r.id: r.words for r in found.select("carry.id", "words").collect()}
     assert words[ids[0][0]] > 0 and words[ids[0][1]] == 0
+
+
+def test_rows_of_one_id_are_told_apart(spark):
+    shared = "a line of more than five words"
+    for id_ in (None, 7):
+        rows = [(id_, f"{name} has this line alone here\n{shared}\n{name} ends with that line there") for name in "abc"]
+        rows += [(1, "b has this line alone here")]
+        left = [r.text for r in drop_repeated_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()]
+        lines = [line for text in left for line in text.split("\n")]
+        alone = [f"{name} has this line alone here" for name in "abc"] + [f"{name} ends with that line there" for name in "abc"]
+        assert sorted(lines) == sorted([shared, *alone])
+
+
+def test_near_copies_keep_other_texts_of_an_id(spark):
+    texts = [" ".join(f"{name}{i}" for i in range(30)) for name in "xyz"]
+    rows = [(7, texts[0]), (7, texts[1]), (7, texts[1]), (8, texts[2]), (9, texts[0]), (9, texts[1])]
+    left = drop_near_copies(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(r.text for r in left) == sorted(texts)
