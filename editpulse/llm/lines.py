@@ -1,6 +1,7 @@
 """Line dedup by an exact set-similarity join, in DataFrame operations only.
 
-A line is the set of its runs of ``WORDS`` words, All lines of the same set are one class. Tokens of a set are
+A line is the set of its runs of ``WORDS`` words, a shorter one that of all its
+words in a row. All lines of the same set are one class. Tokens of a set are
 ordered by rarity: what is counted are ``BUCKETS`` buckets of them, over all lines, so that the counts have a fixed size and reach
 every task with the plan; tokens of frequent passages stand out from their
 bucket's share, and any fixed order gives the same result. Two sets
@@ -73,6 +74,19 @@ def _with_hashes(lines: DataFrame) -> DataFrame:
     return rows.withColumn("hashes", F.array_distinct(F.transform("runs", lambda run: F.xxhash64(run)))).drop("runs")
 
 
+def _short(lines: DataFrame) -> DataFrame:
+    """Every line of 1 to ``WORDS`` - 1 words, as ``_classes`` gives the longer ones.
+
+    The one token is that of all words; no line of another set has it, so these
+    are joined with none.
+    """
+    rows = lines.filter(F.col("text").rlike(OTHER) & ~_enough()).withColumn("words", _words())
+    none = F.array().cast("array<long>").alias("first_tokens")
+    set_ = F.xxhash64(F.lit(WORDS), "words").alias("set")
+    check = F.hash(F.lit(WORDS), "words").alias("check")
+    return rows.select("id", "row", "line", F.lit(1).alias("size"), set_, check, none)
+
+
 def _rarity(lines: DataFrame) -> list[int]:
     """A number below 128 for each bucket that grows with its count; ``BUCKETS`` rows come to the driver.
 
@@ -154,20 +168,22 @@ def _verified(lines: DataFrame, classes: DataFrame, pairs: DataFrame, ranks: lis
 
 
 def repeated_lines(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT, short: bool = True
 ) -> DataFrame:
     """(id, row, line) of every line that an earlier one matches.
 
     Words stand between blanks and the control characters 9 to 13. Two lines
     match if the Jaccard of their sets is ``percent`` or more; one of fewer than
-    ``WORDS`` words matches nothing. Earlier is a smaller document id, null
+    ``WORDS`` words matches those of the same words, without ``short`` nothing.
+    A line without words matches nothing. Earlier is a smaller document id, null
     last, then a smaller ``row`` (a hash of the text, that tells rows of one id
     apart), then a smaller line number; matches are judged on the input, removed
     lines count too. Rows of one id and text are one.
     """
     lines = lines_of(docs, id_col, text_col)
     ranks = _rarity(lines)
-    rows = exchange.stored(_classes(lines, ranks, percent), "lines")
+    rows = _classes(lines, ranks, percent)
+    rows = exchange.stored(rows.unionByName(_short(lines)) if short else rows, "lines")
     first = F.min(F.struct(*PLACE)).alias("first")
     classes = rows.groupBy("set", "check").agg(first, F.first("size").alias("size"), F.first("first_tokens").alias("first_tokens"))
     classes = exchange.stored(classes.select("set", "check", "first.*", "size", "first_tokens"), "line-classes")
@@ -182,15 +198,16 @@ def repeated_lines(
 
 
 def line_dedup(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT, short: bool = False
 ) -> DataFrame:
     """``id_col``, ``n_lines``, ``n_removed`` and ``removed`` (line numbers) of every row.
 
-    See ``repeated_lines`` for what goes. A null text has no lines, an empty one has one. A null
+    See ``repeated_lines`` for what goes; lines of fewer than ``WORDS`` words
+    only with ``short``. A null text has no lines, an empty one has one. A null
     id counts as the largest. Rows of one id are told apart by their texts.
     Other columns are ignored, an empty table gives an empty one.
     """
-    gone = _by_document(repeated_lines(docs, id_col, text_col, percent))
+    gone = _by_document(repeated_lines(docs, id_col, text_col, percent, short))
     n_lines = F.greatest(F.coalesce(F.size(F.split(text_col, "\n")), F.lit(0)), F.lit(0)).cast("long")
     rows = docs.select(F.col(id_col).alias("id"), n_lines.alias("n_lines"), _id(id_col).alias("_id"), _row(text_col).alias("_row"))
     rows = rows.join(gone, ["_id", "_row"], "left")
@@ -199,7 +216,7 @@ def line_dedup(
 
 
 def drop_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
-    """``docs`` with the texts' repeated lines taken out, all columns kept.
+    """``docs`` with the texts' repeated lines taken out, short ones too, all columns kept.
 
     A row goes where that leaves no line of ``WORDS`` words, though it had some.
     """

@@ -109,7 +109,7 @@ def op8_url_filters(spark, sf_dir):
 
 @query
 def op7_line_dedup(spark, sf_dir):
-    return line_dedup(table(spark, sf_dir, "documents"))
+    return line_dedup(table(spark, sf_dir, "documents"), short=True)
 
 
 @query

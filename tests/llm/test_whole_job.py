@@ -4,7 +4,7 @@ import zlib
 
 from pyspark.sql import functions as F
 
-from editpulse.llm import toxicity as tox
+from editpulse.llm import queries, toxicity as tox
 from editpulse.llm.jaccard import drop_near_copies
 from editpulse.llm.lines import drop_repeated_lines
 
@@ -20,6 +20,14 @@ def test_a_word_of_few_toxic_texts_has_evidence(spark):
     assert words[ids[0][0]] > 0 and words[ids[0][1]] == 0
 
 
+def test_copies_of_short_lines_go(spark, tmp_path):
+    texts = ["Share this\nfirst", "Share  this\nsecond", "日本語の文章です", "日本語の文章です\n\n", "a\tb\tc\td\te\tf\tg", "a b c d e\tf g"]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows.write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r.doc_id: r.removed for r in queries.REGISTRY["op7_line_dedup"](spark, str(tmp_path)).collect()}
+    assert got == {0: [], 1: [0], 2: [], 3: [0], 4: [], 5: [0]}
+
+
 def test_rows_of_one_id_are_told_apart(spark):
     shared = "a line of more than five words"
     for id_ in (None, 7):
