@@ -218,14 +218,14 @@ def line_dedup(
 def drop_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
     """``docs`` with the texts' repeated lines taken out, short ones too, all columns kept.
 
-    A row goes where that leaves no line of ``WORDS`` words, though it had some.
+    A row goes where that leaves no line with words.
     """
     gone = _by_document(repeated_lines(docs, id_col, text_col, percent))
     rows = docs.join(gone, (_id(id_col) == gone["_id"]) & (_row(text_col) == gone["_row"]), "left")
     # Numbered from 0: a line stays if its number is not among the removed.
     kept = F.filter(F.split(text_col, "\n"), lambda _, i: ~F.array_contains("removed", i))
     rows = rows.withColumn("_kept", F.when(F.col("removed").isNotNull(), kept))
-    full = F.exists("_kept", lambda line: F.size(F.array_remove(F.split(line, " "), "")) >= WORDS)
+    full = F.exists("_kept", lambda line: line.rlike(OTHER))
     text = F.when(F.col("removed").isNull(), F.col(text_col)).otherwise(F.array_join("_kept", "\n"))
     rows = rows.filter(F.col("removed").isNull() | full)
     return rows.select(*[(text if name == text_col else docs[name]).alias(name) for name in docs.columns])

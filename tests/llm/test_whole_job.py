@@ -28,6 +28,13 @@ def test_copies_of_short_lines_go(spark, tmp_path):
     assert got == {0: [], 1: [0], 2: [], 3: [0], 4: [], 5: [0]}
 
 
+def test_a_row_stays_with_its_short_lines(spark):
+    shared = "one long licence line that all pages share"
+    rows = [(1, shared), (2, shared + "\nunique verse"), (3, "\n" + shared + "\n ")]
+    left = drop_repeated_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {(r.doc_id, r.text) for r in left} == {(1, shared), (2, "unique verse")}
+
+
 def test_rows_of_one_id_are_told_apart(spark):
     shared = "a line of more than five words"
     for id_ in (None, 7):
