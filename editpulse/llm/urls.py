@@ -125,12 +125,24 @@ def _with_blocked(rows: DataFrame) -> DataFrame:
     return rows
 
 
+def _sample(rows: DataFrame, drawn: DataFrame, known: dict[float, int]) -> DataFrame:
+    """A row for each URL that is trained on, ``TRAINING_URLS`` at most, with ``weight``."""
+    parts = []
+    for label, n in known.items():
+        take = min(n, max(TRAINING_URLS // 2, TRAINING_URLS - known[1.0 - label]))
+        part = drawn.filter(F.col("label") == label).orderBy("draw").limit(take)
+        parts.append(part.withColumn("weight", F.col("weight") * (n / take)))
+    return rows.join(F.broadcast(parts[0].unionByName(parts[1])), ["label", "draw"]).dropDuplicates(["label", "draw"])
+
+
 def judge_urls(pages: DataFrame, rules: tuple[Rule, ...], id_col: str = "page_id", url_col: str = "url") -> DataFrame:
     """``id_col``, ``host``, ``path``, ``rule`` and ``verdict`` of every URL.
 
     The longest rule that fits decides; ties go to the greater text. Other URLs
-    go by trees that were trained on at most ``TRAINING_URLS`` of the URLs that a
-    rule decides, in order of a hash; suffixes and parts are counted over all of them.
+    go by trees that were trained on at most ``TRAINING_URLS`` of the distinct URLs
+    that a rule decides: half of them of each verdict, more where the other has
+    fewer, in order of a hash, weighed by their copies and by how many of a verdict
+    each stands for; suffixes and parts are counted over all of them.
     Where rules decide nothing, or all the same, there is nothing to learn and
     other URLs get that verdict, or "allow".
 
@@ -146,15 +158,17 @@ def judge_urls(pages: DataFrame, rules: tuple[Rule, ...], id_col: str = "page_id
     rows = rows.withColumn("label", F.when(F.col("decided") == "block", 1.0).when(F.col("decided") == "allow", 0.0))
     rows = rows.drop("tail")
 
+    draw = F.xxhash64("url").alias("draw")
+    drawn = rows.filter(F.col("label").isNotNull()).groupBy("label", draw).agg(F.count("*").cast("double").alias("weight"))
+    drawn = exchange.stored(drawn, "url-draws")
+    known = dict(drawn.groupBy("label").count().collect())
     rows = _with_blocked(rows)
-    sample = rows.filter(F.col("label").isNotNull()).select("label", *FEATURES, F.xxhash64("url").alias("draw"))
-    sample = exchange.stored(sample.orderBy("draw", "label").limit(TRAINING_URLS), "url-sample")
-    kinds = [row[0] for row in sample.groupBy("label").count().orderBy("label").select("label").collect()]
-    if len(kinds) < 2:
-        guess = F.lit("block" if kinds == [1.0] else "allow")
+    if len(known) < 2:
+        guess = F.lit("block" if 1.0 in known else "allow")
     else:
+        sample = exchange.stored(_sample(rows.select("label", draw, *FEATURES), drawn, known), "url-sample")
         vector = VectorAssembler(inputCols=list(FEATURES), outputCol="features")
-        learner = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, seed=SEED)
+        learner = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, seed=SEED, weightCol="weight")
         model = learner.fit(vector.transform(sample.orderBy("draw", "label").coalesce(1)))
         rows = model.transform(vector.transform(rows))
         guess = F.when(F.col("prediction") == 1.0, "block").otherwise("allow")

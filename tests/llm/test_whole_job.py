@@ -4,7 +4,7 @@ import zlib
 
 from pyspark.sql import functions as F
 
-from editpulse.llm import queries, toxicity as tox
+from editpulse.llm import queries, toxicity as tox, urls
 from editpulse.llm.jaccard import drop_near_copies
 from editpulse.llm.lines import drop_repeated_lines
 
@@ -51,3 +51,16 @@ def test_near_copies_keep_other_texts_of_an_id(spark):
     rows = [(7, texts[0]), (7, texts[1]), (7, texts[1]), (8, texts[2]), (9, texts[0]), (9, texts[1])]
     left = drop_near_copies(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert sorted(r.text for r in left) == sorted(texts)
+
+
+def test_copies_of_a_url_do_not_fill_the_sample(spark, monkeypatch):
+    monkeypatch.setattr(urls, "TRAINING_URLS", 40)
+    blocked = spark.range(50).select(F.concat(F.lit("http://a.com/de/"), F.col("id")).alias("url"))
+    hot = blocked.orderBy(F.xxhash64("url")).first().url  # drawn before most others
+    allowed = [f"http://a.com/fr/{'long-path-' * 5}{i}" for i in range(50)]
+    late = [r.url for r in spark.createDataFrame([(u,) for u in allowed], "url string").orderBy(F.xxhash64("url").desc()).collect()]
+    rows = [hot] * 200 + late[:20] + [f"http://b.net/fr/{'long-path-' * 5}x", "http://b.net/de/7"]
+    frame = spark.createDataFrame(list(enumerate(rows)), "page_id long, url string")
+    rules = (urls.Rule("allow", "com", "/fr/"), urls.Rule("block", "com", "/de/"))
+    got = {r.page_id: r.verdict for r in urls.judge_urls(frame, rules).collect()}
+    assert (got[220], got[221]) == ("allow", "block")
