@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from editpulse.llm.licenses import TEMPLATES
+
 ORACLES: dict[str, str] = {}
 
 _MIX_WORDS = r"len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))"
@@ -61,3 +63,111 @@ SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, v
 FROM scores
 QUALIFY rank <= 5
 """
+
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+# crc32 of the bytes of a string, by steps of one byte over a table made here.
+_CRC = """
+crc_table AS (
+  SELECT list_transform(range(256), lambda i: list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0],
+           lambda c, x: xor(c >> 1, 3988292384 * (c & 1)))) AS crc_step
+)"""
+
+
+def _crc32(text: str) -> str:
+    pairs = f"regexp_extract_all(hex(encode({text})), '..')"
+    steps = f"list_reduce(list_prepend(4294967295, list_transform({pairs}, lambda b: ('0x' || b)::BIGINT)), lambda c, b: xor(crc_step[(xor(c, b) & 255) + 1], c >> 8))"
+    return f"xor({steps}, 4294967295)"
+
+
+ORACLES["op11_spelling_variants"] = f"""
+WITH {_CRC}, runs AS (
+  SELECT doc_id, translate(unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-z\\x{{C0}}-\\x{{FF}}]+')), '{_UPPER}', '{_LOWER}') AS run
+  FROM documents
+), sums AS (
+  SELECT run, {_crc32("concat(doc_id::VARCHAR, ':', run)")} AS h FROM runs, crc_table
+), results AS (
+  SELECT CASE WHEN h % 199 = 0 THEN run[:(h % length(run))] || run[(h % length(run)) + 2:] ELSE run END AS word FROM sums
+), words AS (
+  SELECT word, count(*)::BIGINT AS n FROM results WHERE length(word) >= 6 GROUP BY word HAVING count(*) >= 5
+), cut AS (
+  SELECT DISTINCT word, n, i, word[:i - 1] AS head, word[i + 1:] AS tail FROM (SELECT *, unnest(range(1, length(word) + 1)) AS i FROM words)
+), near AS (
+  SELECT a.word, b.word AS other, b.n AS other_n FROM cut a JOIN cut b ON a.head = b.head AND a.tail = b.tail AND a.word <> b.word
+  UNION SELECT c.word, w.word, w.n FROM cut c JOIN words w ON w.word = c.head || c.tail
+  UNION SELECT w.word, c.word, c.n FROM cut c JOIN words w ON w.word = c.head || c.tail
+), best AS (
+  SELECT word, count(*)::BIGINT AS n_near, first(other ORDER BY other_n DESC, other) AS best, max(other_n) AS best_n FROM near GROUP BY word
+), forms AS (
+  SELECT w.word, w.n, coalesce(n_near, 0)::BIGINT AS n_near,
+         CASE WHEN best_n >= 5 * w.n THEN best END AS form, CASE WHEN best_n >= 5 * w.n THEN best_n END AS form_n
+  FROM words w LEFT JOIN best b ON w.word = b.word
+)
+SELECT f.word, f.form, r.root, f.n, f.n_near, f.form_n
+FROM forms f JOIN (
+  WITH RECURSIVE chain(word, root, form) AS (
+    SELECT word, word, form FROM forms
+    UNION ALL SELECT c.word, f.word, f.form FROM chain c JOIN forms f ON c.form = f.word
+  ) SELECT word, root FROM chain WHERE form IS NULL
+) r ON f.word = r.word
+"""
+
+ORACLES["op12_conversation_trie"] = f"""
+WITH {_CRC}, own AS (
+  SELECT conv_id, list([coalesce(role, ''), coalesce(text, '')] ORDER BY turn NULLS FIRST, md5(strlen(coalesce(role, ''))::VARCHAR || ':' || coalesce(role, '') || coalesce(text, ''))) AS turns
+  FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id
+), shared AS (
+  SELECT o.*, ({_crc32("conv_id::VARCHAR")} % 9)::INT AS h FROM own o, crc_table
+), whole AS (
+  SELECT a.conv_id, list_concat(coalesce(b.turns, [])[:a.h], a.turns[a.h + 1:]) AS turns
+  FROM shared a LEFT JOIN own b ON b.conv_id = a.conv_id - a.conv_id % 5
+), depths AS (
+  SELECT conv_id, unnest(range(0, len(turns) + 1)) AS depth, turns FROM whole
+), nodes AS (
+  SELECT depth, turns[:depth] AS prefix, min(conv_id) AS conv_id, count(*) AS n_convs,
+         coalesce(string_agg(CASE WHEN len(turns) = depth THEN conv_id::VARCHAR END, ',' ORDER BY conv_id), '') AS ends
+  FROM depths GROUP BY ALL
+), known AS (
+  SELECT n.*, CASE WHEN depth > 0 THEN (n_convs - 1) * strlen(prefix[depth][2]) ELSE 0 END AS saved,
+         (SELECT count(*) FROM nodes c WHERE c.depth = n.depth + 1 AND c.prefix[:n.depth] = n.prefix) AS n_children
+  FROM nodes n
+), sums AS (
+  SELECT a.depth, a.prefix, sum(b.saved)::BIGINT AS saved_tokens, sum((b.n_children = 0)::INT)::BIGINT AS n_leaves
+  FROM known a JOIN known b ON b.depth >= a.depth AND b.prefix[:a.depth] = a.prefix GROUP BY ALL
+)
+SELECT k.conv_id, k.depth::BIGINT AS depth, p.conv_id AS parent_conv_id, k.n_convs, k.n_children, s.n_leaves, s.saved_tokens, sha256(k.ends) AS ends_sha256
+FROM known k JOIN sums s ON s.depth = k.depth AND s.prefix = k.prefix
+LEFT JOIN nodes p ON p.depth = k.depth - 1 AND p.prefix = k.prefix[:k.depth - 1]
+"""
+
+_PASSAGE_WORDS = ", ".join(
+    f"({number}, '{label}', {base}, '{word}', {place}, {key})"
+    for number, template in enumerate(TEMPLATES)
+    for _, label, base, word, place, key in template.rows(number)
+)
+
+ORACLES["op13_license_scan"] = f"""
+WITH template_words(template, label, base, word, nth, key) AS (VALUES {_PASSAGE_WORDS}),
+rows AS (
+  SELECT row_number() OVER () AS row, doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS words
+  FROM documents
+), places AS (
+  SELECT row, unnest(range(0, len(words))) AS place, unnest(words) AS word FROM rows
+), hits AS (
+  SELECT row, template, place - nth AS start, count(*) AS matched, sum(key::INT) AS key_matched
+  FROM places JOIN template_words USING (word) GROUP BY ALL
+), lengths AS (
+  SELECT template, any_value(label) AS label, any_value(base) AS base, count(*) AS length, sum(key::INT) AS key_length
+  FROM template_words GROUP BY template
+), passages AS (
+  SELECT row, label, base, start, matched / length AS score FROM hits JOIN lengths USING (template) WHERE key_matched = key_length
+), by_row AS (
+  SELECT row, count(*) FILTER (base) AS n_base, min(start) FILTER (base) AS first_word, max(start) FILTER (base) AS last_word,
+         string_agg(DISTINCT label, ',' ORDER BY label) FILTER (base) AS base_labels,
+         string_agg(DISTINCT label, ',' ORDER BY label) AS labels, max(score) AS score
+  FROM passages GROUP BY row
+)
+SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n_base, 0)::BIGINT AS n_base, first_word::BIGINT AS first_word, last_word::BIGINT AS last_word,
+       coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, coalesce(score, 0)::DOUBLE AS score
+FROM rows LEFT JOIN by_row USING (row)
+"""

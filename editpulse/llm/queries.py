@@ -11,9 +11,12 @@ from pyspark.sql import functions as F
 
 from editpulse.llm.decontaminate import contamination
 from editpulse.llm.jaccard import jaccard_join
+from editpulse.llm.licenses import license_scan
 from editpulse.llm.lines import line_dedup
 from editpulse.llm.mixing import mix
+from editpulse.llm.prefixes import conversation_trie
 from editpulse.llm.quality import quality
+from editpulse.llm.spelling import spelling_variants
 from editpulse.llm.substrings import substring_dedup
 from editpulse.llm.suffixes import suffix_dedup
 from editpulse.llm.topk import exact_top_k
@@ -120,3 +123,18 @@ def op3_exact_top_k(spark, sf_dir):
 @query
 def op2_quality(spark, sf_dir):
     return quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op11_spelling_variants(spark, sf_dir):
+    return spelling_variants(table(spark, sf_dir, "documents"))
+
+
+@query
+def op12_conversation_trie(spark, sf_dir):
+    return conversation_trie(table(spark, sf_dir, "conversations"))
+
+
+@query
+def op13_license_scan(spark, sf_dir):
+    return license_scan(table(spark, sf_dir, "documents"))
