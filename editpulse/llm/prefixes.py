@@ -110,33 +110,37 @@ def _at(prefix: DataFrame, names: dict[str, str]) -> DataFrame:
 
 
 def _search(pending: DataFrame, nodes: DataFrame, prefix: DataFrame, levels: int) -> DataFrame:
-    """``pending`` with ``v``, the deepest node whose handle is a prefix, null if it is where the search began."""
+    """``pending`` with ``v``, the deepest node whose handle is a prefix, null if it is where the search began.
+
+    One stored step for each power of two. The power is a column, not a constant:
+    so all steps run the same compiled code.
+    """
     edge = F.struct("ext_len", "ext_key", "par_len", "par_key", "rep")
-    rows = pending.withColumn("low", F.col("lo")).withColumn("high", F.col("len"))
-    rows = rows.withColumn("v", F.lit(None).cast("struct<ext_len:long,ext_key:binary,par_len:long,par_key:binary,rep:long>"))
+    none = F.lit(None).cast("struct<ext_len:long,ext_key:binary,par_len:long,par_key:binary,rep:long>")
+    rows = pending.select("*", F.col("lo").alias("low"), F.col("len").alias("high"), none.alias("v"), F.lit(1 << max(0, levels)).cast("long").alias("step"))
     for k in range(levels, -1, -1):
-        step = 1 << k
-        fat = (F.col("high") / step).cast("long") * step
-        rows = rows.withColumn("f", F.when(fat > F.col("low"), fat))
-        at_level = _at(prefix.filter(F.col("d") % step == 0), {"sid": "sid", "d": "f", "key": "f_key"})
-        handles = nodes.filter(F.col("handle_len") % step == 0).select(
-            F.col("handle_len").alias("f"), F.col("handle_key").alias("f_key"), edge.alias("hit")
-        )
-        rows = rows.join(at_level, ["sid", "f"], "left").join(handles, ["f", "f_key"], "left")
+        fat = F.col("high") - F.col("high") % F.col("step")
+        asked = rows.withColumn("f", fat).filter("f > low")
+        at_level = _at(prefix.filter(F.col("d") % (1 << k) == 0), {"sid": "sid", "d": "f", "key": "f_key"})
+        handles = nodes.select(F.col("handle_len").alias("f"), F.col("handle_key").alias("f_key"), edge.alias("hit"))
+        asked = asked.join(at_level, ["sid", "f"]).join(handles, ["f", "f_key"], "left")
         found = F.col("hit").isNotNull()
-        rows = rows.select(
+        asked = asked.select(
             "sid", "len", "key", "lo", "lo_key",
             F.when(found, F.col("hit.ext_len")).otherwise(F.col("low")).alias("low"),
-            F.when(F.col("f").isNotNull() & ~found, F.col("f") - 1).otherwise(F.col("high")).alias("high"),
-            F.coalesce("hit", "v").alias("v"),
+            F.when(found, F.col("high")).otherwise(F.col("f") - 1).alias("high"),
+            F.coalesce("hit", "v").alias("v"), "step",
         )
-    return rows.drop("low", "high")
+        rows = asked.unionByName(rows.filter(fat <= F.col("low")))
+        rows = exchange.stored(rows.withColumn("step", F.col("step").cast("long") / 2), "trie-search")
+        rows = rows.withColumn("step", F.col("step").cast("long"))
+    return rows.drop("low", "high", "step")
 
 
 def locate(pending: DataFrame, nodes: DataFrame, prefix: DataFrame, levels: int) -> DataFrame:
     """``pending`` with ``edge``, in which a conversation leaves the trie (null: at a node), and ``m``, ``m_key``, where."""
     rows = _search(pending, nodes, prefix, levels)
-    rows = rows.withColumn("at_len", F.col("v.ext_len"))
+    rows = rows.withColumn("at_len", F.coalesce("v.ext_len", "lo"))
     rows = rows.join(_at(prefix, {"sid": "sid", "d": "at_len", "key": "at_key"}), ["sid", "at_len"], "left")
     passed = F.col("v").isNull() | F.coalesce(F.col("at_key") == F.col("v.ext_key"), F.lit(False))
     rows = rows.withColumn("passed", passed).withColumn("at", F.when(passed, F.coalesce("v.ext_len", "lo")))
@@ -150,7 +154,7 @@ def locate(pending: DataFrame, nodes: DataFrame, prefix: DataFrame, levels: int)
     )
     rows = rows.join(children, ["next", "next_key"], "left")
     rows = rows.withColumn("edge", F.when(F.col("passed"), F.col("child")).otherwise(F.col("v")))
-    rows = rows.select("sid", "len", "key", "edge", "at", "at_key")
+    rows = exchange.stored(rows.select("sid", "len", "key", "edge", "at", "at_key"), "trie-edges")
     # In an edge: how far the turns of the edge's conversation are the same.
     inside = rows.filter(F.col("edge").isNotNull()).join(prefix.select("sid", "d", F.col("key").alias("d_key")), "sid")
     inside = inside.filter((F.col("d") > F.col("edge.par_len")) & (F.col("d") <= F.col("edge.ext_len")))
@@ -211,9 +215,10 @@ def build(strings: DataFrame, prefix: DataFrame) -> DataFrame:
     nodes = spark.createDataFrame(top, "ext_len long, ext_key binary, par_len long, par_key binary, rep long, first_key binary, handle_len long, handle_key binary")
     nodes = exchange.stored(nodes, "trie-nodes")
     pending = strings.filter("len > 0").select("sid", "len", "key", F.lit(0).cast("long").alias("lo"), F.lit(ROOT).alias("lo_key"))
-    levels = int(math.log2(max(1, longest)))
+    levels = -1  # the root alone has no handle to look for
     while not pending.isEmpty():
         exits = exchange.stored(locate(pending, nodes, prefix, levels), "trie-exits")
+        levels = int(math.log2(max(1, longest)))
         grown, waiting = insert(exits, nodes, prefix)
         nodes, pending = exchange.stored(grown, "trie-nodes"), exchange.stored(waiting, "trie-pending")
     return nodes
