@@ -43,6 +43,10 @@ class Settings:
     # there are shuffle tasks; on a wide cluster that many files are too small.
     silver_files: int | None = None
 
+    # Buckets of the index that knows the day of every id; a look-up opens those
+    # of the ids it is asked for. A few million ids to a bucket are a good size.
+    index_buckets: int = 64
+
     # Age from which files that no log knows may be deleted; a running batch
     # may have written files that are not committed yet.
     orphan_hours: int = 24

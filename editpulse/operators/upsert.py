@@ -8,8 +8,12 @@ from datetime import date
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from editpulse.operators.id_index import IdIndex
 from editpulse.sources.lake import drop_partition, path_exists, read_table, write_days
 
+# Runs of an id index from which they are merged.
+MERGE_RUNS = 16
+
 
 def matched(source: DataFrame, target: DataFrame, key: str = "event_id") -> DataFrame:
     """Source rows that replace a target row."""
@@ -41,7 +45,8 @@ def merge_into(source: DataFrame, table: str, key: str = "event_id") -> None:
     merge_rows.whenMatched().updateAll().whenNotMatched().insertAll().merge()
 
 
-def _in_days(date_col: str, days: list) -> Column:
+def in_days(date_col: str, days: list) -> Column:
+    """Whether a row is of one of ``days``, of which one may be null."""
     known = [day for day in days if day is not None]
     match = F.col(date_col).isin(known)
     return match | F.col(date_col).isNull() if len(known) < len(days) else match
@@ -61,13 +66,41 @@ class UpsertReport:
 
 
 def touched_days(
-    source: DataFrame, target: DataFrame | None, key: str = "event_id", date_col: str = "event_date"
+    source: DataFrame,
+    target: DataFrame | None,
+    key: str = "event_id",
+    date_col: str = "event_date",
+    index: IdIndex | None = None,
 ) -> list[date | None]:
-    """Days that hold source rows, or target rows that these replace."""
+    """Days that hold source rows, or target rows that these replace.
+
+    With an ``index`` the old days come from the buckets of the source's ids, and
+    the target is not read; a day that an id has left since may be among them.
+    Without one, two columns of the whole target are.
+    """
     days = set(_days_of(source, date_col))
-    if target is not None:
-        days |= set(_days_of(target.join(source.select(key), key, "left_semi"), date_col))
-    return list(days)
+    if target is None:
+        return list(days)
+    if index is not None:
+        _build_index(target, key, date_col, index)
+        return list(days | set(_days_of(index.find(source, key), "day")))
+    return list(days | set(_days_of(target.join(source.select(key), key, "left_semi"), date_col)))
+
+
+def _build_index(target: DataFrame, key: str, date_col: str, index: IdIndex) -> None:
+    """The one look-through, for a table that was there before its index."""
+    if not index.exists(target.sparkSession):
+        index.append(target, key, date_col)
+
+
+def record_days(source: DataFrame, key: str, date_col: str, index: IdIndex) -> None:
+    """Note the days of ``source`` before it is written.
+
+    A run that breaks off in between leaves days in the index where no row came:
+    they are looked at once more than needed. The other way round, rows would
+    stand where the index does not know of them.
+    """
+    index.append(source, key, date_col)
 
 
 def upsert_days(
@@ -76,23 +109,27 @@ def upsert_days(
     key: str = "event_id",
     date_col: str = "event_date",
     touched: list[date | None] | None = None,
+    index: IdIndex | None = None,
 ) -> UpsertReport:
     """Merge ``source`` into the table at ``path``.
 
     Only the days that hold source rows, or target rows the source replaces
     (an edit may move to another day), are read in full and rewritten; give
-    them as ``touched`` where they are known. Pass a stored source: it is read
-    more than once. Each day is replaced as a whole; the days are not replaced
-    together.
+    them as ``touched`` where they are known. With an ``index`` of the table's
+    ids, which is kept up to date, no other day is looked at. Pass a stored
+    source: it is read more than once. Each day is replaced as a whole; the days
+    are not replaced together.
     """
     spark = source.sparkSession
     target = read_table(spark, path, source.schema) if path_exists(spark, path) else None
-    touched = touched_days(source, target, key, date_col) if touched is None else touched
+    touched = touched_days(source, target, key, date_col, index) if touched is None else touched
+    if index is not None:
+        record_days(source, key, date_col, index)
     if target is None:
         write_days(source, path, date_col)
         return UpsertReport(tuple(touched))
 
-    result = merge(target.filter(_in_days(date_col, touched)), source, key)
+    result = merge(target.filter(in_days(date_col, touched)), source, key)
 
     # A day that lost its last row would keep its files: overwriting only
     # replaces days that get rows.
@@ -101,4 +138,6 @@ def upsert_days(
     write_days(result, path, date_col)
     for day in emptied:
         drop_partition(spark, path, date_col, day)
+    if index is not None and len(index.runs(spark)) > MERGE_RUNS:
+        index.merge(spark)
     return UpsertReport(tuple(touched), emptied)

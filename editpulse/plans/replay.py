@@ -13,7 +13,8 @@ from editpulse.config import Settings
 from editpulse.functions.clock import Instant, hours, instant, newest, since
 from editpulse.operators import gold, silver
 from editpulse.operators.dedup import latest_per_key
-from editpulse.operators.upsert import merge_into, touched_days, upsert_days
+from editpulse.operators.id_index import IdIndex
+from editpulse.operators.upsert import in_days, merge_into, record_days, touched_days, upsert_days
 from editpulse.sources.lake import (
     Lake,
     delete_path,
@@ -27,6 +28,7 @@ from editpulse.sources.lake import (
 )
 
 _DAYS = "day date"
+_WINDOWS = "minutes int, window_start timestamp, day date"
 
 
 def recent_bronze(
@@ -100,6 +102,10 @@ class _Entry:
     def days(self) -> str:
         return f"{self.path}/days"
 
+    @property
+    def windows(self) -> str:
+        return f"{self.path}/windows"
+
 
 def stage(
     spark: SparkSession, lake: Lake, clock: Column, settings: Settings, shape: str = "struct"
@@ -118,48 +124,96 @@ def stage(
     return entry
 
 
-def upsert_staged(spark: SparkSession, lake: Lake, entry: _Entry) -> None:
-    """Bring the serving table up to date; the days it touches are stored first.
+def id_index(lake: Lake, settings: Settings) -> IdIndex:
+    return IdIndex(lake.index("silver_serving"), settings.index_buckets)
+
 
-    A run that breaks off after this leaves its days behind, and the next run
-    takes them over: by then the table no longer tells where an edit was before.
+def touched_windows(source: DataFrame, old: DataFrame | None, widths: list[int]) -> DataFrame:
+    """(minutes, window_start, day) of the windows that a changed edit is in, or was in before.
+
+    ``old`` holds the rows that may be replaced. An edit that is the same in all
+    but its delay changes no window.
+    """
+    columns = [name for name in source.columns if name not in ("event_id", "processing_delay_seconds")]
+    new = source.select("event_id", F.col("event_time").alias("new_time"), F.struct(*columns).alias("new"))
+    if old is None:
+        times = new.select(F.array("new_time").alias("times"))
+    else:
+        before = old.select("event_id", F.col("event_time").alias("old_time"), F.struct(*columns).alias("old"))
+        both = new.join(before, "event_id", "left").filter(~F.col("new").eqNullSafe(F.col("old")))
+        times = both.select(F.array("new_time", "old_time").alias("times"))
+    moments = times.select(F.explode("times").alias("time")).filter(F.col("time").isNotNull())
+    starts = [
+        moments.select(F.lit(width).alias("minutes"), F.window("time", f"{width} minutes").getField("start").alias("window_start"))
+        for width in widths
+    ]
+    every = starts[0]
+    for more in starts[1:]:
+        every = every.union(more)
+    return every.distinct().withColumn("day", F.to_date("window_start"))
+
+
+def upsert_staged(spark: SparkSession, lake: Lake, entry: _Entry, settings: Settings = Settings()) -> None:
+    """Bring the serving table up to date; days and windows it touches are stored first.
+
+    A run that breaks off after this leaves them behind, and the next run takes
+    them over: by then the table no longer tells where an edit was before.
     """
     source, there = read_table(spark, entry.rows), layer_exists(spark, lake, "silver_serving")
-    touched = touched_days(source, read_layer(spark, lake, "silver_serving") if there else None)
+    serving, index = read_layer(spark, lake, "silver_serving") if there else None, id_index(lake, settings)
+    touched = touched_days(source, serving, index=index)
     spark.createDataFrame([(day,) for day in touched], _DAYS).write.parquet(entry.days)
+    old = serving.filter(in_days("event_date", touched)) if there else None
+    widths = sorted({settings.kpi_minutes, settings.replay_minutes})
+    touched_windows(source, old, widths).write.parquet(entry.windows)
     if lake.by_name:
+        record_days(source, "event_id", "event_date", index)
         merge_into(source, lake.name("silver_serving"))
     else:
-        upsert_days(source, lake.table("silver_serving"), touched=touched)
+        upsert_days(source, lake.table("silver_serving"), touched=touched, index=index)
 
 
-def _open_days(spark, lake: Lake) -> tuple[list[str], set]:
-    """Entries of runs that did not finish, and the days that they had touched."""
-    entries = [_Entry(path) for path in list_paths(spark, lake.staging(""))]
-    days = [e.days for e in entries if path_exists(spark, f"{e.days}/_SUCCESS")]
-    # One row per day and run.
-    left = {row.day for path in days for row in spark.read.schema(_DAYS).parquet(path).collect()}
-    return [e.path for e in entries], left
+def _open_windows(spark, lake: Lake) -> list[_Entry]:
+    """What runs that did not finish have left; those with windows had begun to write."""
+    return [_Entry(path) for path in list_paths(spark, lake.staging(""))]
 
 
-def _redo_gold(spark, lake: Lake, touched: set, settings: Settings) -> None:
-    """Both Gold tables of the touched days, each day whole.
+def _redo_gold(spark, lake: Lake, windows: DataFrame, settings: Settings) -> None:
+    """Both Gold tables, only the touched windows of them.
 
-    Windows never cross a day, so whole days are whole windows. A day that has
-    no edit left loses its windows.
+    Edits outside these windows are not aggregated: of the days that have one,
+    the rows are filtered by their window first. All other windows of such a day
+    are taken over as they are. A window that has no edit left goes.
     """
-    dated = [day for day in touched if day is not None]
-    redo = read_layer(spark, lake, "silver_serving").filter(F.col("event_date").isin(dated))
+    serving = read_layer(spark, lake, "silver_serving")
     tables = {
-        "gold_corrected": gold.window_kpis(redo, settings.kpi_minutes),
-        "gold_replay": gold.replay_kpis(redo, None, settings.replay_minutes),
+        "gold_corrected": (settings.kpi_minutes, lambda rows: gold.window_kpis(rows, settings.kpi_minutes)),
+        "gold_replay": (settings.replay_minutes, lambda rows: gold.replay_kpis(rows, None, settings.replay_minutes)),
     }
-    for table, windows in tables.items():
-        write_layer(with_day(windows, "window_start", "window_date"), lake, table)
-    there = {row[0] for row in redo.select("event_date").distinct().collect()}
-    for day in set(dated) - there:
-        for table in tables:
-            drop_day(spark, lake, table, day)
+    emptied = []
+    for table, (width, measure) in tables.items():
+        wanted = windows.filter(F.col("minutes") == width).select("window_start", "day").distinct()
+        # One value for each day.
+        days = [row.day for row in wanted.select("day").distinct().collect()]
+        rows = rows_in(serving, wanted, days, width)
+        redone = with_day(measure(rows), "window_start", "window_date")
+        there = {row.day for row in rows.select(F.to_date("event_time").alias("day")).distinct().collect()}
+        if layer_exists(spark, lake, table):
+            kept = read_layer(spark, lake, table).filter(F.col("window_date").isin(days))
+            kept = kept.join(wanted, "window_start", "left_anti")
+            there |= {row.window_date for row in kept.select("window_date").distinct().collect()}
+            redone = redone.unionByName(kept)
+        write_layer(redone, lake, table)
+        emptied += [(table, day) for day in sorted(set(days) - there)]
+    for table, day in emptied:
+        drop_day(spark, lake, table, day)
+
+
+def rows_in(serving: DataFrame, windows: DataFrame, days: list, minutes: int) -> DataFrame:
+    """Edits of the given windows, from their days alone; windows never cross a day."""
+    start = F.window("event_time", f"{minutes} minutes").getField("start")
+    rows = serving.filter(F.col("event_date").isin(days)).withColumn("window_start", start)
+    return rows.join(windows.select("window_start"), "window_start", "left_semi").drop("window_start")
 
 
 def run_replay(
@@ -177,18 +231,20 @@ def run_replay(
     step is made good by the next: its rows are still in reach of the lookback,
     which goes back to the last finished run, and its days are stored.
     """
-    left, touched = _open_days(spark, lake)
+    left = _open_windows(spark, lake)
     entry = stage(spark, lake, instant(now), settings, shape)
-    upsert_staged(spark, lake, entry)
-    touched |= {row.day for row in spark.read.schema(_DAYS).parquet(entry.days).collect()}
-    _redo_gold(spark, lake, touched, settings)
+    upsert_staged(spark, lake, entry, settings)
+    begun = [e for e in left if path_exists(spark, f"{e.windows}/_SUCCESS")] + [entry]
+    _redo_gold(spark, lake, spark.read.schema(_WINDOWS).parquet(*[e.windows for e in begun]), settings)
+    # One row for each day and run.
+    touched = {row.day for row in spark.read.schema(_DAYS).parquet(*[e.days for e in begun]).collect()}
 
     mark = spark.read.parquet(entry.mark).filter(F.col("replayed_to").isNotNull())
     mark.write.mode("append").parquet(lake.table("replay_log"))
     days = tuple(sorted(day for day in touched if day is not None))
     report = ReplayReport(days, read_table(spark, entry.rows).count())
-    for path in [entry.path, *left]:
-        delete_path(spark, path)
+    for done in [entry, *left]:
+        delete_path(spark, done.path)
     return report
 
 

@@ -61,6 +61,9 @@ class Lake:
     def checkpoint(self, query: str) -> str:
         return f"{self.root.rstrip('/')}/_checkpoints/{query}"
 
+    def index(self, table: str) -> str:
+        return f"{self.root.rstrip('/')}/_index/{table}"
+
     def staging(self, name: str) -> str:
         return f"{self.root.rstrip('/')}/_staging/{name}"
 
@@ -142,6 +145,14 @@ def move_into(spark: SparkSession, path: str, folder: str) -> None:
     fs.rename(hadoop_path, _path(spark, f"{folder}/{hadoop_path.getName()}")[0])
 
 
+def rename(spark: SparkSession, path: str, to: str) -> None:
+    """Put a file or a folder in another place, in one step on a file system that can."""
+    make_folder(spark, to.rsplit("/", 1)[0])
+    hadoop_path, fs = _path(spark, path)
+    if not fs.rename(hadoop_path, _path(spark, to)[0]):
+        raise OSError(f"could not rename {path} to {to}")
+
+
 def is_stream_log(spark: SparkSession, path: str) -> bool:
     return path_exists(spark, f"{path}/_spark_metadata")
 

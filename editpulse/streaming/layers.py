@@ -17,6 +17,7 @@ from editpulse.operators.dedup import dedup_stream
 from editpulse.sources.feed import envelopes
 from editpulse.sources.lake import LAYOUT, Lake, stored_schema
 from editpulse.sources.topic import as_topic_rows
+from editpulse.streaming import long
 
 ONCE = {"availableNow": True}
 
@@ -113,6 +114,33 @@ def start_silver(
     return append_to(rows, lake, "silver_log", trigger)
 
 
+def start_silver_long(
+    spark: SparkSession,
+    lake: Lake,
+    settings: Settings = Settings(),
+    trigger: dict | None = None,
+    now: Instant = None,
+    shape: str = "struct",
+) -> StreamingQuery:
+    """``bronze_log`` to ``silver_log`` with every id once for ever, and little state.
+
+    The state holds the ids of the horizon alone and stops most copies. What
+    comes through is held against an index of all ids in files, batch by batch.
+    """
+    if settings.dedup_horizon is None:
+        raise ValueError("the state in front of the index needs a horizon")
+    flat = silver.extract(
+        read_log(spark, lake, "bronze_log", settings), shape, carry=("ingestion_time", "partition", "offset")
+    )
+    near = dedup_stream(flat, "event_id", "ingestion_time", settings.dedup_horizon, settings.dedup_splits)
+    writer = (
+        near.writeStream.queryName("silver_log")
+        .option("checkpointLocation", lake.checkpoint("silver_log"))
+        .foreachBatch(lambda batch, number: long.append_new(batch, number, lake, settings, now))
+    )
+    return (writer.trigger(**trigger) if trigger else writer).start()
+
+
 def start_quarantine(
     spark: SparkSession,
     lake: Lake,

@@ -245,8 +245,10 @@ ORACLES: dict[str, str] = {
     "gold_replay_kpis": f"with {_SILVER} "
     + _reduced("silver", f"event_time >= {_NOW} - interval 24 hours"),
     "gold_replay_stored": f"with {_SILVER} " + _reduced("silver"),
-    "replay_after_break": f"with {_MOVED}, {_edits('moved')},{_SILVER_STEP}, "
-    f"{_gold('gold', 'silver')} select * from gold",
+    **{
+        name: f"with {_MOVED}, {_edits('moved')},{_SILVER_STEP}, {_gold('gold', 'silver')} select * from gold"
+        for name in ("replay_after_break", "gold_corrected_windows")
+    },
     "silver_feed_shape": f"""with {_SILVER}
         select event_id, event_time, page_title, user_id is not null as has_user, is_bot,
           bytes_diff, edit_size, user_type from silver""",
@@ -271,6 +273,7 @@ ORACLES: dict[str, str] = {
         where event_id not in (select event_id from held)""",
     "silver_upsert": _UPSERT,
     "silver_upsert_table": _UPSERT,
+    "upsert_indexed": _UPSERT,
     "gold_corrected": f"with {_SILVER}, {_CORRECTED} select * from corrected",
     "gold_served": f"""with {_LIVE}, {_CORRECTED}
         select {_LIVE_COLUMNS} from corrected
@@ -351,7 +354,7 @@ ORACLES: dict[str, str] = {
     **{
         name: f"""with {_SILVER}
         select {_SILVER_COLUMNS.replace('processing_delay_seconds, ', '')} from silver"""
-        for name in ("silver_stream", "silver_stream_horizon")
+        for name in ("silver_stream", "silver_stream_horizon", "silver_stream_long")
     },
     "gold_stream": f"with {_LIVE} select {_LIVE_COLUMNS}, {_NEAR} from live",
     "chain_available_now": f"with {_SILVER}, {_gold('gold', 'silver')} "

@@ -18,6 +18,7 @@ from editpulse.config import TABLE_RULES, Settings, TableRule
 from editpulse.functions.clock import hours, newest
 from editpulse.operators import bronze, gold, late, maintenance, silver, upsert
 from editpulse.operators.dedup import first_per_key
+from editpulse.operators.id_index import IdIndex
 from editpulse.plans import dashboards, replay
 from editpulse.plans.replay import latest_silver, recent_bronze, with_day
 from editpulse.schemas import SILVER
@@ -260,6 +261,17 @@ def silver_upsert_table(spark, events):
     return read_table(spark, path).select(*SILVER.fieldNames())
 
 
+@query
+def upsert_indexed(spark, events):
+    """The same through an index of ids: it is built once, then only the buckets asked for are read."""
+    scratch = scratch_dir(spark, "indexed")
+    path, staged = f"{scratch}/silver", f"{scratch}/staged"
+    write_days(with_day(_held_before(events), "event_time", "event_date"), path, "event_date")
+    with_day(_replayed(events), "event_time", "event_date").write.parquet(staged)
+    upsert.upsert_days(read_table(spark, staged), path, index=IdIndex(f"{scratch}/index"))
+    return read_table(spark, path).select(*SILVER.fieldNames())
+
+
 def _corrected(events: DataFrame) -> DataFrame:
     bound = last_event(events, Settings.lookback_hours)
     return replay.corrected_windows(testbed.silver_rows(events), bound)
@@ -297,6 +309,19 @@ def replay_after_break(spark, events):
     return read_layer(spark, lake, "gold_corrected").drop("window_date")
 
 
+@query
+def gold_corrected_windows(spark, events):
+    """Few edits are revised and some move to other days: only the windows they touch are done again."""
+    lake = Lake(scratch_dir(spark, "windows"))
+    _append_bronze(testbed.bronze_rows(events), lake)
+    replay.run_replay(spark, lake, _moment(last_event(events, -1)))
+    moved = events.filter("event_id % 25 = 0").withColumn("ts", F.col("ts") + hours(72))
+    delivered = testbed.bronze_rows(moved).withColumn("ingestion_time", F.col("ingestion_time") + hours(24 * 40))
+    _append_bronze(delivered, lake)
+    replay.run_replay(spark, lake, _moment(last_event(events, -24 * 45)))
+    return read_layer(spark, lake, "gold_corrected").drop("window_date")
+
+
 def _append_bronze(rows: DataFrame, lake: Lake) -> None:
     dated = with_day(rows, "ingestion_time", "ingestion_date")
     dated.write.mode("append").partitionBy("ingestion_date").parquet(lake.table("bronze_log"))
@@ -469,7 +494,7 @@ def bronze_ingest(spark, events):
     return read_layer(spark, lake, "bronze_log").drop("ingestion_time", "ingestion_date")
 
 
-def _live_silver(spark, events, settings: Settings) -> DataFrame:
+def _live_silver(spark, events, settings: Settings, start=layers.start_silver) -> DataFrame:
     """Silver of a log that Bronze appended in several runs, a few files at a time."""
     lake, session = Lake(scratch_dir(spark, "silver")), _stream_session(spark)
     topic, rows = f"{lake.root}/topic", testbed.topic_rows(events)
@@ -477,7 +502,7 @@ def _live_silver(spark, events, settings: Settings) -> DataFrame:
         in_part = F.pmod(F.xxhash64("offset"), F.lit(4)) == part
         publish(rows.filter(in_part).repartition(8), path=topic)
         layers.start_bronze(topic_stream(session, path=topic), lake, layers.ONCE).awaitTermination()
-    query = layers.start_silver(session, lake, settings, layers.ONCE)
+    query = start(session, lake, settings, layers.ONCE)
     query.awaitTermination()
     service.require_none_dropped(query)
     return read_layer(spark, lake, "silver_log").drop("processing_delay_seconds", "event_date")
@@ -495,6 +520,13 @@ def silver_stream_horizon(spark, events):
     return _live_silver(spark, events, few)
 
 
+@query
+def silver_stream_long(spark, events):
+    """Copies come in later runs than the first, beyond a horizon of a second."""
+    settings = replace(Settings(), max_files_per_trigger=8, dedup_horizon="1 second", dedup_splits=1, index_buckets=8)
+    return _live_silver(spark, events, settings, layers.start_silver_long)
+
+
 @query
 def quarantine_stream(spark, events):
     lake, session = Lake(scratch_dir(spark, "quarantine")), _stream_session(spark)
