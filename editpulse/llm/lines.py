@@ -6,9 +6,14 @@ ordered by rarity: what is counted are ``BUCKETS`` buckets of them, over all lin
 every task with the plan; tokens of frequent passages stand out from their
 bucket's share, and any fixed order gives the same result. Two sets
 that reach the threshold share a token among the first of both, within bounds
-on their sizes and on the token's places; such classes are joined by token, and
-the pairs that are left are verified on whole sets. A class that is linked with
-one of an earlier line goes, and all of a class goes but its first line.
+on their sizes and on the token's places. A class that is linked with one of an
+earlier line goes, and all of a class goes but its first line.
+
+One earlier match is enough for a class. So classes are first verified against
+two others of each token alone, the earliest and the one of most lines: that
+settles variants of a line that stands there too, however many they are. Only what is
+left is joined with all earlier classes of its tokens, under a bound on the
+shared tokens by the bits of both sets, and verified on whole sets.
 """
 
 from __future__ import annotations
@@ -41,9 +46,9 @@ def _row(text_col: str) -> Column:
 
 def lines_of(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(id, row, line, text) of every line; lines are numbered from 0, none in a null text."""
-    line = F.posexplode_outer(F.split(text_col, "\n")).alias("line", "text")
-    rows = docs.select(_id(id_col).alias("id"), _row(text_col).alias("row"), line)
-    return rows.filter(F.col("text").isNotNull())
+    # In two steps: in one, the whole text would stand beside each of its lines.
+    rows = docs.select(_id(id_col).alias("id"), _row(text_col).alias("row"), F.split(text_col, "\n").alias("parts"))
+    return rows.select("id", "row", F.posexplode("parts").alias("line", "text"))
 
 
 def _enough() -> Column:
@@ -126,55 +131,93 @@ def _classes(lines: DataFrame, ranks: list[int], percent: int) -> DataFrame:
     )
 
 
-def _candidates(classes: DataFrame, percent: int) -> DataFrame:
-    """Pairs of sets that token, sizes and places allow."""
-    place = F.posexplode("first_tokens").alias("place", "token")
-    posted = classes.select("set", "size", place)
-    # Size and place in one number: these rows are most of what is shuffled.
-    posted = posted.select("token", "set", (F.col("size").cast("long") * (1 << 31) + F.col("place")).alias("at"))
-    left, right = (posted.select(*[F.col(c).alias(f"{side}_{c}") for c in posted.columns]) for side in "ab")
-    size_a, size_b = (F.shiftright(f"{side}_at", 31) for side in "ab")
-    place_a, place_b = (F.col(f"{side}_at").bitwiseAND((1 << 31) - 1) for side in "ab")
-    # At the first token that both have, this is the most that can be shared.
-    most = F.least(size_a - place_a, size_b - place_b)
+def _posted(classes: DataFrame) -> DataFrame:
+    """The first tokens of every class, without those that no other class has.
+
+    With each token comes its earliest class and the one of most lines.
+    """
+    first = F.struct(*PLACE).alias("first")
+    posted = classes.select("set", "size", "n", first, F.posexplode("first_tokens").alias("place", "token"))
+    tokens = posted.groupBy("token").agg(
+        F.count(F.lit(1)).alias("classes"),
+        F.min(F.struct("first", "set", "size")).alias("earliest"),
+        F.max(F.struct("n", "set", "first", "size")).alias("largest"),
+    )
+    tokens = exchange.stored(tokens.filter("classes > 1").drop("classes"), "line-tokens")
+    return exchange.stored(posted.join(tokens, "token"), "line-posted")
+
+
+def _sizes_fit(a: Column, b: Column, percent: int) -> Column:
+    return F.least(a, b) * 100 >= F.greatest(a, b) * percent
+
+
+def _likely(posted: DataFrame, percent: int) -> DataFrame:
+    """Pairs of each class with the two that its tokens name: at most two for each first token."""
+    named = [F.struct(F.col(f"{who}.set").alias("set"), F.col(f"{who}.first").alias("first"), F.col(f"{who}.size").alias("size")) for who in ("earliest", "largest")]
+    rows = posted.select("set", "first", "size", F.explode(F.array(*named)).alias("a"))
+    rows = rows.filter((F.col("a.first") < F.col("first")) & _sizes_fit(F.col("a.size"), F.col("size"), percent))
+    return rows.select(F.col("a.set").alias("a_set"), F.col("set").alias("b_set")).distinct()
+
+
+def _bits(part: int) -> Column:
+    """64 of the 256 bits in which each token sets one."""
+    one = F.lit(1).cast("long")
+    bit = lambda t: F.call_function("shiftleft", one, t.bitwiseAND(63).cast("int"))
+    mine = lambda t: F.shiftright(t, 6).bitwiseAND(3) == part
+    return F.aggregate("tokens", F.lit(0).cast("long"), lambda got, t: F.when(mine(t), got.bitwiseOR(bit(t))).otherwise(got))
+
+
+def _candidates(posted: DataFrame, done: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs of a class that is not ``done`` and an earlier one that token, sizes, places and bits allow."""
+    bits = [f"bits{i}" for i in range(4)]
+    rows = posted.drop("earliest", "largest", "n").join(sets.select("set", *bits), "set")
+    a = rows.select(*[F.col(c).alias(f"a_{c}") for c in rows.columns])
+    b = rows.join(done, "set", "left_anti").select(*[F.col(c).alias(f"b_{c}") for c in rows.columns])
+    size_a, size_b = F.col("a_size"), F.col("b_size")
+    # At the first token that both have, this is the most that can be shared;
+    # and a bit that one set lacks is a token at least that it lacks.
+    most = F.least(size_a - F.col("a_place"), size_b - F.col("b_place"))
+    lacks = lambda one, other: sum(F.bit_count(F.col(f"{one}_{c}").bitwiseAND(F.bitwise_not(f"{other}_{c}"))) for c in bits)
+    most = F.least(most, size_a - lacks("a", "b"), size_b - lacks("b", "a"))
     fits = (
         (F.col("a_token") == F.col("b_token"))
-        & (F.col("a_set") < F.col("b_set"))
-        & (F.least(size_a, size_b) * 100 >= F.greatest(size_a, size_b) * percent)
+        & (F.col("a_first") < F.col("b_first"))
+        & _sizes_fit(size_a, size_b, percent)
         & (most * (100 + percent) >= (size_a + size_b) * percent)
     )
-    return left.join(right, fits).select("a_set", "b_set").distinct()
+    return a.join(b, fits).select("a_set", "b_set").distinct()
 
 
-def _verified(lines: DataFrame, classes: DataFrame, pairs: DataFrame, ranks: list[int], percent: int) -> DataFrame:
-    """The pairs whose whole sets reach the threshold, with the first line of each."""
-    where = classes.select("set", *PLACE)
-    for side in "ab":
-        pairs = pairs.join(where.select(*[F.col(c).alias(f"{side}_{c}") for c in where.columns]), f"{side}_set")
-    pairs = exchange.stored(pairs, "line-pairs")
-    ends = pairs.select(*[F.col(f"a_{c}").alias(c) for c in PLACE])
-    ends = ends.union(pairs.select(*[f"b_{c}" for c in PLACE])).distinct()
+def _sets(lines: DataFrame, classes: DataFrame, posted: DataFrame, ranks: list[int]) -> DataFrame:
+    """``set``, whole ``tokens`` and bits of the classes that share a first token with another."""
+    ends = classes.join(posted.select("set").distinct(), "set", "left_semi").select("set", *PLACE)
+    ends = exchange.stored(ends, "line-ends")
     # Rows up to this number are sent to the texts; more of them meet in a shuffle.
     rows = exchange.stored(ends.select("id", "row").distinct(), "line-documents")
     rows = F.broadcast(rows) if rows.count() <= SENT_IDS else rows
-    sets = lines.join(rows, ["id", "row"], "left_semi").join(ends, PLACE, "left_semi").dropDuplicates(PLACE)
-    sets = exchange.stored(_with_tokens(sets, ranks), "line-sets")
+    found = lines.join(rows, ["id", "row"], "left_semi").join(ends, PLACE).dropDuplicates(PLACE)
+    found = _with_tokens(found, ranks).select("set", "tokens")
+    return exchange.stored(found.select("*", *[_bits(i).alias(f"bits{i}") for i in range(4)]), "line-sets")
+
+
+def _matched(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """``set`` of the later classes of ``pairs`` whose whole sets reach the threshold."""
     for side in "ab":
-        named = sets.select(*[F.col(c).alias(f"{side}_{c}") for c in sets.columns])
-        pairs = pairs.join(named, [f"{side}_{c}" for c in PLACE])
+        pairs = pairs.join(sets.select(F.col("set").alias(f"{side}_set"), F.col("tokens").alias(f"{side}_tokens")), f"{side}_set")
     shared = F.size(F.array_intersect("a_tokens", "b_tokens"))
     union = F.size("a_tokens") + F.size("b_tokens") - shared
-    return pairs.filter(shared * 100 >= union * percent)
+    found = pairs.filter(shared * 100 >= union * percent).select(F.col("b_set").alias("set")).distinct()
+    return exchange.stored(found, "line-matched")
 
 
 def repeated_lines(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT, short: bool = True
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT
 ) -> DataFrame:
     """(id, row, line) of every line that an earlier one matches.
 
     Words stand between blanks and the control characters 9 to 13. Two lines
     match if the Jaccard of their sets is ``percent`` or more; one of fewer than
-    ``WORDS`` words matches those of the same words, without ``short`` nothing.
+    ``WORDS`` words matches those of the same words.
     A line without words matches nothing. Earlier is a smaller document id, null
     last, then a smaller ``row`` (a hash of the text, that tells rows of one id
     apart), then a smaller line number; matches are judged on the input, removed
@@ -182,15 +225,18 @@ def repeated_lines(
     """
     lines = lines_of(docs, id_col, text_col)
     ranks = _rarity(lines)
-    rows = _classes(lines, ranks, percent)
-    rows = exchange.stored(rows.unionByName(_short(lines)) if short else rows, "lines")
-    first = F.min(F.struct(*PLACE)).alias("first")
-    classes = rows.groupBy("set", "check").agg(first, F.first("size").alias("size"), F.first("first_tokens").alias("first_tokens"))
-    classes = exchange.stored(classes.select("set", "check", "first.*", "size", "first_tokens"), "line-classes")
-    linked = _verified(lines, classes, _candidates(classes, percent), ranks, percent)
-    a, b = (F.struct(*[f"{side}_{c}" for c in PLACE]) for side in "ab")
-    gone = linked.select(F.when(a < b, F.col("b_set")).when(a > b, F.col("a_set")).alias("set")).dropna().distinct()
-    gone = gone.withColumn("gone", F.lit(True))
+    rows = exchange.stored(_classes(lines, ranks, percent).unionByName(_short(lines)), "lines")
+    classes = rows.groupBy("set", "check").agg(
+        F.min(F.struct(*PLACE)).alias("first"),
+        F.count(F.lit(1)).alias("n"),
+        F.first("size").alias("size"),
+        F.first("first_tokens").alias("first_tokens"),
+    )
+    classes = exchange.stored(classes.select("set", "check", "first.*", "n", "size", "first_tokens"), "line-classes")
+    posted = _posted(classes)
+    sets = _sets(lines, classes, posted, ranks)
+    done = _matched(_likely(posted, percent), sets, percent)
+    gone = done.union(_matched(_candidates(posted, done, sets, percent), sets, percent)).withColumn("gone", F.lit(True))
     state = classes.select("set", "check", F.struct(*PLACE).alias("first")).join(gone, "set", "left")
     later = F.struct(*PLACE) > F.col("first")
     found = rows.select(*PLACE, "set", "check").join(state, ["set", "check"])
@@ -198,16 +244,15 @@ def repeated_lines(
 
 
 def line_dedup(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT, short: bool = False
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT
 ) -> DataFrame:
     """``id_col``, ``n_lines``, ``n_removed`` and ``removed`` (line numbers) of every row.
 
-    See ``repeated_lines`` for what goes; lines of fewer than ``WORDS`` words
-    only with ``short``. A null text has no lines, an empty one has one. A null
+    See ``repeated_lines`` for what goes. A null text has no lines, an empty one has one. A null
     id counts as the largest. Rows of one id are told apart by their texts.
     Other columns are ignored, an empty table gives an empty one.
     """
-    gone = _by_document(repeated_lines(docs, id_col, text_col, percent, short))
+    gone = _by_document(repeated_lines(docs, id_col, text_col, percent))
     n_lines = F.greatest(F.coalesce(F.size(F.split(text_col, "\n")), F.lit(0)), F.lit(0)).cast("long")
     rows = docs.select(F.col(id_col).alias("id"), n_lines.alias("n_lines"), _id(id_col).alias("_id"), _row(text_col).alias("_row"))
     rows = rows.join(gone, ["_id", "_row"], "left")
@@ -222,9 +267,10 @@ def drop_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     """
     gone = _by_document(repeated_lines(docs, id_col, text_col, percent))
     rows = docs.join(gone, (_id(id_col) == gone["_id"]) & (_row(text_col) == gone["_row"]), "left")
-    # Numbered from 0: a line stays if its number is not among the removed.
-    kept = F.filter(F.split(text_col, "\n"), lambda _, i: ~F.array_contains("removed", i))
-    rows = rows.withColumn("_kept", F.when(F.col("removed").isNotNull(), kept))
+    # Numbered from 0: the numbers that are not removed, then their lines.
+    rows = rows.withColumn("_lines", F.when(F.col("removed").isNotNull(), F.split(text_col, "\n")))
+    numbers = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), "removed")
+    rows = rows.withColumn("_kept", F.when(F.col("removed").isNotNull(), F.transform(numbers, lambda i: F.get("_lines", i))))
     full = F.exists("_kept", lambda line: line.rlike(OTHER))
     text = F.when(F.col("removed").isNull(), F.col(text_col)).otherwise(F.array_join("_kept", "\n"))
     rows = rows.filter(F.col("removed").isNull() | full)

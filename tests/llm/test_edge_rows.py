@@ -212,8 +212,9 @@ def test_decontaminated_texts_lose_their_spans(spark, docs):
 
 def line_sets(text):
     for line in [] if text is None else text.split("\n"):
-        unit = [w for w in line.split(" ") if w]
-        yield frozenset(tuple(unit[i : i + 5]) for i in range(len(unit) - 4))
+        unit = words(line)
+        runs = [tuple(unit[i : i + 5]) for i in range(len(unit) - 4)]
+        yield frozenset(runs if len(unit) >= 5 else [tuple(unit)] if unit else [])
 
 
 def test_lines(docs, plain):
