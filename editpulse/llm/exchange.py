@@ -79,6 +79,19 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(df: DataFrame) -> None:
+    """Delete what ``stored`` wrote, once nothing reads it any more.
+
+    The JVM is asked to clear up as well: shuffle files of finished steps go
+    with the objects that stand for them, and those are few and small.
+    """
+    spark = df.sparkSession
+    for folder in {file.rsplit("/", 1)[0] for file in df.inputFiles()}:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    spark._jvm.System.gc()
+
+
 def repeated_keys(shipped: DataFrame) -> DataFrame:
     """Keys that two blocks or more sent; ``shipped`` has shard, block and u32 keys."""
 

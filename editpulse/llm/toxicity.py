@@ -35,11 +35,12 @@ from editpulse.llm.text import U64
 
 ORDER = 7
 DISCOUNT = 0.75
-DOUBT = 10.0
+DOUBT = 100.0  # chosen by the log loss of fold 4 on sf0.1, among 1, 3, 10, 30 and 100
 VALUES = ("bytes", "words")
 CALIBRATION_ROWS = 20_000
+BLOCK_BYTES = 16 << 20  # of texts that meet their words' evidence in one task
+VOCABULARY_BYTES = 4 << 20
 RIDGE = 1e-3
-UNIT = float(1 << 32)  # evidence is summed in whole parts of it, the same in any order
 _WORD = U64(1 << 63)  # marks the number of a whole word, which is its hash
 _BEFORE, _AFTER = 1, 2  # stand for the edges of a word
 
@@ -78,35 +79,48 @@ def _grams(data: np.ndarray, first: np.ndarray, last: np.ndarray) -> tuple[np.nd
     return grams, word
 
 
-def _count(batches):
-    """Counts of n-grams by class, summed up over the task."""
-    held: list[tuple[np.ndarray, np.ndarray]] = []
-    size = 0
-    for batch in batches:
-        data, starts = tx.texts(batch.column("text"))
-        toxic = batch.column("toxic").to_numpy(zero_copy_only=False).astype(bool)
-        for a, b in tx.runs_of(starts):
-            part = data[starts[a] : starts[b]]
-            found, first, which = _distinct_words(part, starts[a : b + 1] - starts[a])
-            if not len(first):
-                continue
-            # A text counts each of its words once: one that repeats itself says no more.
-            doc, word = np.divmod(np.unique(found.doc * np.int64(len(first)) + which), len(first))
-            bad = toxic[a:b][doc]
-            times = np.stack([np.bincount(word[kind], minlength=len(first)) for kind in (bad, ~bad)])
-            grams, word = _grams(part, found.start[first], found.end[first])
-            keys = np.concatenate([grams, found.hash[first] | _WORD])
-            held.append(_summed(keys, np.concatenate([times[:, word], times], axis=1)))
-            size += len(held[-1][0])
-        if size > 1 << 21:
-            held = [_summed(np.concatenate([g for g, _ in held]), np.concatenate([c for _, c in held], axis=1))]
-            size = len(held[0][0])
-    if held:
-        grams, counts = _summed(np.concatenate([g for g, _ in held]), np.concatenate([c for _, c in held], axis=1))
-        for a in range(0, len(grams), 1 << 16):
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(x[a : a + (1 << 16)]) for x in (grams.astype(np.int64), *counts)], ["gram", "toxic", "plain"]
-            )
+def _shard_of(keys: np.ndarray, shards: int) -> np.ndarray:
+    """The shard of each number: n-grams of the same bytes before the last share one."""
+    mixed = tx.mix(np.where(keys & _WORD, keys, keys >> U64(8)))
+    return (((mixed >> U64(32)) * U64(shards)) >> U64(32)).astype(np.int32)
+
+
+def _count(shards: int):
+    """Counts of n-grams by class, summed up piece by piece; Spark sums the pieces."""
+
+    def count(batches):
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+        size = 0
+        for batch in batches:
+            data, starts = tx.texts(batch.column("text"))
+            toxic = batch.column("toxic").to_numpy(zero_copy_only=False).astype(bool)
+            for a, b in tx.runs_of(starts):
+                part = data[starts[a] : starts[b]]
+                found, first, which = _distinct_words(part, starts[a : b + 1] - starts[a])
+                if not len(first):
+                    continue
+                # A text counts each of its words once: one that repeats itself says no more.
+                doc, word = np.divmod(np.unique(found.doc * np.int64(len(first)) + which), len(first))
+                bad = toxic[a:b][doc]
+                times = np.stack([np.bincount(word[kind], minlength=len(first)) for kind in (bad, ~bad)])
+                grams, word = _grams(part, found.start[first], found.end[first])
+                keys = np.concatenate([grams, found.hash[first] | _WORD])
+                held.append(_summed(keys, np.concatenate([times[:, word], times], axis=1)))
+                size += len(held[-1][0])
+                if size > 1 << 21:
+                    yield from _counted(held, shards)
+                    held, size = [], 0
+        if held:
+            yield from _counted(held, shards)
+
+    return count
+
+
+def _counted(held: list, shards: int):
+    grams, counts = _summed(np.concatenate([g for g, _ in held]), np.concatenate([c for _, c in held], axis=1))
+    columns = [_shard_of(grams, shards), grams.astype(np.int64), *counts]
+    for a in range(0, len(grams), 1 << 16):
+        yield pa.RecordBatch.from_arrays([pa.array(x[a : a + (1 << 16)]) for x in columns], ["shard", "gram", "toxic", "plain"])
 
 
 def _summed(grams: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -114,28 +128,67 @@ def _summed(grams: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return keys, np.stack([np.bincount(which, weights=c, minlength=len(keys)).astype(np.int64) for c in counts])
 
 
-def _vocabulary(batches):
-    """Words of the texts in small letters, once for each run of texts."""
-    for batch in batches:
-        data, starts = tx.texts(batch.column("text"))
-        for a, b in tx.runs_of(starts):
-            part = data[starts[a] : starts[b]]
-            found, first, _ = _distinct_words(part, starts[a : b + 1] - starts[a])
-            lowered = tx.LOWER[part].tobytes()
-            kinds = [lowered[x:y] for x, y in zip(found.start[first].tolist(), found.end[first].tolist())]
-            yield pa.RecordBatch.from_arrays([pa.array(kinds, pa.binary())], ["word"])
+def _vocabulary(blocks: int):
+    """Words of the texts in small letters, once for each run of texts, by blocks of their hash."""
+
+    def collect(batches):
+        for batch in batches:
+            data, starts = tx.texts(batch.column("text"))
+            for a, b in tx.runs_of(starts, VOCABULARY_BYTES):
+                part = data[starts[a] : starts[b]]
+                found, first, _ = _distinct_words(part, starts[a : b + 1] - starts[a])
+                lowered = tx.LOWER[part].tobytes()
+                kinds = [lowered[x:y] for x, y in zip(found.start[first].tolist(), found.end[first].tolist())]
+                # The distinct words stand in order of their hash: a block's are a slice.
+                edges = exchange.shard_edges(found.hash[first], blocks)
+                used = np.flatnonzero(np.diff(edges))
+                packed = [b"\n".join(kinds[edges[x] : edges[x + 1]]) for x in used]
+                yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), pa.array(packed, pa.binary())], ["block", "words"])
+
+    return collect
+
+
+class _Block:
+    """Distinct words of a block and all numbers of which they need the evidence."""
+
+    def __init__(self, table: pa.Table, shards: int):
+        data = np.frombuffer(b"\n".join(table["words"].to_pylist()), np.uint8)
+        found = tx.words(data, np.array([0, len(data)]), tx.ALNUM, tx.LOWER_VALUES)
+        self.hash, first = np.unique(found.hash, return_index=True)
+        grams, self.word = _grams(data, found.start[first], found.end[first])
+        self.keys, which = np.unique(np.concatenate([grams, self.hash | _WORD]), return_inverse=True)
+        self.of_gram, self.of_word = which[: len(grams)], which[len(grams) :]
+        shard = _shard_of(self.keys, shards)
+        self.order = np.argsort(shard, kind="stable")
+        self.edges = np.searchsorted(shard[self.order], np.arange(shards + 1))
+
+
+def _ask(shards: int):
+    """A block's numbers, once each, one row for each shard."""
+
+    def ask(table: pa.Table) -> pa.Table:
+        block = _Block(table, shards)
+        keys, used = block.keys[block.order], np.flatnonzero(np.diff(block.edges))
+        rows = [keys[block.edges[s] : block.edges[s + 1]].tobytes() for s in used]
+        number = pa.array([table["block"][0].as_py()] * len(used), pa.int32())
+        return pa.table({"shard": pa.array(used.astype(np.int32)), "block": number, "keys": pa.array(rows, pa.binary())})
+
+    return ask
 
 
-def _contexts_of(batches):
-    """Hash of each word beside the last byte and the bytes before it of its n-grams."""
-    for batch in batches:
-        data, starts = tx.texts(batch.column("word"))
-        for a, b in tx.runs_of(starts, 1 << 17):
-            part, edges = data[starts[a] : starts[b]], starts[a : b + 1] - starts[a]
-            hashes = tx.words(part, edges, tx.ALNUM, tx.LOWER_VALUES).hash
-            grams, word = _grams(part, edges[:-1], edges[1:])
-            columns = (hashes[word], grams >> U64(8), grams & U64(0xFF))
-            yield pa.RecordBatch.from_arrays([pa.array(x.astype(np.int64)) for x in columns], ["word", "context", "byte"])
+def _valued(shards: int):
+    """Evidence of a block's words from what the shards say of their numbers."""
+
+    def value(table: pa.Table, answers: pa.Table) -> pa.Table:
+        block = _Block(table, shards)
+        by_key = np.zeros(len(block.keys))
+        told = [np.frombuffer(x, np.float32) for x in answers.sort_by("shard")["found"].to_pylist()]
+        by_key[block.order] = np.concatenate([np.zeros(0, np.float32), *told])
+        in_bytes = np.bincount(block.word, weights=by_key[block.of_gram], minlength=len(block.hash))
+        columns = (block.hash.astype(np.int64), in_bytes, by_key[block.of_word])
+        return pa.table(dict(zip(("word", *VALUES), map(pa.array, columns))))
+
+    return value
 
 
 def _all_words(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -170,7 +223,7 @@ def _answer(sent: pa.Table, values: pa.Table) -> pa.Table:
     order = np.argsort(word)
     all_ = np.stack([values[name].to_numpy()[order] for name in VALUES])
     wanted = [np.frombuffer(x, np.uint64) for x in sent["keys"].to_pylist()]
-    found = [all_[:, np.searchsorted(word[order], keys)].tobytes() for keys in wanted]
+    found = [all_[:, np.searchsorted(word[order], keys)].astype(np.float32).tobytes() for keys in wanted]
     return pa.table(
         {"block": sent["block"].cast(pa.int32()), "shard": sent["shard"].cast(pa.int32()), "found": pa.array(found, pa.binary())}
     )
@@ -181,7 +234,7 @@ def _evidence(table: pa.Table, answers: pa.Table) -> pa.Table:
     data, starts, keys = _all_words(table)
     packed = answers.sort_by("shard")["found"].to_pylist()  # shards are ranges of the hashes
     none = np.zeros((len(VALUES), 0))
-    by_word = np.concatenate([none, *[np.frombuffer(x, np.float64).reshape(len(VALUES), -1) for x in packed]], axis=1)
+    by_word = np.concatenate([none, *[np.frombuffer(x, np.float32).reshape(len(VALUES), -1) for x in packed]], axis=1)
     sums, counts = [], []
     for a, b in tx.runs_of(starts):
         found = tx.words(data[starts[a] : starts[b]], starts[a : b + 1] - starts[a], tx.ALNUM, tx.LOWER_VALUES)
@@ -195,7 +248,7 @@ def _evidence(table: pa.Table, answers: pa.Table) -> pa.Table:
 
 def with_evidence(docs: DataFrame, carry: list[Column], text_col: str, model: Model) -> DataFrame:
     """``carry``, ``text``, evidence and number of words of every row; ``model`` covers all words."""
-    n = exchange.parts(docs, text_col)
+    n = exchange.parts(docs, text_col, BLOCK_BYTES)
     rows = docs.select(F.struct(*carry).alias("carry"), F.col(text_col).alias("text"))
     # Rows spread by all they hold: no id, nor a text under several ids, is one block.
     rows = rows.withColumn("block", F.pmod(F.xxhash64("carry", "text"), F.lit(n)).cast("int"))
@@ -214,7 +267,7 @@ def fold(id_col: Column) -> Column:
     return F.coalesce(F.crc32(id_col.cast("string")) % 5, F.lit(0))
 
 
-def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> Model:
+def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", doubt: float = DOUBT) -> Model:
     """Both models and the curve, from labelled rows whose ``fold`` is not 0.
 
     Folds 1 to 3 are counted whole; the curve is fitted on at most
@@ -226,9 +279,12 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     # Merged at every size: labels grow with the texts, so they are never broadcast.
     counted = texts.join(known.filter(fold(F.col("id")).isin(1, 2, 3)).hint("merge"), "id")
-    grams = counted.select("text", "toxic").mapInArrow(_count, "gram long, toxic long, plain long")
-    grams = exchange.stored(grams.groupBy("gram").agg(F.sum("toxic").alias("toxic"), F.sum("plain").alias("plain")), "grams")
-    model = Model(_values(texts, grams))
+    shards = exchange.parts(texts, "text")
+    grams = counted.select("text", "toxic").mapInArrow(_count(shards), "shard int, gram long, toxic long, plain long")
+    summed = grams.groupBy("shard", "gram").agg(F.sum("toxic").alias("toxic"), F.sum("plain").alias("plain"))
+    grams = exchange.stored(summed, "grams")
+    model = Model(_values(texts, grams, shards, doubt))
+    exchange.discard(grams)
 
     held = known.filter(fold(F.col("id")) == 4).orderBy(F.xxhash64("id"), "id").limit(CALIBRATION_ROWS)
     # At most CALIBRATION_ROWS ids and labels: the texts stay where they are.
@@ -239,79 +295,94 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     return model
 
 
-def _values(texts: DataFrame, grams: DataFrame) -> DataFrame:
-    """Evidence of every distinct word of ``texts``, over its bytes and as a whole."""
-    vocabulary = texts.select("text").mapInArrow(_vocabulary, "word binary").distinct()
-    wanted = vocabulary.mapInArrow(_contexts_of, "word long, context long, byte long")
-    by_bytes = wanted.join(_contexts(grams.filter("gram >= 0")), "context", "left")
-    place = F.array_position("after", F.col("byte")).cast("int") - 1
-    value = F.coalesce(F.get("evidence", place), F.col("rest"), F.lit(0.0))
-    by_bytes = by_bytes.groupBy("word").agg((F.sum(F.round(value * UNIT).cast("long")) / UNIT).alias("bytes"))
-    # A word's number among the counts has the first bit set.
-    values = by_bytes.withColumn("gram", F.col("word").bitwiseOR(F.lit(-(1 << 63))))
-    values = values.join(_whole(grams.filter("gram < 0")), "gram", "left").fillna(0.0)
-    return exchange.stored(values.select("word", *VALUES), "word-evidence")
+def _values(texts: DataFrame, grams: DataFrame, shards: int, doubt: float = DOUBT) -> DataFrame:
+    """Evidence of every distinct word of ``texts``, over its bytes and as a whole.
+
+    Words are distinct within blocks of their hash. A block asks each shard of the
+    counts for its distinct numbers, packed; no n-gram of a word is a row.
+    """
+    words = texts.select("text").mapInArrow(_vocabulary(shards), "block int, words binary")
+    asked = words.groupBy("block").applyInArrow(_ask(shards), "shard int, block int, keys binary")
+    told = asked.groupBy("shard").cogroup(grams.groupBy("shard")).applyInArrow(
+        _tell(*_totals(grams), doubt), "block int, shard int, found binary"
+    )
+    values = words.groupBy("block").cogroup(told.groupBy("block")).applyInArrow(
+        _valued(shards), f"word long, {', '.join(f'{name} double' for name in VALUES)}"
+    )
+    return exchange.stored(values, "word-evidence")
 
 
-def _contexts(grams: DataFrame) -> DataFrame:
-    """Of all bytes before a last one: evidence of each last one seen there, and of any other."""
+def _totals(grams: DataFrame) -> tuple:
+    """What all shards need: the shared model of byte pairs, and sums over all counts of each kind."""
     # Continuation counts of the last two bytes: 65,536 rows at most.
     pair = F.col("gram").bitwiseAND(0xFFFF).alias("pair")
-    shared = _shared(grams.groupBy(pair).agg(F.count("*").alias("kinds")).toPandas())
-
-    total = [x or 0 for x in grams.agg(F.sum("toxic"), F.sum("plain")).first()]
-
-    def evidence(batches):
-        for batch in batches:
-            context = batch.column("context").to_numpy()
-            seen = batch.column("seen")
-            byte, *counts = (x.to_numpy() for x in seen.flatten().flatten())
-            sizes = np.diff(seen.offsets.to_numpy())
-            of = np.repeat(np.arange(len(context)), sizes)
-            sums = lambda x: np.bincount(of, weights=x, minlength=len(context))
-            all_ = [sums(x) for x in counts]
-            lower = shared[(context[of] & 0xFF) << 8 | byte]
-            rest = [_rest(n, sums(np.maximum(x - DISCOUNT, 0))) for n, x in zip(all_, counts)]
-            value = _log_ratio(*[_smoothed(x, n[of], r[of], lower) for x, n, r in zip(counts, all_, rest)])
-            value *= _sureness(*counts, *total)
-            edges = pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32))
-            lists = [pa.ListArray.from_arrays(edges, pa.array(x)) for x in (byte, value)]
-            other = pa.array(_log_ratio(*rest) * _sureness(*all_, *total))
-            yield pa.RecordBatch.from_arrays([batch.column("context"), *lists, other], ["context", "after", "evidence", "rest"])
-
-    byte = F.col("gram").bitwiseAND(0xFF).alias("byte")
-    context = F.shiftrightunsigned("gram", 8).alias("context")
-    seen = grams.groupBy(context).agg(F.collect_list(F.struct(byte, "toxic", "plain")).alias("seen"))  # 256 at most
-    return seen.mapInArrow(evidence, "context long, after array<long>, evidence array<double>, rest double")
-
-
-def _whole(grams: DataFrame) -> DataFrame:
-    """``gram`` and evidence of every counted word."""
+    in_bytes, whole = grams.filter("gram >= 0"), grams.filter("gram < 0")
+    shared = _shared(in_bytes.groupBy(pair).agg(F.count("*").alias("kinds")).toPandas())
     kinds = ("toxic", "plain")
     left = lambda kind: F.greatest(F.col(kind) - DISCOUNT, F.lit(0.0))
-    all_ = grams.agg(*[F.sum(kind) for kind in kinds], *[F.sum(left(kind)) for kind in kinds]).first()
-    total, spent = ({kind: float(x or 0) for kind, x in zip(kinds, part)} for part in (all_[:2], all_[2:]))
-
-    def weigh(batches):
-        for batch in batches:
-            counts = {kind: batch.column(kind).to_numpy().astype(float) for kind in kinds}
-            n = {kind: np.full(batch.num_rows, total[kind]) for kind in kinds}
-            both = sum(counts.values()) / max(sum(total.values()), 1)
-            value = _log_ratio(*[_smoothed(counts[k], n[k], _rest(n[k], np.full(len(both), spent[k])), both) for k in kinds])
-            value *= _sureness(*counts.values(), *total.values())
-            yield pa.RecordBatch.from_arrays([batch.column("gram"), pa.array(value)], ["gram", "words"])
-
-    return grams.mapInArrow(weigh, "gram long, words double")
-
-
-def _sureness(toxic: np.ndarray, plain: np.ndarray, all_toxic: float, all_plain: float) -> np.ndarray:
+    totals = [x or 0 for x in in_bytes.agg(*[F.sum(kind) for kind in kinds]).first()]
+    words = [float(x or 0) for x in whole.agg(*[F.sum(kind) for kind in kinds], *[F.sum(left(kind)) for kind in kinds]).first()]
+    return shared, totals, words[:2], words[2:]
+
+
+def _tell(shared: np.ndarray, totals: list, word_totals: list, word_spent: list, doubt: float):
+    """Evidence of the numbers that blocks ask a shard for, from its counts."""
+
+    def tell(asked: pa.Table, counts: pa.Table) -> pa.Table:
+        gram = counts["gram"].to_numpy().view(np.uint64)
+        order = np.argsort(gram)
+        gram, both = gram[order], [counts[kind].to_numpy()[order].astype(float) for kind in ("toxic", "plain")]
+        words = int(np.searchsorted(gram, _WORD))  # they come after all n-grams
+        context, rest, value = _of_contexts(gram[:words], [x[:words] for x in both], shared, totals, doubt)
+        value = np.concatenate([value, _of_words([x[words:] for x in both], word_totals, word_spent, doubt)])
+        found = []
+        for packed in asked["keys"].to_pylist():
+            keys = np.frombuffer(packed, np.uint64)
+            known, at = _place(gram, keys)
+            told = np.where(known, value[at] if len(value) else 0.0, 0.0)
+            seen, at = _place(context, keys >> U64(8))
+            unseen = ~known & seen & (keys < _WORD)
+            told[unseen] = rest[at[unseen]]
+            found.append(told.astype(np.float32).tobytes())
+        columns = (asked["block"].cast(pa.int32()), asked["shard"].cast(pa.int32()), pa.array(found, pa.binary()))
+        return pa.table(dict(zip(("block", "shard", "found"), columns)))
+
+    return tell
+
+
+def _place(of: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which keys are in the sorted ``of``, and where (or any place)."""
+    at = np.minimum(np.searchsorted(of, keys), max(len(of) - 1, 0))
+    return (of[at] == keys if len(of) else np.zeros(len(keys), bool)), at
+
+
+def _of_contexts(gram: np.ndarray, counts: list, shared: np.ndarray, totals: list, doubt: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of sorted n-grams: the bytes before the last, evidence of any other last one, and of each."""
+    context, of = np.unique(gram >> U64(8), return_inverse=True)
+    sums = lambda x: np.bincount(of, weights=x, minlength=len(context))
+    all_ = [sums(x) for x in counts]
+    lower = shared[(gram & U64(0xFFFF)).astype(np.int64)]
+    rest = [_rest(n, sums(np.maximum(x - DISCOUNT, 0))) for n, x in zip(all_, counts)]
+    value = _log_ratio(*[_smoothed(x, n[of], r[of], lower) for x, n, r in zip(counts, all_, rest)])
+    return context, _log_ratio(*rest) * _sureness(*all_, *totals, doubt), value * _sureness(*counts, *totals, doubt)
+
+
+def _of_words(counts: list, totals: list, spent: list, doubt: float) -> np.ndarray:
+    """Evidence of counted words as a whole."""
+    both = sum(counts) / max(sum(totals), 1)
+    n = [np.full(len(both), x) for x in totals]
+    value = _log_ratio(*[_smoothed(x, m, _rest(m, np.full(len(both), s)), both) for x, m, s in zip(counts, n, spent)])
+    return value * _sureness(*counts, *totals, doubt)
+
+
+def _sureness(toxic: np.ndarray, plain: np.ndarray, all_toxic: float, all_plain: float, doubt: float) -> np.ndarray:
     """From 0 to 1 as the counts tell of other shares than those of all counts."""
     both, part = toxic + plain, all_toxic / max(all_toxic + all_plain, 1)
     told = np.zeros(len(both))
     for counts, share in ((toxic, part), (plain, 1 - part)):
         told += 2 * counts * np.log(np.maximum(counts, 1e-12) / np.maximum(both * share, 1e-12))
     told = np.maximum(told, 0)
-    return told / (told + DOUBT)
+    return told / (told + doubt)
 
 
 def _rest(all_: np.ndarray, spent: np.ndarray) -> np.ndarray:
