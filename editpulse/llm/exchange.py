@@ -9,6 +9,7 @@ share of a shard.
 
 from __future__ import annotations
 
+import gc
 import math
 import uuid
 
@@ -79,17 +80,19 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def discard(df: DataFrame) -> None:
-    """Delete what ``stored`` wrote, once nothing reads it any more.
+def tidy(spark: SparkSession) -> None:
+    """Let shuffle files of finished steps go: they do with the objects that stand for them, which are few and small."""
+    gc.collect()
+    spark._jvm.System.gc()
+
 
-    The JVM is asked to clear up as well: shuffle files of finished steps go
-    with the objects that stand for them, and those are few and small.
-    """
+def discard(df: DataFrame) -> None:
+    """Delete what ``stored`` wrote, once nothing reads it any more."""
     spark = df.sparkSession
     for folder in {file.rsplit("/", 1)[0] for file in df.inputFiles()}:
         path = spark._jvm.org.apache.hadoop.fs.Path(folder)
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
-    spark._jvm.System.gc()
+    tidy(spark)
 
 
 def repeated_keys(shipped: DataFrame) -> DataFrame:

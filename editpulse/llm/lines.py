@@ -21,7 +21,7 @@ from __future__ import annotations
 import json
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from editpulse.llm import exchange
@@ -29,7 +29,7 @@ from editpulse.llm import exchange
 WORDS = 5
 PERCENT = 80
 BUCKETS = 1 << 16
-SENT_IDS = 500_000
+SENT_LINES = 500_000
 STEPS = 8  # of rarity for each doubling of a count
 PLACE = ["id", "row", "line"]  # in order of what is earlier
 SPACE, OTHER = r"[\x20\x09-\x0d]", r"[^\x20\x09-\x0d]"
@@ -132,19 +132,18 @@ def _classes(lines: DataFrame, ranks: list[int], percent: int) -> DataFrame:
 
 
 def _posted(classes: DataFrame) -> DataFrame:
-    """The first tokens of every class, without those that no other class has.
+    """(token, place, set, size, n, first) of the first tokens that more classes than one have.
 
-    With each token comes its earliest class and the one of most lines.
+    Most tokens are of one class only and go at once: what goes through the
+    shuffle of all is a token, a set, and size and place in one number.
     """
-    first = F.struct(*PLACE).alias("first")
-    posted = classes.select("set", "size", "n", first, F.posexplode("first_tokens").alias("place", "token"))
-    tokens = posted.groupBy("token").agg(
-        F.count(F.lit(1)).alias("classes"),
-        F.min(F.struct("first", "set", "size")).alias("earliest"),
-        F.max(F.struct("n", "set", "first", "size")).alias("largest"),
-    )
-    tokens = exchange.stored(tokens.filter("classes > 1").drop("classes"), "line-tokens")
-    return exchange.stored(posted.join(tokens, "token"), "line-posted")
+    posted = classes.select("set", "size", F.posexplode("first_tokens").alias("place", "token"))
+    posted = posted.select("token", "set", (F.col("size").cast("long") * (1 << 31) + F.col("place")).alias("at"))
+    shared = F.count(F.lit(1)).over(Window.partitionBy("token"))
+    posted = posted.withColumn("classes", shared).filter("classes > 1")
+    rows = posted.join(classes.select("set", "n", F.struct(*PLACE).alias("first")), "set")
+    size, place = F.shiftright("at", 31).alias("size"), F.col("at").bitwiseAND((1 << 31) - 1).alias("place")
+    return exchange.stored(rows.select("token", place, "set", size, "n", "first"), "line-posted")
 
 
 def _sizes_fit(a: Column, b: Column, percent: int) -> Column:
@@ -152,9 +151,13 @@ def _sizes_fit(a: Column, b: Column, percent: int) -> Column:
 
 
 def _likely(posted: DataFrame, percent: int) -> DataFrame:
-    """Pairs of each class with the two that its tokens name: at most two for each first token."""
+    """Pairs of each class with the earliest of a first token and the one of most lines: two for each token at most."""
+    tokens = posted.groupBy("token").agg(
+        F.min(F.struct("first", "set", "size")).alias("earliest"),
+        F.max(F.struct("n", "set", "first", "size")).alias("largest"),
+    )
     named = [F.struct(F.col(f"{who}.set").alias("set"), F.col(f"{who}.first").alias("first"), F.col(f"{who}.size").alias("size")) for who in ("earliest", "largest")]
-    rows = posted.select("set", "first", "size", F.explode(F.array(*named)).alias("a"))
+    rows = posted.join(tokens, "token").select("set", "first", "size", F.explode(F.array(*named)).alias("a"))
     rows = rows.filter((F.col("a.first") < F.col("first")) & _sizes_fit(F.col("a.size"), F.col("size"), percent))
     return rows.select(F.col("a.set").alias("a_set"), F.col("set").alias("b_set")).distinct()
 
@@ -170,7 +173,7 @@ def _bits(part: int) -> Column:
 def _candidates(posted: DataFrame, done: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Pairs of a class that is not ``done`` and an earlier one that token, sizes, places and bits allow."""
     bits = [f"bits{i}" for i in range(4)]
-    rows = posted.drop("earliest", "largest", "n").join(sets.select("set", *bits), "set")
+    rows = posted.drop("n").join(sets.select("set", *bits), "set")
     a = rows.select(*[F.col(c).alias(f"a_{c}") for c in rows.columns])
     b = rows.join(done, "set", "left_anti").select(*[F.col(c).alias(f"b_{c}") for c in rows.columns])
     size_a, size_b = F.col("a_size"), F.col("b_size")
@@ -192,10 +195,9 @@ def _sets(lines: DataFrame, classes: DataFrame, posted: DataFrame, ranks: list[i
     """``set``, whole ``tokens`` and bits of the classes that share a first token with another."""
     ends = classes.join(posted.select("set").distinct(), "set", "left_semi").select("set", *PLACE)
     ends = exchange.stored(ends, "line-ends")
-    # Rows up to this number are sent to the texts; more of them meet in a shuffle.
-    rows = exchange.stored(ends.select("id", "row").distinct(), "line-documents")
-    rows = F.broadcast(rows) if rows.count() <= SENT_IDS else rows
-    found = lines.join(rows, ["id", "row"], "left_semi").join(ends, PLACE).dropDuplicates(PLACE)
+    # Up to this number of lines, their places are sent to the texts; beyond, both meet in a shuffle.
+    ends = F.broadcast(ends) if ends.count() <= SENT_LINES else ends
+    found = lines.join(ends, PLACE).dropDuplicates(["set"])
     found = _with_tokens(found, ranks).select("set", "tokens")
     return exchange.stored(found.select("*", *[_bits(i).alias(f"bits{i}") for i in range(4)]), "line-sets")
 

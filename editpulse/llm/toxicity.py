@@ -201,9 +201,29 @@ def _all_words(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return data, starts, np.unique(np.concatenate(held)) if held else np.zeros(0, U64)
 
 
+def _pack(batches):
+    """Rows of a batch by their block, compressed together: texts are most of what is shuffled."""
+    for batch in batches:
+        block = batch.column("block").to_numpy(zero_copy_only=False)
+        order = np.argsort(block, kind="stable")
+        used, edges = np.unique(block[order], return_index=True)
+        rows = pa.Table.from_batches([batch]).select(["carry", "text"]).take(pa.array(order))
+        packed = []
+        for a, b in zip(edges, [*edges[1:], len(order)]):
+            out = pa.BufferOutputStream()
+            with pa.ipc.new_stream(out, rows.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
+                writer.write_table(rows.slice(a, b - a).combine_chunks())
+            packed.append(out.getvalue().to_pybytes())
+        yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), pa.array(packed, pa.binary())], ["block", "rows"])
+
+
+def _unpacked(table: pa.Table) -> pa.Table:
+    return pa.concat_tables([pa.ipc.open_stream(x.as_buffer()).read_all() for x in table["rows"]])
+
+
 def _send_words(shards: int):
     def send(table: pa.Table) -> pa.Table:
-        _, _, keys = _all_words(table)
+        _, _, keys = _all_words(_unpacked(table))
         edges = exchange.shard_edges(keys, shards)
         used = np.flatnonzero(np.diff(edges))
         return pa.table(
@@ -231,6 +251,7 @@ def _answer(sent: pa.Table, values: pa.Table) -> pa.Table:
 
 def _evidence(table: pa.Table, answers: pa.Table) -> pa.Table:
     """Sums of all ``VALUES`` over every text, and its number of words, beside its row."""
+    table = _unpacked(table)
     data, starts, keys = _all_words(table)
     packed = answers.sort_by("shard")["found"].to_pylist()  # shards are ranges of the hashes
     none = np.zeros((len(VALUES), 0))
@@ -252,11 +273,12 @@ def with_evidence(docs: DataFrame, carry: list[Column], text_col: str, model: Mo
     rows = docs.select(F.struct(*carry).alias("carry"), F.col(text_col).alias("text"))
     # Rows spread by all they hold: no id, nor a text under several ids, is one block.
     rows = rows.withColumn("block", F.pmod(F.xxhash64("carry", "text"), F.lit(n)).cast("int"))
+    kind = rows.schema["carry"].dataType.simpleString()
+    rows = rows.select("block", "carry", "text").mapInArrow(_pack, "block int, rows binary")
     sent = rows.groupBy("block").applyInArrow(_send_words(n), "shard int, block int, keys binary")
     shard = F.shiftright(F.shiftrightunsigned("word", 32) * n, 32).cast("int").alias("shard")
     values = model.values.select(shard, "word", *VALUES)
     answers = sent.groupBy("shard").cogroup(values.groupBy("shard")).applyInArrow(_answer, "block int, shard int, found binary")
-    kind = rows.schema["carry"].dataType.simpleString()
     return rows.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
         _evidence, f"carry {kind}, text string, {', '.join(f'{name} double' for name in VALUES)}, n_words long"
     )
@@ -283,6 +305,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     grams = counted.select("text", "toxic").mapInArrow(_count(shards), "shard int, gram long, toxic long, plain long")
     summed = grams.groupBy("shard", "gram").agg(F.sum("toxic").alias("toxic"), F.sum("plain").alias("plain"))
     grams = exchange.stored(summed, "grams")
+    exchange.tidy(docs.sparkSession)
     model = Model(_values(texts, grams, shards, doubt))
     exchange.discard(grams)
 
