@@ -9,6 +9,7 @@ from editpulse.config import Settings
 from editpulse.functions.clock import Instant
 from editpulse.sources.lake import Lake, make_folder
 from editpulse.streaming import layers
+from editpulse.streaming.progress import ProgressLog
 
 
 def _prepare(spark: SparkSession, lake: Lake) -> None:
@@ -28,6 +29,16 @@ def require_none_dropped(query: StreamingQuery) -> None:
         raise RuntimeError(f"{query.name}: {dropped} rows came behind the dedup horizon")
 
 
+def remembered_ids(spark: SparkSession, lake: Lake) -> DataFrame:
+    """``event_id`` of all ids in the state of the live dedup (its last operator, where it has two)."""
+    checkpoint = lake.checkpoint("silver_log")
+    operators = spark.read.format("state-metadata").load(checkpoint)
+    # One row for each operator.
+    last = min(row.operatorId for row in operators.select("operatorId").distinct().collect())
+    state = spark.read.format("statestore").option("operatorId", last).load(checkpoint)
+    return state.select("key.event_id")
+
+
 def drain(
     spark: SparkSession,
     lake: Lake,
@@ -61,12 +72,15 @@ def serve(
 ) -> None:
     """Run all queries until one of them ends, then stop the rest.
 
-    Any failed query ends the service with its error, so none dies unseen.
+    Any failed query ends the service with its error, so none dies unseen. Each
+    batch of each query is reported to the lake's table of progress.
     """
     trigger = {"processingTime": interval}
     spark.streams.resetTerminated()  # queries of earlier runs do not count
     started: list[StreamingQuery] = []
     _prepare(spark, lake)
+    log = ProgressLog(spark, lake)
+    spark.streams.addListener(log)
     try:
         started.append(layers.start_bronze(topic, lake, trigger))
         started.append(layers.start_silver(spark, lake, settings, trigger, shape=shape))
@@ -76,3 +90,4 @@ def serve(
     finally:
         for query in started:
             query.stop()
+        spark.streams.removeListener(log)

@@ -242,6 +242,34 @@ ORACLES: dict[str, str] = {
         from silver group by 1""",
     "gold_approx_distinct": f"""with {_SILVER}, {_gold('gold', 'silver')}
         select window_start, window_end, unique_editors, active_pages, {_NEAR} from gold""",
+    **{
+        name: f"""with {_SILVER}
+        select date_trunc('{unit}', {moment})::TIMESTAMP as period_start, count(*) as total_edits,
+          count(distinct user_id) as exact_editors, count(distinct page_title) as exact_pages,
+          true as unique_editors_near, true as active_pages_near
+        from silver group by 1"""
+        for name, unit, moment in (
+            ("gold_sketches", "minute", "time_bucket(interval '5 minutes', event_time)"),
+            ("dash_platform_rollup", "hour", "event_time"),
+        )
+    },
+    "top_pages_rollup": f"""with {_SILVER}
+        select page_title, count(*) as edits from silver group by 1""",
+    "silver_variant": f"""with {_SILVER}
+        select event_id, event_time, page_title, user_id is not null as has_user, is_bot, bytes_diff, edit_size,
+          user_type, case when event_id::BIGINT % 7 = 0 then 'wiki' else '' end as unknown_fields,
+          case when event_id::BIGINT % 7 = 0 then 'w' end as wiki
+        from silver""",
+    "quarantine_reasons": f"""with {_EDITS}
+        select 'not json' as raw_json, 'not json' as reason from edits where event_id % 50 = 7
+        union all select '[1]', 'not an object' from edits where event_id % 50 = 8
+        union all select '{{"title":"' || page_title || '"}}', 'no id' from edits where event_id % 50 = 9
+        union all select '{{"meta":' || {_json('new_length')}, 'not json' from edits where event_id % 50 = 10""",
+    "service_progress": f"""with {_RAW}
+        select 'bronze_log' as query, count(*) as input_rows, 0::BIGINT as dropped_rows from deliveries
+        union all select 'silver_log', count(*), 0 from deliveries
+        union all select 'gold_live', count(*), 0 from events""",
+    "dedup_state": "select event_id::VARCHAR as event_id from events",
     "gold_replay_kpis": f"with {_SILVER} "
     + _reduced("silver", f"event_time >= {_NOW} - interval 24 hours"),
     "gold_replay_stored": f"with {_SILVER} " + _reduced("silver"),

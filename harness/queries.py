@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from editpulse import testbed
 from editpulse.config import TABLE_RULES, Settings, TableRule
 from editpulse.functions.clock import hours, newest
-from editpulse.operators import bronze, gold, late, maintenance, silver, upsert
+from editpulse.operators import bronze, gold, late, maintenance, silver, sketches, upsert, variant
 from editpulse.operators.dedup import first_per_key
 from editpulse.operators.id_index import IdIndex
 from editpulse.plans import dashboards, replay
@@ -35,7 +35,7 @@ from editpulse.sources.lake import (
     write_days,
 )
 from editpulse.sources.topic import publish, topic_stream
-from editpulse.streaming import layers, service
+from editpulse.streaming import layers, progress, service
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -198,6 +198,55 @@ def gold_approx_error(spark, events):
     return near(exact, gold.window_kpis(silver_rows, day, distinct="approx"))
 
 
+def _stored_sketches(spark, events) -> DataFrame:
+    path = f"{scratch_dir(spark, 'sketches')}/windows"
+    sketches.window_sketches(testbed.silver_rows(events)).write.parquet(path)
+    return read_table(spark, path)
+
+
+def _within(estimate: str, exact: str) -> Column:
+    """Whether an estimate is off by three standard errors at most, or by one."""
+    bound = F.greatest(F.col(exact) * (3 * sketches.STANDARD_ERROR), F.lit(1))
+    return F.abs(F.col(estimate) - F.col(exact)) <= bound
+
+
+def _rolled_up(spark, events, unit: str) -> DataFrame:
+    """Periods from stored windows alone, beside exact counts from Silver."""
+    rolled = sketches.roll_up(_stored_sketches(spark, events), F.date_trunc(unit, "window_start"))
+    return _beside_exact(rolled, events, F.date_trunc(unit, "event_time"))
+
+
+def _beside_exact(rolled: DataFrame, events: DataFrame, period: Column) -> DataFrame:
+    exact = testbed.silver_rows(events).groupBy(period.alias("period_start")).agg(
+        F.count_distinct("user_id").alias("exact_editors"), F.count_distinct("page_title").alias("exact_pages")
+    )
+    return rolled.join(exact, "period_start").select(
+        "period_start", "total_edits", "exact_editors", "exact_pages",
+        _within("unique_editors", "exact_editors").alias("unique_editors_near"),
+        _within("active_pages", "exact_pages").alias("active_pages_near"),
+    )
+
+
+@query
+def gold_sketches(spark, events):
+    """Stored windows, each as a period of its own."""
+    stored = _stored_sketches(spark, events)
+    rolled = sketches.roll_up(stored, F.col("window_start"))
+    return _beside_exact(rolled, events, F.window("event_time", "5 minutes").getField("start"))
+
+
+@query
+def dash_platform_rollup(spark, events):
+    """Hours of editors and pages as unions of stored windows."""
+    return _rolled_up(spark, events, "hour")
+
+
+@query
+def top_pages_rollup(spark, events):
+    """Pages by edits over all time, from the stored windows' sketches; exact, as pages are fewer than these hold."""
+    return sketches.top_pages(_stored_sketches(spark, events), k=sketches.TOP_ITEMS)
+
+
 @query
 def gold_replay_kpis(spark, events):
     bound = last_event(events, Settings.lookback_hours)
@@ -593,6 +642,61 @@ def silver_feed_shape(spark, events):
     )
 
 
+def _mixed_bronze(events: DataFrame) -> DataFrame:
+    """Documents of both shapes in one topic, some with a field that neither declares."""
+    plain = testbed.bronze_rows(events).filter(F.col("offset") < testbed.REPEAT_OFFSET)
+    feed = testbed.feed_bronze(events)
+    rows = plain.filter("offset % 2 = 0").unionByName(feed.filter("offset % 2 = 1"))
+    added = F.regexp_replace("raw_json", r"^\{", '{"wiki":"w",')
+    return rows.withColumn("raw_json", F.when(F.col("offset") % 7 == 0, added).otherwise(F.col("raw_json")))
+
+
+@query
+def silver_variant(spark, events):
+    """Both shapes by one parse; fields that no shape declares are named."""
+    rows = variant.flat_edits(_mixed_bronze(events))
+    return rows.select(
+        "event_id", "event_time", "page_title", F.col("user_id").isNotNull().alias("has_user"),
+        "is_bot", "bytes_diff", "edit_size", "user_type", F.array_join("unknown_fields", ",").alias("unknown_fields"),
+        F.try_variant_get("document", "$.wiki", "string").alias("wiki"),
+    )
+
+
+@query
+def quarantine_reasons(spark, events):
+    """Feed messages that cannot be used, and why."""
+    messages = testbed.feed_lines(events).filter("event = 'message'").select(F.col("data").alias("raw_json"))
+    return variant.quarantined(messages)
+
+
+@query
+def dedup_state(spark, events):
+    """The ids that the live dedup remembers after a run, read from its state."""
+    lake, session = Lake(scratch_dir(spark, "state")), _stream_session(spark)
+    topic = f"{lake.root}/topic"
+    publish(testbed.topic_rows(events), path=topic)
+    layers.start_bronze(topic_stream(session, path=topic), lake, layers.ONCE).awaitTermination()
+    layers.start_silver(session, lake, replace(Settings(), dedup_splits=1), layers.ONCE).awaitTermination()
+    return service.remembered_ids(session, lake)
+
+
+@query
+def service_progress(spark, events):
+    """Rows through each layer as the batches reported them; Silver fails at first and is started again."""
+    lake, session = Lake(scratch_dir(spark, "progress")), _stream_session(spark)
+    topic = f"{lake.root}/topic"
+    publish(testbed.topic_rows(events), path=topic)
+    broken = iter([F.raise_error(F.lit("killed")).cast("timestamp")])
+    starts = [
+        lambda: layers.start_bronze(topic_stream(session, path=topic), lake, layers.ONCE),
+        lambda: layers.start_silver(session, lake, trigger=layers.ONCE, now=next(broken, None)),
+        lambda: layers.start_gold(session, lake, trigger=layers.ONCE),
+    ]
+    for start in starts:
+        progress.supervise(session, lake, start, wait=0.1)
+    return progress.totals(session, lake).select("query", "input_rows", "dropped_rows")
+
+
 @query
 def ddl_tables(spark, events):
     """Tables made by DDL, filled by path, told to the catalog, counted by name."""
