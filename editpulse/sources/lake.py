@@ -153,6 +153,12 @@ def rename(spark: SparkSession, path: str, to: str) -> None:
         raise OSError(f"could not rename {path} to {to}")
 
 
+def set_time(spark: SparkSession, path: str, millis: int) -> None:
+    """Give a file another time of change; file streams take older files first."""
+    hadoop_path, fs = _path(spark, path)
+    fs.setTimes(hadoop_path, millis, -1)
+
+
 def is_stream_log(spark: SparkSession, path: str) -> bool:
     return path_exists(spark, f"{path}/_spark_metadata")
 

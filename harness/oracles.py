@@ -292,6 +292,9 @@ ORACLES: dict[str, str] = {
     "late_rows": f"""with {_late('hour')}
         select event_id, event_time, ingestion_time, batch, window_end, watermark
         from marked where is_late""",
+    "late_rows_stream": f"""with {_late('day')}
+        select event_id, event_time, window_end, date_trunc('milliseconds', watermark)::TIMESTAMP as watermark
+        from marked where is_late""",
     "replay_dedup": f"with {_REVISED} select {_SILVER_COLUMNS} from latest",
     "upsert_matched": f"""with {_SILVER_AND_LATEST}, {_HELD}
         select {_SILVER_COLUMNS} from replayed

@@ -31,11 +31,13 @@ from editpulse.sources.lake import (
     move_into,
     read_layer,
     read_table,
+    rename,
+    set_time,
     sync_partitions,
     write_days,
 )
 from editpulse.sources.topic import publish, topic_stream
-from editpulse.streaming import layers, progress, service
+from editpulse.streaming import lateness, layers, progress, service
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -604,6 +606,29 @@ def _live_gold(spark, events, lake: Lake) -> DataFrame:
     return read_layer(spark, lake, "gold_live").drop("window_date")
 
 
+def _feed_by_day(spark, events, lake: Lake) -> None:
+    """A Silver log with one file for each day of arrival, the older day the older file."""
+    rows = arrival(testbed.silver_rows(events), "day").drop("ingestion_time")
+    dated = with_day(rows, "event_time", "event_date").repartition("batch")
+    dated.write.partitionBy("batch").parquet(f"{lake.root}/days")
+    days = sorted(path for path in list_paths(spark, f"{lake.root}/days") if "batch=" in path)
+    for place, day in enumerate(days):
+        file = f"{lake.table('silver_log')}/part-{place:05d}.parquet"
+        rename(spark, next(f for f in list_paths(spark, day) if f.endswith(".parquet")), file)
+        set_time(spark, file, 1_700_000_000_000 + 60_000 * place)
+
+
+@query
+def late_rows_stream(spark, events):
+    """The same from a stream that takes a day of arrivals at a time, by the watermarks it reports."""
+    lake, session = Lake(scratch_dir(spark, "late")), _stream_session(spark)
+    session.conf.set("spark.sql.streaming.numRecentProgressUpdates", "1000")
+    _feed_by_day(spark, events, lake)
+    settings = replace(Settings(), max_files_per_trigger=1)
+    progress.supervise(session, lake, lambda: lateness.start_late(session, lake, settings, layers.ONCE))
+    return lateness.late_rows(session, lake).select("event_id", "event_time", "window_end", "watermark")
+
+
 @query
 def gold_stream(spark, events):
     """Live windows: what comes after its window closed is not in them."""
