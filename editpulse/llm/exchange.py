@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import gc
 import math
+import time
 import uuid
 
 import numpy as np
@@ -81,9 +82,14 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
 
 
 def tidy(spark: SparkSession) -> None:
-    """Let shuffle files of finished steps go: they do with the objects that stand for them, which are few and small."""
-    gc.collect()
-    spark._jvm.System.gc()
+    """Let shuffle files of finished steps go: they do with the objects that stand for them, which are few and small.
+
+    The first round lets go of the plans, the second of what these held.
+    """
+    for _ in range(2):
+        gc.collect()
+        spark._jvm.System.gc()
+        time.sleep(0.5)
 
 
 def discard(df: DataFrame) -> None:
