@@ -29,6 +29,12 @@ PIECE_BYTES = 1 << 16
 BLOCK_BYTES = 4 << 20
 SHARDS_PER_BLOCK = 2
 
+# A block reports a piece of more surroundings than the first; reports that add up
+# to more than the second make it hot. A shard so gets at most the second, and the
+# first from each block, of a piece that is not.
+BLOCK_RUNS = 8
+HOT_RUNS = 16384
+
 
 def suffix_dedup(
     docs: DataFrame,
@@ -38,6 +44,7 @@ def suffix_dedup(
     batches: int = BATCHES,
     digest: bool = False,
     block_bytes: int = BLOCK_BYTES,
+    hot_runs: int = HOT_RUNS,
 ) -> DataFrame:
     """Remove every byte of a ``min_bytes`` string that a smaller id has too.
 
@@ -48,25 +55,40 @@ def suffix_dedup(
 
     A null text is empty. A null id counts as the largest. Rows of one id do
     not remove from each other. Texts shorter than a string are kept. Other
-    columns are ignored, an empty table gives an empty one.
+    columns are ignored, an empty table gives an empty one. ``hot_runs`` changes
+    where strings meet, never the result.
     """
     n = exchange.parts(docs, text_col, block_bytes)
     cut = _Cut(min_bytes)
     rows = exchange.blocks(docs, id_col, text_col, n)
     n *= SHARDS_PER_BLOCK
-    pieces = rows.groupBy("block").applyInArrow(_send_pieces(cut, n), "shard int, block int, keys binary")
-    repeated = exchange.repeated_keys(pieces).select("block", "shard", F.lit(0).alias("kind"), "keys")
-    sent = rows.groupBy("block").cogroup(repeated.groupBy("block")).applyInArrow(
-        _send_strings(cut, n), "shard int, block int, ids binary, extra binary, bytes binary"
-    )
+    answers = _answers(rows, cut, n, hot_runs)
+    sent = _sent(rows, answers, cut, n)
     flags = sent.groupBy("shard").applyInArrow(_later_copies(cut, batches), "block int, shard int, kind int, keys binary")
-    answers = repeated.unionByName(flags)
+    answers = answers.unionByName(flags)
     result = rows.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
         _remove(cut, n, digest), "id long, n_bytes long, n_removed long, n_spans long, kept binary"
     )
     return result.withColumnRenamed("id", id_col)
 
 
+def _answers(rows: DataFrame, cut: _Cut, shards: int, hot_runs: int) -> DataFrame:
+    """Which pieces of each block occur again, and which of them are hot."""
+    pieces = rows.groupBy("block").applyInArrow(_send_pieces(cut, shards), "shard int, block int, kind int, keys binary")
+    return pieces.groupBy("shard").applyInArrow(_judge_pieces(hot_runs), "shard int, block int, kind int, keys binary")
+
+
+def _sent(rows: DataFrame, answers: DataFrame, cut: _Cut, shards: int) -> DataFrame:
+    """The strings that each block sends each shard."""
+    return rows.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
+        _send_strings(cut, shards), "shard int, block int, ids binary, extra binary, bytes binary"
+    )
+
+
+# What a row of keys says.
+_REPEATED, _LATER, _HOT = 0, 1, 2
+
+
 @dataclass(frozen=True)
 class _Cut:
     """Lengths: the whole string, the piece that marks it, and pieces in a string."""
@@ -111,6 +133,32 @@ class _Block:
             return np.zeros(0, np.int64), np.zeros(0, U64)
         return tuple(np.concatenate(x) for x in zip(*found))
 
+    def crowded(self, at: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Keys of more than ``BLOCK_RUNS`` different surroundings here, and how many they have."""
+        kinds, of, marks = np.unique(keys, return_inverse=True, return_counts=True)
+        some = np.flatnonzero(marks[of] > BLOCK_RUNS)
+        at, of = at[some], of[some]
+        doc = np.searchsorted(self.starts, at, "right") - 1
+        low = np.maximum(at - self.cut.places + 1, self.starts[doc])
+        high = np.minimum(at + self.cut.string, self.starts[doc + 1])
+        around = self.prints(low, high - low, self.cut.string + self.cut.places - 1) ^ (at - low).astype(U64)
+        pairs = np.unique(np.stack([of.astype(U64), around]), axis=1)
+        runs = np.bincount(pairs[0].astype(np.int64), minlength=len(kinds))
+        many = np.flatnonzero(runs > BLOCK_RUNS)
+        return kinds[many], runs[many]
+
+    def prints(self, low: np.ndarray, length: np.ndarray, longest: int) -> np.ndarray:
+        """A hash of the bytes of each run."""
+        up = tx.mix(np.arange(1, longest + 1, dtype=U64)) | U64(1)
+        out = np.empty(len(low), U64)
+        for a in range(0, len(out), 16384):
+            some = length[a : a + 16384]
+            place = np.minimum(low[a : a + 16384, None] + np.arange(longest), len(self.data) - 1)
+            values = tx.BYTE_VALUES[self.data[place]] * up
+            values[np.arange(longest) >= some[:, None]] = 0
+            out[a : a + 16384] = tx.mix(values.sum(axis=1, dtype=U64) ^ some.astype(U64))
+        return out
+
     def strings(self, answers: pa.Table, shards: int) -> "_Strings":
         """Strings whose mark is repeated, as runs of neighbouring first bytes."""
         at, keys = self.marks()
@@ -129,19 +177,28 @@ class _Block:
             after = np.flatnonzero(near & (keys[step:] < keys[:-step]))
             high[after] = np.minimum(high[after], at[after + step] - self.cut.places)
         keys = tx.mix(keys)  # least values lie close together, shards need even ones
-        use = (low <= high) & (exchange.known(keys, answers, shards) | twice(keys))
-        return _Strings(self, low[use], high[use], doc[use], keys[use], shards)
+        use = (low <= high) & (exchange.known(keys, _of_kind(answers, _REPEATED), shards) | twice(keys))
+        hot = exchange.known(keys[use], _of_kind(answers, _HOT), shards)
+        return _Strings(self, low[use], high[use], doc[use], keys[use], hot, shards)
 
 
 class _Strings:
-    """Runs of strings of a block, and its distinct runs with their least id."""
+    """Runs of strings of a block, and its distinct runs with their least id.
+
+    Around hot pieces each string is a run of its own.
+    """
 
-    def __init__(self, block: _Block, low, high, doc, keys, shards):
-        self.low, self.high, self.doc = low, high, doc
-        self.width = block.cut.string
-        print_ = self._prints(block)
+    def __init__(self, block: _Block, low, high, doc, keys, hot, shards):
+        counts = high[hot] - low[hot] + 1
+        single = _spread_out(low[hot], counts)
+        self.low = np.concatenate([low[~hot], single])
+        self.high = np.concatenate([high[~hot], single])
+        self.doc = np.concatenate([doc[~hot], np.repeat(doc[hot], counts)])
+        width = block.cut.string
+        print_ = block.prints(self.low, self.high - self.low + width, width + block.cut.places - 1)
+        keys = np.concatenate([keys[~hot], print_[len(print_) - len(single) :]])
         shard = (((keys >> U64(32)) * U64(shards)) >> U64(32)).astype(np.int64)
-        ids = block.ids[doc]
+        ids = block.ids[self.doc]
         order = np.lexsort((ids, print_, shard))
         new = np.ones(len(order), bool)
         new[1:] = (print_[order][1:] != print_[order][:-1]) | (shard[order][1:] != shard[order][:-1])
@@ -150,21 +207,11 @@ class _Strings:
         self.first = order[new]  # one run for each distinct one, of the least id
         self.least = ids[self.first]
         self.edges = np.searchsorted(shard[self.first], np.arange(shards + 1))
-        self.counts = (high - low + 1)[self.first]
+        self.counts = (self.high - self.low + 1)[self.first]
 
-    def _prints(self, block: _Block) -> np.ndarray:
-        """A hash of the bytes of each run."""
-        longest = block.cut.string + block.cut.places - 1
-        up = tx.mix(np.arange(1, longest + 1, dtype=U64)) | U64(1)
-        out = np.empty(len(self.low), U64)
-        for a in range(0, len(out), 16384):
-            low, high = self.low[a : a + 16384], self.high[a : a + 16384]
-            length = high - low + block.cut.string
-            place = np.minimum(low[:, None] + np.arange(longest), len(block.data) - 1)
-            values = tx.BYTE_VALUES[block.data[place]] * up
-            values[np.arange(longest) >= length[:, None]] = 0
-            out[a : a + 16384] = tx.mix(values.sum(axis=1, dtype=U64) ^ length.astype(U64))
-        return out
+
+def _of_kind(answers: pa.Table, kind: int) -> pa.Table:
+    return answers.filter(pa.array(answers["kind"].combine_chunks().to_numpy(zero_copy_only=False) == kind))
 
 
 def _spread_out(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -175,11 +222,59 @@ def _spread_out(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
 
 def _send_pieces(cut: _Cut, shards: int):
     def send(table: pa.Table) -> pa.Table:
-        return exchange.ship_keys(table["block"][0].as_py(), tx.mix(_Block(table, cut).marks()[1]), shards)
+        number, block = table["block"][0].as_py(), _Block(table, cut)
+        at, keys = block.marks()
+        sent = exchange.ship_keys(number, tx.mix(keys), shards)
+        kinds, runs = block.crowded(at, keys)
+        kinds = tx.mix(kinds)
+        order = np.argsort(kinds)
+        kinds, runs = kinds[order], runs[order]
+        edges = exchange.shard_edges(kinds, shards)
+        used = np.flatnonzero(np.diff(edges))
+        low = (kinds & U64(0xFFFFFFFF)).astype(np.uint32)
+        pairs = np.stack([low, np.minimum(runs, 1 << 30).astype(np.uint32)], axis=1)
+        shard = sent["shard"].to_pylist() + used.tolist()
+        rows = sent["keys"].to_pylist() + [pairs[edges[s] : edges[s + 1]].tobytes() for s in used]
+        kind = [_REPEATED] * sent.num_rows + [_HOT] * len(used)
+        return pa.table(
+            {
+                "shard": pa.array(shard, pa.int32()),
+                "block": pa.array([number] * len(shard), pa.int32()),
+                "kind": pa.array(kind, pa.int32()),
+                "keys": pa.array(rows, pa.binary()),
+            }
+        )
 
     return send
 
 
+def _judge_pieces(hot_runs: int):
+    def judge(table: pa.Table) -> pa.Table:
+        shard, sent = table["shard"][0].as_py(), _of_kind(table, _REPEATED)
+        blocks, rows = sent["block"].to_pylist(), [np.frombuffer(x, np.uint32) for x in sent["keys"].to_pylist()]
+        keys = np.concatenate(rows)
+        keys.sort()
+        repeated = np.unique(keys[1:][keys[1:] == keys[:-1]])
+        reports = b"".join(_of_kind(table, _HOT)["keys"].to_pylist())
+        crowded, runs = np.frombuffer(reports, np.uint32).reshape(-1, 2).T
+        kinds, of = np.unique(crowded, return_inverse=True)
+        hot = kinds[np.bincount(of, weights=runs, minlength=len(kinds)) > hot_runs]
+        out = []
+        for kind, some in ((_REPEATED, repeated), (_HOT, hot)):
+            kept = [row[np.isin(row, some, assume_unique=True)] for row in rows]
+            out += [(block, kind, row) for block, row in zip(blocks, kept) if len(row)]
+        return pa.table(
+            {
+                "shard": pa.array([shard] * len(out), pa.int32()),
+                "block": pa.array([block for block, _, _ in out], pa.int32()),
+                "kind": pa.array([kind for _, kind, _ in out], pa.int32()),
+                "keys": pa.array([row.tobytes() for _, _, row in out], pa.binary()),
+            }
+        )
+
+    return judge
+
+
 def _send_strings(cut: _Cut, shards: int):
     def send(table: pa.Table, answers: pa.Table) -> pa.Table:
         out = {"shard": [], "ids": [], "extra": [], "bytes": []}
@@ -271,7 +366,7 @@ def _later_copies(cut: _Cut, batches: int):
             {
                 "block": table["block"].cast(pa.int32()),
                 "shard": table["shard"].cast(pa.int32()),
-                "kind": pa.array([1] * len(flags), pa.int32()),
+                "kind": pa.array([_LATER] * len(flags), pa.int32()),
                 "keys": pa.array(flags, pa.binary()),
             }
         )
@@ -281,11 +376,10 @@ def _later_copies(cut: _Cut, batches: int):
 
 def _removed(block: _Block, answers: pa.Table, shards: int) -> np.ndarray:
     """Which bytes of the block go."""
-    kinds = answers["kind"].combine_chunks().to_numpy(zero_copy_only=False)
-    strings = block.strings(answers.filter(pa.array(kinds == 0)), shards)
+    strings = block.strings(answers, shards)
     bounds = np.concatenate([[0], np.cumsum(strings.counts)])
     later = np.zeros(bounds[-1], bool)
-    flags = answers.filter(pa.array(kinds == 1))
+    flags = _of_kind(answers, _LATER)
     for shard, packed in zip(flags["shard"].to_pylist(), flags["keys"].to_pylist()):
         a, b = bounds[strings.edges[shard]], bounds[strings.edges[shard + 1]]
         later[a:b] = np.unpackbits(np.frombuffer(packed, np.uint8), count=b - a).astype(bool)
