@@ -11,6 +11,7 @@ from editpulse.plans.replay import run_replay
 from editpulse.plans.upkeep import run_upkeep
 from editpulse.session import build_session
 from editpulse.sources.feed import read_feed
+from editpulse.sources.frames import read_frames
 from editpulse.sources.lake import Lake, create_tables, sync_partitions
 from editpulse.sources.topic import kafka_options, topic_stream
 from editpulse.streaming import layers, service
@@ -34,7 +35,8 @@ def _parser() -> argparse.ArgumentParser:
 
     job("init", "create database and tables")
     publish = job("publish", "captured feed lines to the topic", topic=True)
-    publish.add_argument("--feed", required=True, help="folder of feed lines as JSON")
+    publish.add_argument("--feed", required=True, help="folder of the captured feed")
+    publish.add_argument("--feed-shape", choices=("json", "frames"), default="json", help="lines as JSON, or raw event-stream text")
     stream = job("stream", "topic to Bronze, Silver and Gold", topic=True)
     stream.add_argument("--interval", default="10 seconds")
     stream.add_argument("--silver-files", type=int, help="Silver files per batch and day")
@@ -62,7 +64,8 @@ def _source(spark: SparkSession, args: argparse.Namespace):
 
 def _publish(spark: SparkSession, lake: Lake, args: argparse.Namespace) -> None:
     trigger = layers.ONCE if args.once else None
-    lines, checkpoint = read_feed(spark, args.feed, stream=True), lake.checkpoint("publish")
+    read = read_frames if args.feed_shape == "frames" else read_feed
+    lines, checkpoint = read(spark, args.feed, stream=True), lake.checkpoint("publish")
     if args.topic_path:
         target = {"path": args.topic_path, "topic": args.topic}
     else:

@@ -168,8 +168,11 @@ def _feed_document() -> Column:
     )
 
 
-def feed_lines(source: DataFrame) -> DataFrame:
-    """A captured feed: messages, a few without ids or broken, and keep-alives."""
+def feed_lines(source: DataFrame, *keep: str) -> DataFrame:
+    """A captured feed: messages, a few without ids or broken, and keep-alives.
+
+    ``keep`` names columns of the edit to keep beside them.
+    """
     text = F.col("text")
     without_id = F.concat(F.lit('{"title":"'), F.col("page_title"), F.lit('"}'))
     message = F.lit("message")
@@ -186,7 +189,20 @@ def feed_lines(source: DataFrame) -> DataFrame:
         F.when(_nth(50, 11), line(F.lit("heartbeat"), text)),
     ]
     sent = edit_fields(source).withColumn("text", document(F.col("new_length")))
-    return sent.select(F.inline(F.array_compact(F.array(*lines))))
+    return sent.select(*keep, F.inline(F.array_compact(F.array(*lines))))
+
+
+def feed_frames(source: DataFrame) -> DataFrame:
+    """The captured feed as raw frames: comments, messages without a name, data over several lines."""
+    broken = F.when(_nth(7, 0), F.replace("data", F.lit(',"title"'), F.lit(',\n"title"'))).otherwise(F.col("data"))
+    unnamed = _nth(3, 0) & (F.col("event") == "message")
+    text = F.concat(
+        F.when(_nth(4, 1), F.lit(": keep-alive\n")).otherwise(F.lit("")),
+        F.when(unnamed, F.lit("")).otherwise(F.concat(F.lit("event: "), "event", F.lit("\n"))),
+        F.concat(F.lit("id: "), "event_id", F.lit("\ndata: ")),
+        F.replace(broken, F.lit("\n"), F.lit("\ndata: ")),
+    )
+    return feed_lines(source, "event_id").select(text.alias("value"))
 
 
 def silver_rows(source: DataFrame, now: Column | None = None) -> DataFrame:

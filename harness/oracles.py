@@ -190,6 +190,17 @@ ORACLES: dict[str, str] = {
         select event_id::VARCHAR as key, {_json('new_length')} as value from edits
         union all
         select 'unknown', '{{"title":"' || page_title || '"}}' from edits where event_id % 50 = 9""",
+    "feed_frames": f"""with {_EDITS}, texts as (select *, {_json('new_length')} as text from edits),
+        lines as (
+        select event_id, 'message' as event, text as data from texts
+        union all select event_id, 'message', 'not json' from texts where event_id % 50 = 7
+        union all select event_id, 'message', '[1]' from texts where event_id % 50 = 8
+        union all select event_id, 'message', '{{"title":"' || page_title || '"}}' from texts
+          where event_id % 50 = 9
+        union all select event_id, 'message', '{{"meta":' || text from texts where event_id % 50 = 10
+        union all select event_id, 'heartbeat', text from texts where event_id % 50 = 11)
+        select event_id::VARCHAR as id, event, case when event_id % 7 = 0
+          then replace(data, ',"title"', ',' || chr(10) || '"title"') else data end as data from lines""",
     "bronze_project": f"""with {_RAW}
         select event_id::VARCHAR as event_key, raw_json, 'edits.raw' as topic,
           (event_id % 4)::INT as partition, "offset", arrival as kafka_timestamp,

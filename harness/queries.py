@@ -24,6 +24,7 @@ from editpulse.plans.replay import latest_silver, recent_bronze, with_day
 from editpulse.schemas import SILVER
 from editpulse.session import STREAM_DEFAULTS, scratch_dir, shuffle_width
 from editpulse.sources.feed import envelopes
+from editpulse.sources.frames import read_frames
 from editpulse.sources.lake import (
     Lake,
     create_tables,
@@ -105,6 +106,23 @@ def envelope_build(spark, events):
     return envelopes(testbed.feed_lines(events))
 
 
+@query
+def feed_frames(spark, events):
+    """Raw event-stream text through two runs of one stream; files come in between."""
+    root, session = scratch_dir(spark, "frames"), _stream_session(spark)
+    raw = testbed.feed_frames(events).repartition(2 * spark.sparkContext.defaultParallelism)
+    raw.write.option("lineSep", "\n\n").text(f"{root}/made")
+    made = sorted(path for path in list_paths(spark, f"{root}/made") if path.endswith(".txt"))
+    half = len(made) // 2
+    for some in (range(half), range(half, len(made))):
+        for number in some:
+            rename(spark, made[number], f"{root}/wire/{number:06d}")
+        lines = read_frames(session, f"{root}/wire", stream=True, range_bytes=1 << 20)
+        writer = lines.writeStream.option("checkpointLocation", f"{root}/checkpoint").trigger(**layers.ONCE)
+        writer.format("parquet").start(f"{root}/lines").awaitTermination()
+    return session.read.schema("id string, event string, data string").parquet(f"{root}/lines")
+
+
 @query
 def bronze_project(spark, events):
     return bronze.land(testbed.topic_rows(events), now=F.col("timestamp"))
