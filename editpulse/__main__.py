@@ -49,6 +49,7 @@ def _parser() -> argparse.ArgumentParser:
     replay.add_argument("--lookback-hours", type=int, default=Settings.lookback_hours)
     upkeep = job("upkeep", "orphans and compaction")
     upkeep.add_argument("--delete-orphans", action="store_true")
+    upkeep.add_argument("--cluster-pages", action="store_true", help="lay compacted edits out by time and page")
     upkeep.add_argument("--orphan-hours", type=int, default=Settings.orphan_hours)
     for sub in (stream, replay):
         sub.add_argument("--user-shape", choices=("struct", "feed"), default="struct")
@@ -105,7 +106,15 @@ def main(argv: list[str] | None = None) -> None:
         settings = Settings(lookback_hours=args.lookback_hours)
         print(run_replay(spark, lake, settings=settings, shape=args.user_shape))
     elif args.job == "upkeep":
-        print(run_upkeep(spark, lake, delete=args.delete_orphans, orphan_hours=args.orphan_hours))
+        print(
+            run_upkeep(
+                spark,
+                lake,
+                delete=args.delete_orphans,
+                orphan_hours=args.orphan_hours,
+                cluster_pages=args.cluster_pages,
+            )
+        )
     if args.database:
         sync_partitions(spark, lake, args.database)
 

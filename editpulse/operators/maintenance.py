@@ -28,6 +28,13 @@ MAX_FILES_PER_JOB = 2_000
 
 DELETES_AT_ONCE = 32
 
+# A curve over two columns tells this many stretches of each apart (a power of two),
+# cut by a drawn sample of about so many rows. Both decide the layout alone.
+CURVE_BITS = 6
+CURVE_SAMPLE = 20_000
+
+_DAY_MICROS = 24 * 60 * 60 * 1_000_000
+
 
 def expired_versions(
     versions: DataFrame,
@@ -173,13 +180,16 @@ def compact_days(
     min_input_files: int = 5,
     max_files_per_job: int = MAX_FILES_PER_JOB,
     time_col: str | None = None,
+    key_col: str | None = None,
 ) -> list[str]:
     """Rewrite the days that hold many small files; returns those days.
 
     A file holds a stretch of its day by ``time_col``, in order, so that readers
     still skip files and row groups by time. Rows of one time at a cut, or all of
     them without a time, are spread by the file and position they come from,
-    which a retried task repeats exactly. Each job replaces its days whole, so a
+    which a retried task repeats exactly. With ``key_col``, a text column, files
+    follow a curve over the time of the day and the key, so that readers skip by
+    either one, though by time less than without. Each job replaces its days whole, so a
     stop in between loses nothing.
     """
     if is_stream_log(spark, path):
@@ -188,7 +198,7 @@ def compact_days(
     # One row per day partition at most.
     plan = compaction_plan(files, target_bytes, min_input_files).collect()
     for job in _jobs(plan, max_files_per_job):
-        _rewrite(spark, path, date_col, job, time_col)
+        _rewrite(spark, path, date_col, job, time_col, key_col)
     return sorted(row.partition for row in plan)
 
 
@@ -201,7 +211,7 @@ def _read_days(spark: SparkSession, path: str, date_col: str) -> DataFrame:
 
 
 def _time_bounds(rows: DataFrame, date_col: str, layout: list) -> dict:
-    """Times that cut each day into its files, about equal in rows."""
+    """Times, or places on a curve, that cut each day into its files, about equal in rows."""
     most = max(slots for _, _, slots in layout)
     if most == 1:
         return {}
@@ -215,8 +225,40 @@ def _time_bounds(rows: DataFrame, date_col: str, layout: list) -> dict:
     return found
 
 
+def _cuts(values: list) -> list:
+    """Values that cut sorted ones into stretches of about equal length."""
+    parts = 1 << CURVE_BITS
+    return [values[len(values) * i // parts] for i in range(1, parts)] if values else []
+
+
+def _stretch(value: Column, cuts: list, first: int = 0) -> Column:
+    """Number of the stretch that the value falls into, by halving."""
+    if not cuts:
+        return F.lit(first)
+    middle = len(cuts) // 2
+    below = _stretch(value, cuts[:middle], first)
+    return F.when(value < cuts[middle], below).otherwise(_stretch(value, cuts[middle + 1 :], first + middle + 1))
+
+
+def _curve(rows: DataFrame, clock: Column, key_col: str) -> DataFrame:
+    """``rows`` with their place ``_clock`` on a curve over time of day and key, bit by bit in turn."""
+    moment = F.pmod(clock, F.lit(_DAY_MICROS))
+    key = F.coalesce(F.col(key_col).cast("string"), F.lit(""))
+    both = rows.select(moment.alias("moment"), key.alias("key"))
+    # Two columns of at most about CURVE_SAMPLE rows come to the driver.
+    drawn = both.sample(min(1.0, CURVE_SAMPLE / max(both.count(), 1)), seed=7).collect()
+    rows = rows.withColumn("_moment", _stretch(moment, _cuts(sorted(r.moment for r in drawn))))
+    rows = rows.withColumn("_key", _stretch(key, _cuts(sorted(r.key for r in drawn))))
+    place = F.lit(0).cast("bigint")
+    for bit in range(CURVE_BITS):
+        for name, shift in (("_key", 2 * bit), ("_moment", 2 * bit + 1)):
+            one = F.shiftright(name, bit).bitwiseAND(F.lit(1)).cast("bigint")
+            place = place + one * (1 << shift)
+    return rows.withColumn("_clock", place)
+
+
 def _rewrite(
-    spark: SparkSession, path: str, date_col: str, job: list, time_col: str | None
+    spark: SparkSession, path: str, date_col: str, job: list, time_col: str | None, key_col: str | None
 ) -> None:
     table = _read_days(spark, path, date_col)
     layout, first = [], 0
@@ -232,8 +274,9 @@ def _rewrite(
     place = F.xxhash64("_metadata.file_path", "_metadata.row_index")
     clock = F.unix_micros(time_col) if time_col else F.lit(None).cast("bigint")
     rows = table.filter(chosen).withColumn("_place", place)
-    rows = rows.withColumn("_clock", F.coalesce(clock, F.lit(0).cast("bigint")))
-    bounds = _time_bounds(rows, date_col, layout) if time_col else {}
+    clock = F.coalesce(clock, F.lit(0).cast("bigint"))
+    rows = _curve(rows, clock, key_col) if key_col else rows.withColumn("_clock", clock)
+    bounds = _time_bounds(rows, date_col, layout) if time_col or key_col else {}
     slots = spark.createDataFrame(
         [(*entry, bounds.get(entry[0], [0] * (entry[2] - 1))) for entry in layout],
         "day date, first_slot bigint, slots bigint, bounds array<bigint>",
@@ -244,7 +287,7 @@ def _rewrite(
     upto = F.size(F.filter("bounds", lambda b: b <= F.col("_clock")))
     slot = F.col("first_slot") + below + F.pmod("_place", upto - below + 1)
     placed = rows.withColumn("_slot", slot.cast("int")).repartitionById(first, "_slot")
-    placed = placed.sortWithinPartitions("_clock")
+    placed = placed.sortWithinPartitions("_clock", *([key_col] if key_col else []))
     with settings(spark, spark__sql__parquet__outputTimestampType="TIMESTAMP_MICROS"):
         (
             placed.select(*table.columns)

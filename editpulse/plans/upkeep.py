@@ -38,13 +38,15 @@ def run_upkeep(
     now: Instant = None,
     delete: bool = False,
     orphan_hours: int = Settings.orphan_hours,
+    cluster_pages: bool = False,
 ) -> UpkeepReport:
     """Find orphans of the stream logs, compact the serving tables.
 
     Orphans are counted and left in place unless ``delete`` is given. Only
     stream logs can have them: batch writes move finished files into place. A
     batch that still runs has files that no log knows yet, so nothing younger
-    than a day is ever deleted.
+    than a day is ever deleted. ``cluster_pages`` lays compacted edits out by time and
+    page, where readers ask for pages as often as for times.
     """
     if delete and orphan_hours < LEAST_ORPHAN_HOURS:
         raise ValueError(f"files younger than {LEAST_ORPHAN_HOURS} hours may belong to a running batch")
@@ -62,7 +64,14 @@ def run_upkeep(
             )
             orphans[table] = m.delete_files(found, dry_run=not delete)
         else:
+            paged = cluster_pages and table == "silver_serving"
             compacted[table] = m.compact_days(
-                spark, path, date_col, rule.target_file_bytes, rule.min_input_files, time_col=time_col
+                spark,
+                path,
+                date_col,
+                rule.target_file_bytes,
+                rule.min_input_files,
+                time_col=time_col,
+                key_col="page_title" if paged else None,
             )
     return UpkeepReport(orphans, compacted)

@@ -389,6 +389,7 @@ ORACLES: dict[str, str] = {
           count(distinct event_id % 8) as small_files, 1::BIGINT as output_files
         from events group by 1 having count(distinct event_id % 8) >= 5""",
     "compaction_rowcheck": f"with {_SILVER} select {_SILVER_COLUMNS} from silver",
+    "compaction_by_pages": f"with {_SILVER} select {_SILVER_COLUMNS} from silver",
     "bronze_ingest": f"""with {_RAW}
         select event_id::VARCHAR as event_key, raw_json, 'edits.raw' as topic,
           (event_id % 4)::INT as partition, "offset", arrival as kafka_timestamp

@@ -538,6 +538,18 @@ def compaction_rowcheck(spark, events):
     return read_table(spark, path).select(*SILVER.fieldNames())
 
 
+@query
+def compaction_by_pages(spark, events):
+    """A rewrite into several files a day, along time and page: the rows are the same."""
+    path = f"{scratch_dir(spark, 'curve')}/silver"
+    rows = testbed.silver_rows(events).drop("ingestion_time")
+    _slotted(rows, 12).parquet(path)
+    size = maintenance.list_files(spark, path, "event_date").groupBy("partition").agg(F.sum("bytes").alias("n"))
+    target = size.agg(F.max("n")).first()[0] // 4 + 1
+    maintenance.compact_days(spark, path, "event_date", target, time_col="event_time", key_col="page_title")
+    return read_table(spark, path).select(*SILVER.fieldNames())
+
+
 # --- Streams, run over what is there and read back --------------------------
 
 

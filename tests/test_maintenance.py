@@ -1,9 +1,10 @@
 """Retention, orphans, compaction, catalog and the job command line."""
 
 from collections import Counter
-from datetime import datetime, timedelta
+from datetime import datetime, timedelta, timezone
 from pathlib import Path
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -116,6 +117,48 @@ def _days(path):
     return found.values()
 
 
+def _groups_with(path, column, value):
+    """Row groups whose statistics do not rule the value out, and all of them."""
+    groups = [
+        group
+        for file in Path(path).rglob("*.parquet")
+        for meta in [pq.ParquetFile(file).metadata]
+        for group in (meta.row_group(i) for i in range(meta.num_row_groups))
+    ]
+    stats = [
+        next(c.statistics for c in map(group.column, range(group.num_columns)) if c.path_in_schema == column)
+        for group in groups
+    ]
+    return sum(s.min <= value <= s.max for s in stats), len(stats)
+
+
+def test_compaction_along_a_curve_skips_by_page_and_by_time(spark, tmp_path):
+    rows = spark.range(60_000, numPartitions=8).select(
+        F.concat(F.lit("Page_"), F.xxhash64("id") % 5000).alias("page_title"),
+        F.timestamp_micros(F.lit(1_704_153_600_000_000) + F.col("id") * 1_400_000).alias("event_time"),
+        F.xxhash64("id", F.lit(1)).alias("noise"),
+        F.lit("2024-01-02").cast("date").alias("event_date"),
+    )
+    rows = rows.union(spark.sql("select null, null, 1L, date'2024-01-02'"))
+    shares = {}
+    for name, key in (("time", None), ("curve", "page_title")):
+        path = str(tmp_path / name)
+        rows.repartition(40, "noise").write.partitionBy("event_date").parquet(path)
+        total = sum(f.stat().st_size for f in Path(path).rglob("*.parquet"))
+        days = m.compact_days(spark, path, "event_date", total // 16 + 1, 5, time_col="event_time", key_col=key)
+        assert days == ["2024-01-02"]
+        back = read_table(spark, path).select(*rows.columns)
+        assert rows_of(back.exceptAll(rows)) == rows_of(rows.exceptAll(back)) == []
+        pages, groups = _groups_with(path, "page_title", "Page_1234")
+        moment = datetime(2024, 1, 2, 9, 30, tzinfo=timezone.utc)
+        times, _ = _groups_with(path, "event_time", moment)
+        shares[name] = (pages / groups, times / groups)
+        assert groups >= 12
+    assert shares["time"][0] > 0.9
+    assert shares["curve"][0] < 0.5
+    assert shares["curve"][1] < 0.5
+
+
 def test_compaction_handles_rows_without_a_day(spark, tmp_path):
     path = str(tmp_path / "nulls")
     rows = spark.range(50).select("id", F.lit(None).cast("date").alias("event_date"))
