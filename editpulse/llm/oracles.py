@@ -171,3 +171,91 @@ SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n_base, 0)::BIGINT AS n_b
        coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, coalesce(score, 0)::DOUBLE AS score
 FROM rows LEFT JOIN by_row USING (row)
 """
+
+_ASCII_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+ORACLES["op5_jaccard_join"] = rf"""
+WITH RECURSIVE cut AS (
+  SELECT doc_id, regexp_extract_all({_ASCII_LOWER}, '[^\x20\x09-\x0D]+') AS w FROM documents
+), shingles AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+    ELSE [array_to_string(w[i:i + 2], ' ') FOR i IN range(1, len(w) - 1)] END) AS s
+  FROM cut
+), sizes AS (
+  SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), common AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS shared
+  FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY ALL
+), links AS (
+  SELECT x, y FROM common JOIN sizes a ON a.doc_id = x JOIN sizes b ON b.doc_id = y
+  WHERE 100 * shared >= 90 * (a.n + b.n - shared)
+), reach AS (
+  SELECT doc_id, doc_id AS root FROM cut
+  UNION
+  SELECT links.y, reach.root FROM reach JOIN links ON links.x = reach.doc_id
+)
+SELECT doc_id, coalesce((SELECT n FROM sizes WHERE sizes.doc_id = reach.doc_id), 0)::BIGINT AS n_shingles,
+       min(root) AS component_id,
+       (SELECT count(*) FROM links WHERE links.x = reach.doc_id)::BIGINT AS n_links
+FROM reach GROUP BY doc_id
+"""
+
+_PLAIN_WORDS = rf"regexp_extract_all({_ASCII_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+ORACLES["op4_decontamination"] = f"""
+WITH docs AS (
+  SELECT doc_id, {_PLAIN_WORDS} AS w FROM documents
+), items AS (
+  SELECT item_id::VARCHAR AS item, {_PLAIN_WORDS} AS w FROM benchmark
+), wanted AS (
+  SELECT DISTINCT item, least(len(w), 10) AS k,
+         unnest([array_to_string(w[i:i + least(len(w), 10) - 1], ' ') FOR i IN range(1, greatest(len(w) - 8, 2))]) AS s
+  FROM items WHERE len(w) > 0
+), seen AS (
+  SELECT doc_id, k, unnest(range(1, len(w) - k + 2)) AS i, w
+  FROM docs, (SELECT DISTINCT k FROM wanted) WHERE len(w) >= k
+), places AS (
+  SELECT doc_id, k, i, array_to_string(w[i:i + k - 1], ' ') AS s FROM seen
+), hits AS (
+  SELECT doc_id, item, k, i FROM places JOIN wanted USING (k, s)
+), words AS (
+  SELECT doc_id, count(*) AS n_hit
+  FROM (SELECT DISTINCT doc_id, unnest(range(i, i + k)) AS place FROM (SELECT DISTINCT doc_id, k, i FROM hits)) GROUP BY doc_id
+), found AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids
+  FROM (SELECT DISTINCT doc_id, item FROM hits) GROUP BY doc_id
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM docs LEFT JOIN words USING (doc_id) LEFT JOIN found USING (doc_id)
+"""
+
+ORACLES["op1_suffix_dedup"] = """
+WITH bytes AS (
+  SELECT doc_id, encode(coalesce(text, '')) AS b, octet_length(encode(coalesce(text, '')))::BIGINT AS n FROM documents
+), strings AS (
+  SELECT doc_id, i, b[i + 1:i + 50] AS s
+  FROM (SELECT doc_id, b, unnest(range(0, greatest(n - 49, 0))) AS i FROM bytes)
+), firsts AS (
+  SELECT s, min(doc_id) AS least FROM strings GROUP BY s HAVING count(*) > 1
+), hits AS (
+  SELECT DISTINCT doc_id, i FROM strings JOIN firsts USING (s) WHERE least < doc_id
+), marked AS (
+  SELECT doc_id, i, (i > coalesce(lag(i) OVER (PARTITION BY doc_id ORDER BY i), -100) + 50)::INT AS opens FROM hits
+), runs AS (
+  SELECT doc_id, min(i) AS low, max(i) + 50 AS high
+  FROM (SELECT *, sum(opens) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM marked) GROUP BY doc_id, run
+), gaps AS (
+  SELECT doc_id, coalesce(lag(high) OVER (PARTITION BY doc_id ORDER BY low), 0) AS low, low AS high FROM runs
+  UNION ALL
+  SELECT doc_id, coalesce(max(high), 0), max(n) FROM bytes LEFT JOIN runs USING (doc_id) GROUP BY doc_id
+), kept AS (
+  SELECT doc_id, unhex(string_agg(hex(b[low + 1:high]), '' ORDER BY low)) AS rest
+  FROM gaps JOIN bytes USING (doc_id) GROUP BY doc_id
+), counts AS (
+  SELECT doc_id, sum(high - low) AS n_removed, count(*) AS n_spans FROM runs GROUP BY doc_id
+)
+SELECT doc_id, n AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans,
+       sha256(rest) AS kept_sha256
+FROM bytes JOIN kept USING (doc_id) LEFT JOIN counts USING (doc_id)
+"""
