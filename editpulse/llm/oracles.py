@@ -259,3 +259,45 @@ SELECT doc_id, n AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coales
        sha256(rest) AS kept_sha256
 FROM bytes JOIN kept USING (doc_id) LEFT JOIN counts USING (doc_id)
 """
+
+
+def _doubled(levels: int = 12, width: int = 13) -> str:
+    """Windows that another document has too, at each length made of two of half of it."""
+    steps = []
+    for level in range(levels):
+        shift = width << (level - 1) if level else 0
+        made = (
+            "SELECT doc_id, i, hash(s) AS h FROM windows"
+            if not level
+            else f"SELECT a.doc_id, a.i, hash(a.h, b.h) AS h FROM shared{level - 1} a "
+            f"JOIN shared{level - 1} b ON a.doc_id = b.doc_id AND b.i = a.i + {shift}"
+        )
+        steps.append(f"""made{level} AS MATERIALIZED ({made}), shared{level} AS MATERIALIZED (
+  SELECT * FROM made{level} WHERE h IN (SELECT h FROM made{level} GROUP BY h HAVING min(doc_id) <> max(doc_id)))""")
+    return ",\n".join(steps)
+
+
+ORACLES["op10_substring_dedup"] = rf"""
+WITH docs AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), windows AS MATERIALIZED (
+  SELECT doc_id, i, array_to_string(w[i:i + 12], ' ') AS s
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 11, 1))) AS i FROM docs)
+), firsts AS (
+  SELECT s, min(doc_id) AS least FROM windows GROUP BY s HAVING count(*) > 1
+), gone AS (
+  SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS i
+  FROM (SELECT DISTINCT doc_id, i FROM windows JOIN firsts USING (s) WHERE least < doc_id)
+), placed AS (
+  SELECT doc_id, unnest(range(1, len(w) + 1)) AS i, unnest(w) AS word FROM docs
+), kept AS (
+  SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS rest FROM placed ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id
+), {_doubled()}, levels AS (
+  {" UNION ALL ".join(f"SELECT DISTINCT doc_id, {13 << level} AS words FROM shared{level}" for level in range(12))}
+)
+SELECT doc_id, len(w)::BIGINT AS n_words,
+       (SELECT count(*) FROM gone WHERE gone.doc_id = docs.doc_id)::BIGINT AS n_removed,
+       sha256(coalesce(rest, '')) AS kept_sha256,
+       coalesce((SELECT max(words) FROM levels WHERE levels.doc_id = docs.doc_id), 0)::INT AS level_words
+FROM docs LEFT JOIN kept USING (doc_id)
+"""

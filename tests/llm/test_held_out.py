@@ -2,6 +2,7 @@
 
 import pytest
 
+from editpulse.llm.quality import quality
 from editpulse.llm.queries import table
 from editpulse.llm.toxicity import toxicity
 
@@ -33,3 +34,14 @@ def test_toxicity(tables):
     assert len(rows) > 500
     assert area(rows) > 0.95
     assert sum((s >= 0.5) == (y == 1) for s, y in rows) / len(rows) > 0.95
+
+
+def test_quality(tables):
+    docs, labels = tables
+    known = labels.select("doc_id", "quality").dropna()
+    rows = quality(docs, labels).filter("held_out").join(known, "doc_id").collect()
+    assert len(rows) > 500
+    assert area([(r.score, r.quality) for r in rows]) > 0.95
+    most = sum(r.quality for r in rows) / len(rows)
+    right = sum(r.predicted == r.quality for r in rows) / len(rows)
+    assert right > max(most, 1 - most) + 0.02
