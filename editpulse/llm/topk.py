@@ -7,7 +7,8 @@ distance from it, and rows of a pivot are cut into annuli by that distance. A
 query first searches the annulus nearest to it, which bounds the distance of its
 k-th best row. By the triangle inequality a row within that radius lies, from
 any pivot, within the radius of the query's own distance: only annuli that reach
-into this range are searched, and in them only that range of the sorted rows.
+into this range are searched, and in them the range of the sorted rows that grows
+from the query's own distance until no row beyond it can come among the best.
 
 Pivots and the edges of annuli come from a bounded sample; every row is indexed
 and the bounds hold for any pivots, so results are exact.
@@ -30,6 +31,8 @@ PIVOTS = 16
 RINGS = 4
 BUCKET_ROWS = 4096  # of an annulus that one task searches
 QUERY_ROWS = 8192  # that meet a bucket in one task
+STEP_ROWS = 512  # of an annulus that a range grows by
+STEP_QUERIES = 64  # whose ranges grow together
 
 _FOUND = "query_id long, vec_id long, score long"
 
@@ -193,6 +196,51 @@ def _spread(pivots: Pivots):
     return spread
 
 
+@dataclass
+class Annulus:
+    """Rows of one pivot sorted by their distance from it."""
+
+    ids: np.ndarray
+    v: np.ndarray
+    distance: np.ndarray
+    products: int = 0  # computed so far
+
+    def best(self, pivots: Pivots, away: np.ndarray, ids: np.ndarray, q: np.ndarray, bound: np.ndarray, k: int):
+        """Up to ``k`` rows for each of some queries: their number, ids and scores.
+
+        ``away`` is how far the queries are from the pivot. From there the range of
+        rows grows to both sides, a stretch at a time; the k-th score so far draws
+        the reach in, and rows beyond the reach of all queries are never multiplied.
+        """
+        real, bound = q.astype(float), bound.copy()
+        none = np.zeros(0, np.int64)
+        found = [(none, none)] * len(q)
+        left = right = int(np.searchsorted(self.distance, np.median(away)))
+        while True:
+            reach = _reach(pivots, real, bound)
+            low = int(np.searchsorted(self.distance, (away - reach).min(), "left"))
+            high = int(np.searchsorted(self.distance, (away + reach).max(), "right"))
+            spans = [(max(low, left - STEP_ROWS), left), (right, min(high, right + STEP_ROWS))]
+            spans = [(a, b) for a, b in spans if a < b]
+            if not spans:
+                break
+            for a, b in spans:
+                scores, own = _products(q, self.v[a:b]), self.ids[a:b]
+                self.products += scores.size
+                for i in np.flatnonzero((scores >= bound[:, None]).any(axis=1)):
+                    keep = np.flatnonzero((own != ids[i]) & (scores[i] >= bound[i]))
+                    if len(keep) > 8 * k:  # ties of the k-th stay in
+                        top = scores[i, keep]
+                        keep = keep[top >= np.partition(top, -k)[-k]]
+                    both = np.concatenate([found[i][0], own[keep]]), np.concatenate([found[i][1], scores[i, keep]])
+                    least = _best(*both, k)
+                    found[i] = both[0][least], both[1][least]
+                    if len(least) == k:
+                        bound[i] = max(bound[i], found[i][1][-1])
+            left, right = min(left, spans[0][0]), max(right, spans[-1][1])
+        return [len(x) for x, _ in found], np.concatenate([x for x, _ in found]), np.concatenate([x for _, x in found])
+
+
 def _search(pivots: Pivots, k: int):
     """The best rows of one bucket for every query that reaches it."""
 
@@ -201,24 +249,17 @@ def _search(pivots: Pivots, k: int):
         if queries.num_rows and rows.num_rows:
             cell = queries["bucket"][0].as_py() // RINGS
             q, x = (_matrix(_joined(t["v"]), pivots.width) for t in (queries, rows))
-            q_ids, x_ids = queries["id"].to_numpy(), rows["id"].to_numpy()
+            q_ids, bound = queries["id"].to_numpy(), queries["bound"].to_numpy().astype(float)
             distance = rows["distance"].to_numpy()
             order = np.argsort(distance, kind="stable")
-            x, x_ids, distance = x[order], x_ids[order], distance[order]
-            bound = queries["bound"].to_numpy().astype(float)
-            away, reach = pivots.of_queries(q.astype(float))[:, cell], _reach(pivots, q.astype(float), bound)
-            low = np.searchsorted(distance, away - reach, "left")
-            high = np.searchsorted(distance, away + reach, "right")
-            for a in range(0, len(q), 256):
-                scores = _products(q[a : a + 256], x)
-                for i in range(len(scores)):
-                    span = slice(low[a + i], high[a + i])
-                    ids, own = x_ids[span], scores[i, span]
-                    keep = np.flatnonzero((ids != q_ids[a + i]) & (own >= bound[a + i]))
-                    if len(keep) > 8 * k:  # ties of the k-th stay in
-                        keep = keep[own[keep] >= np.partition(own[keep], -k)[-k]]
-                    keep = keep[_best(ids[keep], own[keep], k)]
-                    out.append((np.full(len(keep), q_ids[a + i]), ids[keep], own[keep]))
+            annulus = Annulus(rows["id"].to_numpy()[order], x[order], distance[order])
+            away = pivots.of_queries(q.astype(float))[:, cell]
+            # Queries of about one distance go together, as their ranges overlap.
+            order = np.argsort(away, kind="stable")
+            for a in range(0, len(q), STEP_QUERIES):
+                some = order[a : a + STEP_QUERIES]
+                counts, ids, scores = annulus.best(pivots, away[some], q_ids[some], q[some], bound[some], k)
+                out.append((np.repeat(q_ids[some], counts), ids, scores))
         columns = [np.concatenate(c) for c in zip(*out)] if out else [np.zeros(0, np.int64)] * 3
         return pa.table(dict(zip(("query_id", "vec_id", "score"), map(pa.array, columns))))
 
