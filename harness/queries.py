@@ -631,7 +631,7 @@ def _live_gold(spark, events, lake: Lake) -> DataFrame:
     steps = [rows.filter(F.col("batch") == F.lit(week)) for week in weeks]
     for step in [*steps, arrival(testbed.silver_rows(testbed.closing_event(events)), "week")]:
         stored = with_day(step.drop("ingestion_time", "batch"), "event_time", "event_date")
-        stored.coalesce(1).write.mode("append").partitionBy("event_date").parquet(lake.table("silver_log"))
+        stored.repartition("event_date").write.mode("append").partitionBy("event_date").parquet(lake.table("silver_log"))
         layers.start_gold(session, lake, trigger=layers.ONCE).awaitTermination()
     return read_layer(spark, lake, "gold_live").drop("window_date")
 
