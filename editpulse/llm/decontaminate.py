@@ -120,7 +120,7 @@ class Group:
 
 def item_words(texts: pa.Array) -> list[np.ndarray]:
     data, starts = tx.texts(texts)
-    found = tx.words(data, starts, tx.ALNUM, tx.LOWER_VALUES)
+    found = tx.words(data, starts, tx.ALNUM, tx.LOWER)
     cut = np.searchsorted(found.doc, np.arange(len(starts)))
     return [found.hash[a:b] for a, b in zip(cut[:-1], cut[1:])]
 
@@ -184,7 +184,7 @@ def _scan(handle, text: str):
             data, starts = tx.texts(batch.column("text"))
             for a, b in tx.runs_of(starts):
                 part, edges = batch.slice(a, b - a), starts[a : b + 1] - starts[a]
-                found = tx.words(data[starts[a] : starts[b]], edges, tx.ALNUM, tx.LOWER_VALUES)
+                found = tx.words(data[starts[a] : starts[b]], edges, tx.ALNUM, tx.LOWER)
                 hit = np.zeros(len(found.hash), bool)
                 items = [set(x) for x in part.column("items").to_pylist()]
                 for doc, spans in enumerate(part.column("spans").to_pylist()):

@@ -118,7 +118,7 @@ class _Sets:
 
     def __init__(self, table: pa.Table, words: int, shards: int):
         data, starts = tx.texts(table["text"])
-        found = tx.words(data, starts, tx.NON_SPACE, tx.LOWER_VALUES)
+        found = tx.words(data, starts, tx.NON_SPACE, tx.LOWER)
         self.n = table.num_rows
         counts = found.counts(self.n)
         first = np.cumsum(counts) - counts

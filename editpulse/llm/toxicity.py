@@ -55,7 +55,7 @@ class Model:
 
 def _distinct_words(data: np.ndarray, starts: np.ndarray):
     """Words of the texts, the distinct ones by their first place, and which each is."""
-    found = tx.words(data, starts, tx.ALNUM, tx.LOWER_VALUES)
+    found = tx.words(data, starts, tx.ALNUM, tx.LOWER)
     _, first, which = np.unique(found.hash, return_index=True, return_inverse=True)
     return found, first, which
 
@@ -153,7 +153,7 @@ class _Block:
 
     def __init__(self, table: pa.Table, shards: int):
         data = np.frombuffer(b"\n".join(table["words"].to_pylist()), np.uint8)
-        found = tx.words(data, np.array([0, len(data)]), tx.ALNUM, tx.LOWER_VALUES)
+        found = tx.words(data, np.array([0, len(data)]), tx.ALNUM, tx.LOWER)
         self.hash, first = np.unique(found.hash, return_index=True)
         grams, self.word = _grams(data, found.start[first], found.end[first])
         self.keys, which = np.unique(np.concatenate([grams, self.hash | _WORD]), return_inverse=True)
@@ -195,7 +195,7 @@ def _all_words(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Bytes and edges of a block's texts, and its distinct words' hashes in order."""
     data, starts = tx.texts(table["text"])
     held = [
-        np.unique(tx.words(data[starts[a] : starts[b]], starts[a : b + 1] - starts[a], tx.ALNUM, tx.LOWER_VALUES).hash)
+        np.unique(tx.words(data[starts[a] : starts[b]], starts[a : b + 1] - starts[a], tx.ALNUM, tx.LOWER).hash)
         for a, b in tx.runs_of(starts)
     ]
     return data, starts, np.unique(np.concatenate(held)) if held else np.zeros(0, U64)
@@ -258,7 +258,7 @@ def _evidence(table: pa.Table, answers: pa.Table) -> pa.Table:
     by_word = np.concatenate([none, *[np.frombuffer(x, np.float32).reshape(len(VALUES), -1) for x in packed]], axis=1)
     sums, counts = [], []
     for a, b in tx.runs_of(starts):
-        found = tx.words(data[starts[a] : starts[b]], starts[a : b + 1] - starts[a], tx.ALNUM, tx.LOWER_VALUES)
+        found = tx.words(data[starts[a] : starts[b]], starts[a : b + 1] - starts[a], tx.ALNUM, tx.LOWER)
         values = by_word[:, np.searchsorted(keys, found.hash)]
         sums.append(np.stack([np.bincount(found.doc, weights=x, minlength=b - a) for x in values]))
         counts.append(found.counts(b - a))
