@@ -19,6 +19,11 @@ from editpulse.session import settings, shuffle_width
 # Shuffled bytes per writing task.
 WRITE_TASK_BYTES = "512MB"
 
+# Documents are stored at a tenth of their size or less. A task reads whole row
+# groups: small ones, so that many tasks share the parse and none sorts millions.
+LOG_GROUP_BYTES = 32 << 20
+LOG_READ_BYTES = "16MB"
+
 # table -> (columns, time column behind the day partition, partition column)
 LAYOUT: dict[str, tuple[StructType, str, str]] = {
     "bronze_log": (schemas.BRONZE, "ingestion_time", "ingestion_date"),

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from editpulse.config import Settings
 from editpulse.schemas import TOPIC_ROW
+from editpulse.sources.lake import LOG_GROUP_BYTES
 
 
 def kafka_options(servers: str, topic: str, settings: Settings = Settings()) -> dict[str, str]:
@@ -60,8 +61,8 @@ def as_topic_rows(messages: DataFrame, topic: str) -> DataFrame:
 
 def publish(messages: DataFrame, fmt: str = "parquet", path: str | None = None, **options: str):
     """Append keyed messages to a topic; delivery is at least once."""
-    writer = messages.write.format(fmt).mode("append").options(**options)
+    writer = messages.write.format(fmt).mode("append")
     if fmt == "kafka":
-        writer.save()
+        writer.options(**options).save()
     else:
-        writer.save(path)
+        writer.option("parquet.block.size", LOG_GROUP_BYTES).options(**options).save(path)

@@ -15,7 +15,7 @@ from editpulse.functions.clock import Instant
 from editpulse.operators import bronze, gold, silver
 from editpulse.operators.dedup import dedup_stream
 from editpulse.sources.feed import envelopes
-from editpulse.sources.lake import LAYOUT, Lake, stored_schema
+from editpulse.sources.lake import LAYOUT, LOG_GROUP_BYTES, Lake, stored_schema
 from editpulse.sources.topic import as_topic_rows
 from editpulse.streaming import long
 
@@ -51,7 +51,7 @@ def append_to(df: DataFrame, lake: Lake, table: str, trigger: dict | None) -> St
         .partitionBy(date_col)
     )
     if not lake.by_name:
-        writer = writer.option("compression", "zstd")
+        writer = writer.option("compression", "zstd").option("parquet.block.size", LOG_GROUP_BYTES)
     if trigger:
         writer = writer.trigger(**trigger)
     return writer.toTable(lake.name(table)) if lake.by_name else writer.start(lake.table(table))

@@ -26,6 +26,7 @@ from editpulse.session import STREAM_DEFAULTS, scratch_dir, shuffle_width
 from editpulse.sources.feed import envelopes
 from editpulse.sources.frames import read_frames
 from editpulse.sources.lake import (
+    LOG_GROUP_BYTES,
     Lake,
     create_tables,
     list_paths,
@@ -79,6 +80,11 @@ def last_event(events: DataFrame, hours_before: int = 0) -> Column:
     return newest(events, "ts", less=hours(hours_before))
 
 
+def spread(events: DataFrame) -> DataFrame:
+    """The events in even parts: few files of few row groups would make documents in few tasks."""
+    return events.hint("rebalance")
+
+
 def arrival(rows: DataFrame, unit: str) -> DataFrame:
     return rows.withColumn("batch", F.date_trunc(unit, "ingestion_time"))
 
@@ -354,7 +360,7 @@ def gold_corrected(spark, events):
 @query
 def gold_replay_stored(spark, events):
     """The reduced KPIs as stored, after two replays twelve hours apart."""
-    lake, rows = Lake(scratch_dir(spark, "replays")), testbed.bronze_rows(events)
+    lake, rows = Lake(scratch_dir(spark, "replays")), testbed.bronze_rows(spread(events))
     half, end = last_event(events, 12), last_event(events, -1)
     parts = (rows.filter(F.col("ingestion_time") < half), half), (rows.filter(F.col("ingestion_time") >= half), end)
     for part, now in parts:
@@ -367,7 +373,7 @@ def gold_replay_stored(spark, events):
 def replay_after_break(spark, events):
     """Edits move to other days, the run breaks off after the upsert, and is run again."""
     lake = Lake(scratch_dir(spark, "broken"))
-    _append_bronze(testbed.bronze_rows(events), lake)
+    _append_bronze(testbed.bronze_rows(spread(events)), lake)
     replay.run_replay(spark, lake, _moment(last_event(events, -1)))
     moved = events.filter("event_id % 25 = 0").withColumn("ts", F.col("ts") + hours(72))
     delivered = testbed.bronze_rows(moved).withColumn("ingestion_time", F.col("ingestion_time") + hours(24 * 40))
@@ -382,7 +388,7 @@ def replay_after_break(spark, events):
 def gold_corrected_windows(spark, events):
     """Few edits are revised and some move to other days: only the windows they touch are done again."""
     lake = Lake(scratch_dir(spark, "windows"))
-    _append_bronze(testbed.bronze_rows(events), lake)
+    _append_bronze(testbed.bronze_rows(spread(events)), lake)
     replay.run_replay(spark, lake, _moment(last_event(events, -1)))
     moved = events.filter("event_id % 25 = 0").withColumn("ts", F.col("ts") + hours(72))
     delivered = testbed.bronze_rows(moved).withColumn("ingestion_time", F.col("ingestion_time") + hours(24 * 40))
@@ -393,7 +399,8 @@ def gold_corrected_windows(spark, events):
 
 def _append_bronze(rows: DataFrame, lake: Lake) -> None:
     dated = with_day(rows, "ingestion_time", "ingestion_date")
-    dated.write.mode("append").partitionBy("ingestion_date").parquet(lake.table("bronze_log"))
+    writer = dated.write.mode("append").option("parquet.block.size", LOG_GROUP_BYTES)
+    writer.partitionBy("ingestion_date").parquet(lake.table("bronze_log"))
 
 
 def _moment(now: Column):
@@ -777,7 +784,7 @@ def late_correction(spark, events):
     lake, session = Lake(scratch_dir(spark, "correct")), _stream_session(spark)
     topic = f"{lake.root}/topic"
     for revisions in (False, True):
-        publish(testbed.topic_rows(events, revisions), path=topic)
+        publish(testbed.topic_rows(spread(events), revisions), path=topic)
         stream = topic_stream(session, path=topic)
         layers.start_bronze(stream, lake, layers.ONCE).awaitTermination()
         replay.run_replay(session, lake)
