@@ -80,14 +80,20 @@ class IdIndex:
             )
         rename(spark, draft, f"{self.root}/run={name}")
 
-    def append(self, rows: DataFrame, key: str, day: str, number: int | None = None) -> None:
-        """Add a run with the distinct ids and days of ``rows``; a number that is there already stays as it is."""
+    def append(
+        self, rows: DataFrame, key: str, day: str, number: int | None = None, unique: bool = False
+    ) -> None:
+        """Add a run with the distinct ids and days of ``rows``; a number that is there already stays as it is.
+
+        ``unique`` says that no id comes twice: nothing is shuffled to find that out.
+        """
         spark = rows.sparkSession
         number = self.next_number(spark) if number is None else number
         name = f"{number:012d}"
         if name in self.runs(spark):
             return
-        ids = rows.filter(F.col(key).isNotNull()).select(F.col(key).alias("id"), F.col(day).alias("day")).distinct()
+        ids = rows.filter(F.col(key).isNotNull()).select(F.col(key).alias("id"), F.col(day).alias("day"))
+        ids = ids if unique else ids.distinct()
         self._publish(ids.withColumn("bucket", self.bucket("id")), name)
 
     def merge(self, spark: SparkSession, before: int | None = None) -> None:

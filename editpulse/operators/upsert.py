@@ -32,10 +32,13 @@ def merge(target: DataFrame, source: DataFrame, key: str = "event_id") -> DataFr
     a null key match nothing: they go round the join, else all of them would
     land in one task.
     """
+    return _kept(target, source, key).unionByName(source.select(*target.columns))
+
+
+def _kept(target: DataFrame, source: DataFrame, key: str) -> DataFrame:
     keyed = target.filter(F.col(key).isNotNull())
     keyless = target.filter(F.col(key).isNull())
-    kept = keyed.join(source.select(key), key, "left_anti")
-    return kept.unionByName(keyless).unionByName(source.select(*target.columns))
+    return keyed.join(source.select(key), key, "left_anti").unionByName(keyless)
 
 
 def merge_into(source: DataFrame, table: str, key: str = "event_id") -> None:
@@ -52,7 +55,7 @@ def in_days(date_col: str, days: list) -> Column:
     return match | F.col(date_col).isNull() if len(known) < len(days) else match
 
 
-def _days_of(df: DataFrame, date_col: str) -> list:
+def days_of(df: DataFrame, date_col: str) -> list:
     """Distinct days: at most one value per day partition of the table."""
     return [row[0] for row in df.select(date_col).distinct().collect()]
 
@@ -78,13 +81,13 @@ def touched_days(
     the target is not read; a day that an id has left since may be among them.
     Without one, two columns of the whole target are.
     """
-    days = set(_days_of(source, date_col))
+    days = set(days_of(source, date_col))
     if target is None:
         return list(days)
     if index is not None:
         _build_index(target, key, date_col, index)
-        return list(days | set(_days_of(index.find(source, key), "day")))
-    return list(days | set(_days_of(target.join(source.select(key), key, "left_semi"), date_col)))
+        return list(days | set(days_of(index.find(source, key), "day")))
+    return list(days | set(days_of(target.join(source.select(key), key, "left_semi"), date_col)))
 
 
 def _build_index(target: DataFrame, key: str, date_col: str, index: IdIndex) -> None:
@@ -98,9 +101,9 @@ def record_days(source: DataFrame, key: str, date_col: str, index: IdIndex) -> N
 
     A run that breaks off in between leaves days in the index where no row came:
     they are looked at once more than needed. The other way round, rows would
-    stand where the index does not know of them.
+    stand where the index does not know of them. The source's keys are unique.
     """
-    index.append(source, key, date_col)
+    index.append(source, key, date_col, unique=True)
 
 
 def upsert_days(
@@ -132,9 +135,11 @@ def upsert_days(
     result = merge(target.filter(in_days(date_col, touched)), source, key)
 
     # A day that lost its last row would keep its files: overwriting only
-    # replaces days that get rows.
-    remaining = _days_of(result, date_col)
-    emptied = tuple(day for day in touched if day not in remaining)
+    # replaces days that get rows. Days that the source has rows of do.
+    fresh = set(days_of(source, date_col))
+    left = [day for day in touched if day not in fresh]
+    remaining = days_of(_kept(target.filter(in_days(date_col, left)), source, key), date_col) if left else []
+    emptied = tuple(day for day in left if day not in remaining)
     write_days(result, path, date_col)
     for day in emptied:
         drop_partition(spark, path, date_col, day)

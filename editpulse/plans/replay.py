@@ -14,8 +14,9 @@ from editpulse.functions.clock import Instant, hours, instant, newest, since
 from editpulse.operators import gold, silver
 from editpulse.operators.dedup import latest_per_key
 from editpulse.operators.id_index import IdIndex
-from editpulse.operators.upsert import in_days, merge_into, record_days, touched_days, upsert_days
+from editpulse.operators.upsert import days_of, in_days, merge_into, record_days, touched_days, upsert_days
 from editpulse.sources.lake import (
+    LOG_READ_BYTES,
     Lake,
     delete_path,
     drop_day,
@@ -118,7 +119,8 @@ def stage(
     entry = _Entry(lake.staging(uuid.uuid4().hex))
     # Taken before the rows: what arrives in between is replayed next time.
     bronze.agg(F.max("ingestion_time").alias("replayed_to")).write.parquet(entry.mark)
-    with session.settings(spark, **session.shuffle_width(bronze)):
+    how = {"spark__sql__files__maxPartitionBytes": LOG_READ_BYTES}
+    with session.settings(spark, **how, **session.shuffle_width(bronze, session.SHUFFLE_TASK_BYTES // 8)):
         latest = with_day(latest_silver(bronze, shape), "event_time", "event_date")
         latest.write.parquet(entry.rows)
     return entry
@@ -143,14 +145,12 @@ def touched_windows(source: DataFrame, old: DataFrame | None, widths: list[int])
         both = new.join(before, "event_id", "left").filter(~F.col("new").eqNullSafe(F.col("old")))
         times = both.select(F.array("new_time", "old_time").alias("times"))
     moments = times.select(F.explode("times").alias("time")).filter(F.col("time").isNotNull())
-    starts = [
-        moments.select(F.lit(width).alias("minutes"), F.window("time", f"{width} minutes").getField("start").alias("window_start"))
-        for width in widths
-    ]
-    every = starts[0]
-    for more in starts[1:]:
-        every = every.union(more)
-    return every.distinct().withColumn("day", F.to_date("window_start"))
+    # All widths side by side: a branch for each would join the rows again.
+    for width in widths:
+        moments = moments.withColumn(f"of_{width}", F.window("time", f"{width} minutes").getField("start"))
+    starts = {width: F.col(f"of_{width}").alias("window_start") for width in widths}
+    every = F.inline(F.array(*[F.struct(F.lit(width).alias("minutes"), start) for width, start in starts.items()]))
+    return moments.drop("time").distinct().select(every).distinct().withColumn("day", F.to_date("window_start"))
 
 
 def upsert_staged(spark: SparkSession, lake: Lake, entry: _Entry, settings: Settings = Settings()) -> None:
@@ -178,12 +178,13 @@ def _open_windows(spark, lake: Lake) -> list[_Entry]:
     return [_Entry(path) for path in list_paths(spark, lake.staging(""))]
 
 
-def _redo_gold(spark, lake: Lake, windows: DataFrame, settings: Settings) -> None:
+def _redo_gold(spark, lake: Lake, windows: DataFrame, settings: Settings, replayed: list) -> None:
     """Both Gold tables, only the touched windows of them.
 
     Edits outside these windows are not aggregated: of the days that have one,
     the rows are filtered by their window first. All other windows of such a day
-    are taken over as they are. A window that has no edit left goes.
+    are taken over as they are. A window that has no edit left goes. Only a day
+    that is not among the days ``replayed`` can have lost its last one.
     """
     serving = read_layer(spark, lake, "silver_serving")
     tables = {
@@ -197,14 +198,15 @@ def _redo_gold(spark, lake: Lake, windows: DataFrame, settings: Settings) -> Non
         days = [row.day for row in wanted.select("day").distinct().collect()]
         rows = rows_in(serving, wanted, days, width)
         redone = with_day(measure(rows), "window_start", "window_date")
-        there = {row.day for row in rows.select(F.to_date("event_time").alias("day")).distinct().collect()}
+        left = [day for day in days if day not in replayed]
+        there = set(days_of(rows.filter(F.col("event_date").isin(left)), "event_date")) if left else set()
         if layer_exists(spark, lake, table):
             kept = read_layer(spark, lake, table).filter(F.col("window_date").isin(days))
             kept = kept.join(wanted, "window_start", "left_anti")
-            there |= {row.window_date for row in kept.select("window_date").distinct().collect()}
+            there |= set(days_of(kept.filter(F.col("window_date").isin(left)), "window_date")) if left else set()
             redone = redone.unionByName(kept)
         write_layer(redone, lake, table)
-        emptied += [(table, day) for day in sorted(set(days) - there)]
+        emptied += [(table, day) for day in sorted(set(left) - there)]
     for table, day in emptied:
         drop_day(spark, lake, table, day)
 
@@ -235,7 +237,8 @@ def run_replay(
     entry = stage(spark, lake, instant(now), settings, shape)
     upsert_staged(spark, lake, entry, settings)
     begun = [e for e in left if path_exists(spark, f"{e.windows}/_SUCCESS")] + [entry]
-    _redo_gold(spark, lake, spark.read.schema(_WINDOWS).parquet(*[e.windows for e in begun]), settings)
+    windows = spark.read.schema(_WINDOWS).parquet(*[e.windows for e in begun])
+    _redo_gold(spark, lake, windows, settings, days_of(read_table(spark, entry.rows), "event_date"))
     # One row for each day and run.
     touched = {row.day for row in spark.read.schema(_DAYS).parquet(*[e.days for e in begun]).collect()}
 
