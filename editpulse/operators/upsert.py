@@ -55,7 +55,7 @@ def in_days(date_col: str, days: list) -> Column:
     return match | F.col(date_col).isNull() if len(known) < len(days) else match
 
 
-def days_of(df: DataFrame, date_col: str) -> list:
+def _days_of(df: DataFrame, date_col: str) -> list:
     """Distinct days: at most one value per day partition of the table."""
     return [row[0] for row in df.select(date_col).distinct().collect()]
 
@@ -81,13 +81,13 @@ def touched_days(
     the target is not read; a day that an id has left since may be among them.
     Without one, two columns of the whole target are.
     """
-    days = set(days_of(source, date_col))
+    days = set(_days_of(source, date_col))
     if target is None:
         return list(days)
     if index is not None:
         _build_index(target, key, date_col, index)
-        return list(days | set(days_of(index.find(source, key), "day")))
-    return list(days | set(days_of(target.join(source.select(key), key, "left_semi"), date_col)))
+        return list(days | set(_days_of(index.find(source, key), "day")))
+    return list(days | set(_days_of(target.join(source.select(key), key, "left_semi"), date_col)))
 
 
 def _build_index(target: DataFrame, key: str, date_col: str, index: IdIndex) -> None:
@@ -136,9 +136,9 @@ def upsert_days(
 
     # A day that lost its last row would keep its files: overwriting only
     # replaces days that get rows. Days that the source has rows of do.
-    fresh = set(days_of(source, date_col))
+    fresh = set(_days_of(source, date_col))
     left = [day for day in touched if day not in fresh]
-    remaining = days_of(_kept(target.filter(in_days(date_col, left)), source, key), date_col) if left else []
+    remaining = _days_of(_kept(target.filter(in_days(date_col, left)), source, key), date_col) if left else []
     emptied = tuple(day for day in left if day not in remaining)
     write_days(result, path, date_col)
     for day in emptied:

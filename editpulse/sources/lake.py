@@ -19,8 +19,8 @@ from editpulse.session import settings, shuffle_width
 # Shuffled bytes per writing task.
 WRITE_TASK_BYTES = "512MB"
 
-# Documents are stored at a tenth of their size or less. A task reads whole row
-# groups: small ones, so that many tasks share the parse and none sorts millions.
+# Documents are stored at a tenth of their size or less, and a task reads whole row
+# groups: a topic has small ones, and a replay reads few of them in a task.
 LOG_GROUP_BYTES = 32 << 20
 LOG_READ_BYTES = "16MB"
 
