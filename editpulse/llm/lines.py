@@ -30,7 +30,7 @@ WORDS = 5
 PERCENT = 80
 BUCKETS = 1 << 16
 SENT_LINES = 500_000
-STEPS = 8  # of rarity for each doubling of a count
+DIGITS = 16  # of a word's code
 PLACE = ["id", "row", "line"]  # in order of what is earlier
 SPACE, OTHER = r"[\x20\x09-\x0d]", r"[^\x20\x09-\x0d]"
 
@@ -56,63 +56,65 @@ def _enough() -> Column:
     return F.col("text").rlike(rf"^{SPACE}*(?:{OTHER}+{SPACE}+){{{WORDS - 1}}}{OTHER}")
 
 
-def _words() -> Column:
+def _with_codes(lines: DataFrame) -> DataFrame:
+    """``lines`` with ``n`` words and ``codes``, ``DIGITS`` hexadecimal digits for each word in a row; none without words.
+
+    As all codes are of one length, a run of words is a piece of their bytes.
+    No condition stands on the words: it would be pushed down together with all
+    that makes them, and that would be done twice.
+    """
     # Cut at one character: a pattern would be compiled anew for every line.
     blank = F.regexp_replace("text", r"[\x09-\x0d]", " ")
-    return F.transform(F.array_remove(F.split(blank, " "), ""), lambda word: F.xxhash64(word))
-
+    words = F.array_remove(F.split(blank, " "), "")
+    rows = lines.filter(F.col("text").rlike(OTHER)).withColumn("words", words).drop("text")
+    # With the first bit set, none begins with noughts that are left out.
+    code = lambda word: F.hex(F.xxhash64(word).bitwiseOR(F.lit(-(1 << 63))))
+    codes = F.array_join(F.transform("words", code), "").cast("binary")
+    return rows.select("*", F.size("words").alias("n"), codes.alias("codes")).drop("words")
 
-def _bucket(word: Column) -> Column:
-    return F.shiftrightunsigned(word, 64 - int(math.log2(BUCKETS))).cast("int")
 
+def _starts() -> Column:
+    """Where in ``codes`` each run of ``WORDS`` words begins, from 1."""
+    runs = F.sequence(F.lit(1), (F.col("n") - WORDS) * DIGITS + 1, F.lit(DIGITS))
+    return F.when(F.col("n") >= WORDS, runs).otherwise(F.array().cast("array<int>"))
 
-def _with_hashes(lines: DataFrame) -> DataFrame:
-    """``lines`` with ``hashes`` of the distinct runs of ``WORDS`` words, and no shorter lines.
-
-    No condition stands on the words or the hashes: it would be pushed down
-    together with all that makes them, and that would be done twice.
-    """
-    rows = lines.filter(_enough()).withColumn("words", _words()).drop("text")
-    size = F.size("words")
-    runs = F.arrays_zip(*[F.slice("words", F.lit(i + 1), size).alias(f"w{i}") for i in range(WORDS)])
-    rows = rows.withColumn("runs", F.slice(runs, F.lit(1), size - WORDS + 1)).drop("words")
-    return rows.withColumn("hashes", F.array_distinct(F.transform("runs", lambda run: F.xxhash64(run)))).drop("runs")
 
+def _run(codes: Column, start: Column) -> Column:
+    return F.xxhash64(F.substring(codes, start, F.lit(WORDS * DIGITS)))
 
-def _short(lines: DataFrame) -> DataFrame:
-    """Every line of 1 to ``WORDS`` - 1 words, as ``_classes`` gives the longer ones.
 
-    The one token is that of all words; no line of another set has it, so these
-    are joined with none.
-    """
-    rows = lines.filter(F.col("text").rlike(OTHER) & ~_enough()).withColumn("words", _words())
-    none = F.array().cast("array<long>").alias("first_tokens")
-    set_ = F.xxhash64(F.lit(WORDS), "words").alias("set")
-    check = F.hash(F.lit(WORDS), "words").alias("check")
-    return rows.select("id", "row", "line", F.lit(1).alias("size"), set_, check, none)
+def _bucket(run: Column) -> Column:
+    return F.shiftrightunsigned(run, 64 - int(math.log2(BUCKETS)))
 
 
 def _rarity(lines: DataFrame) -> list[int]:
-    """A number below 128 for each bucket that grows with its count; ``BUCKETS`` rows come to the driver.
+    """For each bucket, what turns the first bits of its runs into its place by its count; ``BUCKETS`` rows come to the driver.
 
-    Counts are taken relative to the least, so that the numbers tell as much
-    apart in a large table as in a small one.
+    Counted are all runs of all lines, in compiled code: nothing is made of a
+    line as a whole.
     """
-    token = _with_hashes(lines).select(F.explode_outer("hashes").alias("token"))
-    counts = token.groupBy(_bucket(F.col("token"))).count().collect()
-    least = min((count for _, count in counts), default=1)
-    ranks = [0] * BUCKETS
-    for bucket, count in counts:
-        ranks[bucket] = min(127, int(STEPS * math.log2(count / least)))
-    return ranks
+    rows = _with_codes(lines.filter(_enough())).select("codes", F.explode_outer(_starts()).alias("start"))
+    counts = rows.groupBy(_bucket(_run(F.col("codes"), F.col("start"))).cast("int")).count().collect()
+    known = dict(map(tuple, counts))
+    turns = [0] * BUCKETS
+    for place, bucket in enumerate(sorted(range(BUCKETS), key=lambda b: known.get(b, 0))):
+        # Numbers are signed: the places of the first half are below zero.
+        first = (bucket ^ place ^ BUCKETS // 2) << 64 - int(math.log2(BUCKETS))
+        turns[bucket] = first - (1 << 64) if first >= 1 << 63 else first
+    return turns
 
 
 def _with_tokens(lines: DataFrame, ranks: list[int]) -> DataFrame:
-    """``lines`` with ``tokens``: a hash's rank in the first byte, so that they sort by rarity as numbers."""
-    table = F.from_json(F.lit(json.dumps(ranks)), "array<int>")  # a constant
-    rank = lambda token: F.shiftleft(F.get(table, _bucket(token)).cast("long"), 56)
-    tokens = F.transform("hashes", lambda t: rank(t).bitwiseOR(F.shiftrightunsigned(t, 8)))
-    return _with_hashes(lines).withColumn("tokens", tokens).drop("hashes")
+    """``lines`` with ``n``, ``codes`` and ``tokens``, the distinct runs, which sort by rarity as numbers; shorter lines have none.
+
+    No null is possible in the arrays: those that may hold one are sorted object by object.
+    """
+    # A variable: a column would be copied for every run.
+    runs = F.transform(F.array("codes"), lambda codes: F.transform(_starts(), lambda start: _run(codes, start)))
+    table = F.from_json(F.lit(json.dumps(ranks)), "array<long>")  # a constant
+    turn = lambda run: F.coalesce(table[_bucket(run)], F.lit(0).cast("long"))
+    tokens = F.transform(F.get(runs, F.lit(0)), lambda run: run.bitwiseXOR(turn(run)))
+    return _with_codes(lines).withColumn("tokens", F.sort_array(F.array_distinct(tokens)))
 
 
 def _least_overlap(size: Column, percent: int) -> Column:
@@ -120,13 +122,18 @@ def _least_overlap(size: Column, percent: int) -> Column:
 
 
 def _classes(lines: DataFrame, ranks: list[int], percent: int) -> DataFrame:
-    """Every line of ``WORDS`` words, with its set's two hashes, size and first tokens."""
-    rows = _with_tokens(lines, ranks).withColumn("tokens", F.sort_array("tokens")).withColumn("size", F.size("tokens"))
+    """Every line of words, with its set's two hashes, size and first tokens.
+
+    The set of a line of fewer than ``WORDS`` words is that of all its words; it
+    has no tokens, so it is joined with none.
+    """
+    rows = _with_tokens(lines, ranks).withColumn("size", F.size("tokens"))
     prefix = (F.col("size") - _least_overlap(F.col("size"), percent) + 1).cast("int")
+    long_ = F.col("n") >= WORDS
     return rows.select(
         "id", "row", "line", "size",
-        F.xxhash64("tokens").alias("set"),
-        F.hash("tokens").alias("check"),
+        F.when(long_, F.xxhash64("tokens")).otherwise(F.xxhash64(F.lit(WORDS), "codes")).alias("set"),
+        F.when(long_, F.hash("tokens")).otherwise(F.hash(F.lit(WORDS), "codes")).alias("check"),
         F.slice("tokens", F.lit(1), prefix).alias("first_tokens"),
     )
 
@@ -162,18 +169,20 @@ def _likely(posted: DataFrame, percent: int) -> DataFrame:
     return rows.select(F.col("a.set").alias("a_set"), F.col("set").alias("b_set")).distinct()
 
 
-def _bits(part: int) -> Column:
-    """64 of the 256 bits in which each token sets one."""
-    one = F.lit(1).cast("long")
-    bit = lambda t: F.call_function("shiftleft", one, t.bitwiseAND(63).cast("int"))
-    mine = lambda t: F.shiftright(t, 6).bitwiseAND(3) == part
-    return F.aggregate("tokens", F.lit(0).cast("long"), lambda got, t: F.when(mine(t), got.bitwiseOR(bit(t))).otherwise(got))
+def _bits(sets: DataFrame) -> DataFrame:
+    """``set`` and 256 bits in four numbers, of which each token sets one."""
+    token = F.col("token")
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), token.bitwiseAND(63).cast("int"))
+    part = F.shiftright(token, 6).bitwiseAND(3)
+    bits = [F.bit_or(F.when(part == i, bit).otherwise(F.lit(0).cast("long"))).alias(f"bits{i}") for i in range(4)]
+    rows = sets.select("set", F.explode("tokens").alias("token"))
+    return exchange.stored(rows.groupBy("set").agg(*bits), "line-bits")
 
 
 def _candidates(posted: DataFrame, done: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Pairs of a class that is not ``done`` and an earlier one that token, sizes, places and bits allow."""
     bits = [f"bits{i}" for i in range(4)]
-    rows = posted.drop("n").join(sets.select("set", *bits), "set")
+    rows = posted.drop("n").join(_bits(sets), "set")
     a = rows.select(*[F.col(c).alias(f"a_{c}") for c in rows.columns])
     b = rows.join(done, "set", "left_anti").select(*[F.col(c).alias(f"b_{c}") for c in rows.columns])
     size_a, size_b = F.col("a_size"), F.col("b_size")
@@ -192,14 +201,14 @@ def _candidates(posted: DataFrame, done: DataFrame, sets: DataFrame, percent: in
 
 
 def _sets(lines: DataFrame, classes: DataFrame, posted: DataFrame, ranks: list[int]) -> DataFrame:
-    """``set``, whole ``tokens`` and bits of the classes that share a first token with another."""
+    """``set`` and whole ``tokens`` of the classes that share a first token with another."""
     ends = classes.join(posted.select("set").distinct(), "set", "left_semi").select("set", *PLACE)
     ends = exchange.stored(ends, "line-ends")
     # Up to this number of lines, their places are sent to the texts; beyond, both meet in a shuffle.
     ends = F.broadcast(ends) if ends.count() <= SENT_LINES else ends
     found = lines.join(ends, PLACE).dropDuplicates(["set"])
-    found = _with_tokens(found, ranks).select("set", "tokens")
-    return exchange.stored(found.select("*", *[_bits(i).alias(f"bits{i}") for i in range(4)]), "line-sets")
+    found = _with_tokens(found, ranks)
+    return exchange.stored(found.select("set", "tokens"), "line-sets")
 
 
 def _matched(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -227,17 +236,20 @@ def repeated_lines(
     """
     lines = lines_of(docs, id_col, text_col)
     ranks = _rarity(lines)
-    rows = exchange.stored(_classes(lines, ranks, percent).unionByName(_short(lines)), "lines")
-    classes = rows.groupBy("set", "check").agg(
+    whole = exchange.stored(_classes(lines, ranks, percent), "lines")
+    classes = whole.groupBy("set", "check").agg(
         F.min(F.struct(*PLACE)).alias("first"),
         F.count(F.lit(1)).alias("n"),
         F.first("size").alias("size"),
         F.first("first_tokens").alias("first_tokens"),
     )
-    classes = exchange.stored(classes.select("set", "check", "first.*", "n", "size", "first_tokens"), "line-classes")
-    exchange.tidy(docs.sparkSession)
-    posted = _posted(classes)
-    exchange.tidy(docs.sparkSession)
+    whole_classes = exchange.stored(classes.select("set", "check", "first.*", "n", "size", "first_tokens"), "line-classes")
+    # The first tokens are most of what is stored: they go once they are posted.
+    rows = exchange.stored(whole.select(*PLACE, "set", "check"), "line-places")
+    exchange.discard(whole)
+    posted = _posted(whole_classes)
+    classes = exchange.stored(whole_classes.select(*PLACE, "set", "check"), "line-firsts")
+    exchange.discard(whole_classes)
     sets = _sets(lines, classes, posted, ranks)
     exchange.tidy(docs.sparkSession)
     done = _matched(_likely(posted, percent), sets, percent)

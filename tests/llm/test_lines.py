@@ -4,7 +4,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from editpulse.llm import lines
+from editpulse.llm import exchange, lines
 from editpulse.llm.lines import drop_repeated_lines, line_dedup
 
 DOCS = "doc_id long, text string"
@@ -95,3 +95,33 @@ def pairs_made(spark, n):
 def test_pairs_do_not_grow_with_the_square(spark):
     few, many = pairs_made(spark, 300), pairs_made(spark, 1200)
     assert many <= 5 * few and many < 20 * 1200
+
+
+def test_first_tokens_do_not_stay_on_disk(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(exchange, "scratch", lambda _, purpose: str(tmp_path / f"{purpose}-{len(list(tmp_path.iterdir()))}"))
+    docs = spark.createDataFrame(list(enumerate(variants(20, base_first=True))), DOCS)
+    assert line_dedup(docs).filter("n_removed > 0").count() == 22
+    left = {path.parent.name for path in tmp_path.rglob("*.parquet")}
+    kept = {name for name in left if "first_tokens" in spark.read.parquet(str(tmp_path / name)).columns}
+    assert left and not kept
+
+
+def test_one_pass_makes_long_and_short_lines(spark):
+    docs = spark.createDataFrame([(1, "a b\n\n \t\na b c d e f"), (2, None), (3, "a\tb\nf e d c b a")], DOCS)
+    all_lines = lines.lines_of(docs, "doc_id", "text")
+    ranks = lines._rarity(all_lines)
+    made = lines._classes(all_lines, ranks, 80)
+    assert plan_nodes(made).count("Generate") == 1
+    found = {(r.id, r.line): (r.set, len(r.first_tokens)) for r in made.collect()}
+    assert {place: n for place, (_, n) in found.items()} == {(1, 0): 0, (1, 3): 1, (3, 0): 0, (3, 1): 1}
+    assert found[1, 0][0] == found[3, 0][0] != found[1, 3][0]
+
+
+def test_arrays_of_tokens_hold_no_nulls_and_rare_ones_first(spark):
+    texts = ["often said words stand right here"] * 9 + ["often said words stand right there now and then"]
+    all_lines = lines.lines_of(spark.createDataFrame(list(enumerate(texts)), DOCS), "doc_id", "text")
+    rows = lines._with_tokens(all_lines, lines._rarity(all_lines))
+    assert not rows.schema["tokens"].dataType.containsNull  # or they are sorted object by object
+    tokens = {r.id: r.tokens for r in rows.select("id", "tokens").collect()}
+    common = set(tokens[0]) & set(tokens[9])
+    assert len(common) == 1 and tokens[9][-1] in common and len(tokens[9]) == 5
